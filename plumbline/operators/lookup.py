@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.operators.ordered import carry_last, with_context
 from plumbline.sources.specs import SpecTable
 
 
@@ -21,3 +22,68 @@ def lookup_spec(events: DataFrame, specs: SpecTable, env: str = "dev") -> DataFr
         return events.select("*", *nothing)
     side = specs.df.select(*specs.keys, "metadata", "all_ids", "plan")
     return events.join(F.broadcast(side) if specs.small else side, specs.keys, "left")
+
+
+def spec_keys_needed(events: DataFrame, loaded: DataFrame, keys: list[str], schemas: DataFrame | None = None) -> DataFrame:
+    """Distinct keys to request that are not loaded yet.
+
+    Pre-extracted schemas are not validated but do warm the table (D5).
+    """
+    wanted = events.select(*keys)
+    if schemas is not None:
+        wanted = wanted.unionByName(schemas.select(*keys))
+    return wanted.distinct().join(loaded.select(*keys), keys, "left_anti")
+
+
+def branch_epochs(fetches: DataFrame, stream: list[str]) -> DataFrame:
+    """Add ``branch_changed``, ``epoch_ms`` and ``invalid_ms`` to specification fetches.
+
+    A fetch of another branch than the stream's current one makes all earlier
+    specifications invalid.  ``epoch_ms`` is when the fetch's branch became
+    current, ``invalid_ms`` when the next change takes it out of use.  A fetch
+    that found nothing (NULL ``branch_id``) changes nothing.
+    """
+    order = ["fetched_ms", "fetch_id"]
+    df = fetches.withColumn("fetched_ms", F.unix_millis("fetched_at"))
+    df = carry_last(df, stream, "fetched_ms", order, "branch_id", "_current", include_current=False)
+    df = df.withColumn(
+        "branch_changed", F.coalesce(F.col("branch_id") != F.col("_current"), F.lit(False))
+    ).withColumn("_change", F.when(F.col("branch_changed"), F.col("fetched_ms")))
+    df = carry_last(df, stream, "fetched_ms", order, "_change", "epoch_ms")
+    df = carry_last(df, stream, "fetched_ms", order, "_change", "invalid_ms", backward=True, include_current=False)
+    return df.drop("_current", "_change")
+
+
+# fixed value: how long a fetched specification stays usable
+FRESH_MS = 60_000
+
+
+def spec_asof(events: DataFrame, snapshots: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach the newest snapshot of the key that is still fresh at event time (D3).
+
+    ``snapshots`` has the keys, ``fetched_ms``, ``invalid_ms`` and ``spec`` (NULL for a
+    known-absent answer).  Adds ``spec_state`` (``hit``, ``absent`` or ``miss``) and
+    ``spec``.  Freshness bounds the look-back, so each minute of a key is a group.
+    """
+    told = snapshots.select(
+        *keys,
+        F.col("fetched_ms").alias("_ms"),
+        F.lit(0).alias("_kind"),
+        F.struct("fetched_ms", "invalid_ms", "spec").alias("_snapshot"),
+    )
+    asked = events.withColumns({"_ms": F.unix_millis("ts"), "_kind": F.lit(1)})
+    both = with_context(asked.unionByName(told, allowMissingColumns=True), "_ms", FRESH_MS, FRESH_MS)
+    both = both.filter("_kind = 0 or not _context")
+    order = Window.partitionBy(*keys, "_bucket").orderBy("_ms", "_kind")
+    latest = F.last("_snapshot", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("_found", latest).filter("_kind = 1")
+    usable = (F.col("_ms") - F.col("_found.fetched_ms") <= FRESH_MS) & (
+        F.col("_found.invalid_ms").isNull() | (F.col("_ms") < F.col("_found.invalid_ms"))
+    )
+    usable = F.coalesce(usable, F.lit(False))
+    state = F.when(~usable, "miss").when(F.col("_found.spec").isNull(), "absent").otherwise("hit")
+    return (
+        found.withColumn("spec_state", state)
+        .withColumn("spec", F.when(usable, F.col("_found.spec")))
+        .drop("_ms", "_kind", "_snapshot", "_bucket", "_context", "_found")
+    )
