@@ -53,7 +53,7 @@ ev AS (
   SELECT *,
     CASE WHEN n % 6 = 0 THEN 'null'
          ELSE concat('{{"city":', CASE WHEN n % 4 = 3 THEN 'null' ELSE concat('"', label, '"') END,
-                     ',"zip":', k, '000,"in":{{"x":', k, '}}}}') END AS geo
+                     ',"zip":1', k, '000,"in":{{"x":', k, '}}}}') END AS geo
   FROM cols)
 """
 
@@ -72,7 +72,7 @@ def rich_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = F.expr(
         """CASE WHEN n % 6 = 0 THEN 'null'
                 ELSE concat('{"city":', CASE WHEN n % 4 = 3 THEN 'null' ELSE concat('"', label, '"') END,
-                            ',"zip":', k, '000,"in":{"x":', k, '}}') END"""
+                            ',"zip":1', k, '000,"in":{"x":', k, '}}') END"""
     )
     member = lambda name, text: F.concat(F.lit(f'"{name}": '), text)
     props = F.concat(

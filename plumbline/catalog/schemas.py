@@ -127,7 +127,7 @@ def schema_document_query(spark, sf):
 )
 def read_schemas_query(spark, sf):
     texts = extract_document(order_events(spark, sf), out="schema_json").select("uid", "schema_json")
-    rows = read_schemas(texts).select("uid", F.explode("schema").alias("p"))
+    rows = read_schemas(texts).select("uid", F.explode_outer("schema").alias("p"))
     return rows.select("uid", F.col("p.propertyName").alias("name"), F.col("p.propertyType").alias("type"))
 
 
@@ -159,6 +159,6 @@ _KEY = "0123456789abcdef"
 def protect_values(spark, sf):
     """Sealed top-level values, opened again."""
     sealed = extract_document(rich_events(spark, sf), out="schema_json", seal=sealer(_KEY, "staging"))
-    rows = read_schemas(sealed).select("uid", F.explode("schema").alias("p"))
+    rows = read_schemas(sealed).select("uid", F.explode_outer("schema").alias("p"))
     opened = unseal(F.col("p.encryptedPropertyValue"), _KEY)
     return rows.select("uid", F.col("p.propertyName").alias("name"), opened.alias("opened"))

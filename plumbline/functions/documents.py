@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.deep import CLOSE, OPEN, finish_documents
+from plumbline.functions.planning import pin
 from plumbline.functions.values import children_of, is_nested, json_text, let, members, quoted
 
 DEFAULT_DEPTH = 5
@@ -130,12 +131,10 @@ def add_schema_document(
         below = F.col(name)
         temporary.append(name)
     document = F.concat(F.lit("["), F.array_join(below, ","), F.lit("]"))
+    # pinned: built once, and a plain column for the Arrow function
+    df = pin(df, out, document).drop(*temporary)
     if not deep:
-        return df.withColumn(out, document).drop(*temporary)
-    # one-element explode: a boundary the optimizer does not inline expressions across,
-    # so the document is built once and the Arrow function sees a plain column
-    kept = [c for c in df.columns if c not in temporary]
-    df = df.select(*kept, F.explode(F.array(document)).alias(out))
+        return df
     fenced = F.when(F.contains(F.col(out), F.lit(OPEN)), F.col(out))
     return df.withColumn(out, F.coalesce(finish_documents(fenced), F.col(out)))
 

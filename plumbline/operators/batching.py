@@ -146,14 +146,14 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         ),
         lambda acc: acc["out"],
     )
-    entered = chain.select("client_id", "stretch", F.inline(walk))
+    entered = chain.select("client_id", "stretch", F.inline_outer(walk))
     begin = F.coalesce(
         F.col("entry"), F.struct(F.lit(0).alias("n"), F.col("stretch").alias("flushed")).cast(_STATE)
     )
     traced = (
         blocks.drop("tail", "exits")
         .join(entered, ["client_id", "stretch", "block"], "left")
-        .select("client_id", F.inline(_trace(F.col("rows"), begin, size, wait_ms)))
+        .select("client_id", F.inline_outer(_trace(F.col("rows"), begin, size, wait_ms)))
     )
     named = traced.select(
         "uid",

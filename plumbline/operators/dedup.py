@@ -125,7 +125,8 @@ def find_duplicates(df: DataFrame, schema: str | None = None) -> DataFrame:
         _islands(involved)
         .groupBy(*keys, "island")
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
-        .select(F.explode(_replay(F.col("rows"))).alias("uid"))
+        .select(F.explode_outer(_replay(F.col("rows"))).alias("uid"))
+        .filter(F.col("uid").isNotNull())
     )
 
 

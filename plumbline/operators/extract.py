@@ -16,13 +16,15 @@ from plumbline.functions.documents import (
     schema_nodes,
 )
 
+from plumbline.functions.planning import unnest
 from plumbline.functions.values import is_nested, items
 
 
 def property_types(df: DataFrame, keys: list[str], raw: str = "props") -> DataFrame:
     """Top-level properties with their observed types (B1)."""
     opened = open_levels(df, raw, max_depth=1)
-    return opened.select(*keys, F.posexplode("_level0").alias("ord", "m")).select(*keys, "ord", "m.name", "m.type")
+    rows = opened.select(*keys, F.posexplode_outer("_level0").alias("ord", "m")).filter("ord is not null")
+    return rows.select(*keys, "ord", "m.name", "m.type")
 
 
 def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth: int = DEFAULT_DEPTH) -> DataFrame:
@@ -31,11 +33,7 @@ def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth
     Values deeper than ``max_depth`` levels are followed by an Arrow helper, so
     no property is left out.
     """
-    nodes = (
-        open_levels(df, raw, max_depth=max_depth)
-        .select(*keys, schema_nodes(max_depth=max_depth).alias("_nodes"))
-        .select(*keys, F.explode("_nodes").alias("n"))
-    )
+    nodes = unnest(open_levels(df, raw, max_depth=max_depth), keys, schema_nodes(max_depth=max_depth), "n")
     deep = nodes.withColumn("_deep", nodes_in(F.col("n.fenced")))
     below = F.transform(
         "_deep",
@@ -46,7 +44,7 @@ def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth
     own = F.struct("n.path", "n.name", "n.type", "n.ord", F.coalesce("n.list_types", _types_below()).alias("list_types"))
     rows = F.concat(F.array(own), F.coalesce(below, F.array()))
     return (
-        deep.select(*keys, F.explode(rows).alias("r"))
+        unnest(deep, keys, rows, "r")
         .filter(F.col("r.name").isNotNull())
         .select(*keys, "r.path", (F.size("r.path") - 1).alias("depth"), "r.ord", "r.name", "r.type", "r.list_types")
     )

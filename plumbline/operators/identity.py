@@ -50,7 +50,7 @@ def identity_hours(events: DataFrame) -> DataFrame:
         hours.filter(F.col("start").isNotNull())
         .groupBy("client_id")
         .agg(F.sort_array(F.collect_list("start")).alias("starts"))
-        .select("client_id", F.inline(F.aggregate("starts", begin, step, lambda acc: acc["out"])))
+        .select("client_id", F.inline_outer(F.aggregate("starts", begin, step, lambda acc: acc["out"])))
     )
     running = by_hour.rowsBetween(Window.unboundedPreceding, 0)
     return (

@@ -31,7 +31,7 @@ def with_context(df: DataFrame, ms: str, horizon_ms: int, width_ms: int, both_si
     if both_sides:
         before = bucket_of(F.col(ms) - horizon_ms, width_ms)
         places.append(F.when(before < own, before))
-    df = df.select("*", F.explode(F.array_compact(F.array(*places))).alias("_bucket"))
+    df = df.select("*", F.explode_outer(F.array_compact(F.array(*places))).alias("_bucket"))
     return df.withColumn("_context", F.col("_bucket") != own)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.deep import nested_texts
 from plumbline.functions.patterns import matches
+from plumbline.functions.planning import pin, unnest
 from plumbline.functions.values import is_nested, items_of, let, members, needs_rendering, number_of, value_text
 
 RESULT = (
@@ -215,7 +216,7 @@ def add_results(df: DataFrame, out: str = "results", prefix: str = "_level", pat
             ),
         ),
     )
-    return df.withColumn(out, F.when(checked, results)).drop("_raws", "_rendered", "_opened", "_kids", "_failed")
+    return pin(df, out, F.when(checked, results)).drop("_raws", "_rendered", "_opened", "_kids", "_failed")
 
 
 def property_results(df: DataFrame, keys: list[str], results: str = "results") -> DataFrame:
@@ -230,12 +231,11 @@ def property_results(df: DataFrame, keys: list[str], results: str = "results") -
             F.coalesce(F.transform(r["children"], lambda c: row(r["name"], c["name"], c)), F.array()),
         ),
     )
-    return df.select(*keys, F.explode(F.flatten(rows)).alias("r")).select(*keys, "r.*")
+    return unnest(df, keys, F.flatten(rows), "r").select(*keys, "r.*")
 
 
 def failing_properties(df: DataFrame, keys: list[str], results: str = "results") -> DataFrame:
     """Top-level properties that report failed ids (C17)."""
-    return (
-        df.select(*keys, F.explode(F.filter(results, lambda r: F.size(r["failed"]) > 0)).alias("r"))
-        .select(*keys, F.col("r.name").alias("property"), F.col("r.failed").alias("failed"))
-    )
+    failing = F.filter(results, lambda r: F.size(r["failed"]) > 0)
+    rows = unnest(df, keys, failing, "r")
+    return rows.select(*keys, F.col("r.name").alias("property"), F.col("r.failed").alias("failed"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.patterns import compiled_only, translate
+from plumbline.functions.planning import unnest
 
 # fixed values: constraint kinds in checking order, with their wire names
 KINDS = (("pinned", "p"), ("allowed", "v"), ("regex", "rx"), ("minmax", "minmax"))
@@ -115,8 +116,7 @@ def flatten_properties(specs: DataFrame, levels: int = 8) -> DataFrame:
 def explode_constraints(specs: DataFrame, keys: list[str], levels: int = 8) -> DataFrame:
     """One row per key, property path, constraint and event id (A4)."""
     return (
-        flatten_properties(specs, levels)
-        .select(*keys, F.explode("properties").alias("p"))
+        unnest(flatten_properties(specs, levels), keys, F.col("properties"), "p")
         .select(
             *keys,
             "p.event_ord",
@@ -125,9 +125,11 @@ def explode_constraints(specs: DataFrame, keys: list[str], levels: int = 8) -> D
             (F.size("p.path") - 1).alias("depth"),
             "p.is_list",
             "p.required",
-            F.explode("p.checks").alias("c"),
+            F.explode_outer("p.checks").alias("c"),
         )
-        .select("*", "c.kind", "c.key", F.explode("c.event_ids").alias("event_id"))
+        .filter(F.col("c.kind").isNotNull())
+        .select("*", "c.kind", "c.key", F.explode_outer("c.event_ids").alias("event_id"))
+        .filter(F.col("event_id").isNotNull())
         .drop("c")
     )
 
@@ -295,6 +297,6 @@ def load_specs(df: DataFrame, keys: list[str], text: str = "spec_json", keep_is_
     small = size <= BROADCAST_BYTES
     patterns = []
     if small:
-        found = compiled.select(F.explode("patterns").alias("p")).distinct().limit(LITERAL_PATTERNS + 1).collect()
+        found = unnest(compiled, [], F.col("patterns"), "p").distinct().limit(LITERAL_PATTERNS + 1).collect()
         patterns = sorted(r["p"] for r in found) if len(found) <= LITERAL_PATTERNS else []
     return SpecTable(compiled, keys, small, patterns)
