@@ -24,7 +24,7 @@ from plumbline.catalog.inputs import (
 from plumbline.functions.documents import add_schema_document, open_levels
 from plumbline.functions.patterns import compiled_only, translate
 from plumbline.functions.planning import unnest
-from plumbline.functions.values import value_text
+from plumbline.functions.values import each, value_text
 from plumbline.operators.lookup import branch_epochs, lookup_spec, spec_asof, spec_keys_needed
 from plumbline.operators.validate import add_results, failing_properties, property_results
 from plumbline.sources.specs import all_event_ids, explode_constraints, load_specs, merge_constraints, read_specs
@@ -103,7 +103,7 @@ def merge_constraints_query(spark, sf):
 )
 def all_event_ids_query(spark, sf):
     specs = read_specs(part_specs(spark, sf))
-    return specs.select("event_name", F.array_join(all_event_ids(F.col("entries")), ",").alias("ids"))
+    return specs.select("event_name", F.array_join(F.expr(all_event_ids("entries")), ",").alias("ids"))
 
 
 _PATTERN = """CASE p_partkey % 7
@@ -120,7 +120,7 @@ def gate_patterns(spark, sf):
     """Distinct patterns go through the gate once; the verdict is joined back."""
     patterns = table(spark, sf, "part").select("p_partkey", F.expr(_PATTERN).alias("pattern"))
     java = patterns.select("pattern").distinct().withColumn("_java", translate(F.array("pattern")))
-    gated = java.select("pattern", F.get(compiled_only(F.col("_java")), F.lit(0)).isNotNull().alias("usable"))
+    gated = java.select("pattern", F.get(F.expr(compiled_only("_java")), F.lit(0)).isNotNull().alias("usable"))
     return patterns.join(gated, "pattern")
 
 
@@ -188,11 +188,11 @@ _FETCH_SQL = """
 dense AS (
   SELECT event_id AS n, concat('c', user_id % 20) AS client_id, event_type AS event_name,
          1704067200000 + event_id * 7000 + (event_id % 11) * 90 AS ms, CAST(props ->> '$.k' AS INT) AS k FROM events),
-fetch AS (
+fetched AS (
   SELECT n, client_id, event_name, ms, CASE WHEN n % 16 = 0 THEN NULL WHEN k % 10 < 7 THEN 'main' ELSE 'dev' END AS branch
   FROM dense WHERE n % 4 = 0),
 cur AS (
-  SELECT *, last_value(branch IGNORE NULLS) OVER (PARTITION BY client_id ORDER BY ms, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS current FROM fetch),
+  SELECT *, last_value(branch IGNORE NULLS) OVER (PARTITION BY client_id ORDER BY ms, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS current FROM fetched),
 changes AS (SELECT *, coalesce(branch <> current, false) AS changed FROM cur),
 epochs AS (
   SELECT *, max(CASE WHEN changed THEN ms END) OVER (PARTITION BY client_id ORDER BY ms, n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS epoch_ms,
@@ -282,7 +282,7 @@ _CODE_TEXT = "trim(code, '\"')"
 )
 def value_text_query(spark, sf):
     opened = open_levels(rich_events(spark, sf), "props", max_depth=1)
-    rows = unnest(opened, ["uid"], F.transform("_level0", lambda m: F.struct(m["name"], value_text(m).alias("text"))), "m")
+    rows = unnest(opened, ["uid"], F.expr(each("_level0", lambda m, _: f"named_struct('name', {m}.name, 'text', {value_text(m)})")), "m")
     return rows.select("uid", "m.name", "m.text")
 
 

@@ -19,54 +19,63 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.deep import CLOSE, OPEN, finish_documents
 from plumbline.functions.planning import pin
-from plumbline.functions.values import children_of, is_nested, json_text, let, members, quoted
+from plumbline.functions.values import (
+    MEMBERS,
+    children_of,
+    each,
+    is_nested,
+    json_text,
+    keep,
+    let,
+    members,
+    quoted,
+    some,
+)
 
 DEFAULT_DEPTH = 5
-MEMBERS = "array<struct<name:string,type:string,v:variant,raw:string>>"
 
 
-def _each(array: Column, depth: int, body: Callable, at: tuple = ()) -> Column:
+def _each_deep(array: str, depth: int, body: Callable[[str, tuple], str], at: tuple = ()) -> str:
     """Map ``body(element, indexes)`` over an array nested ``depth`` levels deep."""
     if depth == 0:
-        return F.transform(array, lambda x, i: body(x, at + (i,)))
-    return F.transform(array, lambda x, i: _each(x, depth - 1, body, at + (i,)))
+        return each(array, lambda x, i: body(x, at + (i,)))
+    return each(array, lambda x, i: _each_deep(x, depth - 1, body, at + (i,)))
 
 
-def _at(array: Column, indexes: tuple) -> Column:
+def _at(array: str, indexes: tuple) -> str:
     for i in indexes:
-        array = F.get(array, i)
+        array = f"get({array}, {i})"
     return array
 
 
-def first_of_its_type(kids: Column) -> Column:
+def is_scalar(node: str) -> str:
+    return f"{node}.type NOT IN ('object', 'list', 'null')"
+
+
+def first_of_its_type(kids: str) -> str:
     """Keep one entry per scalar type name; null and nested elements all stay."""
-    types = F.transform(kids, lambda k: k["type"])
-    return F.filter(
-        kids,
-        lambda k, i: is_nested(k["type"])
-        | (k["type"] == "null")
-        | (F.array_position(types, k["type"]) == i + 1),
+    return keep(
+        kids, lambda k, i: f"(NOT {is_scalar(k)} OR array_position({kids}.type, {k}.type) = {i} + 1)"
     )
 
 
 def open_levels(df: DataFrame, raw: str, prefix: str = "_level", max_depth: int = DEFAULT_DEPTH) -> DataFrame:
     """Add the level columns of the JSON object column ``raw``."""
-    df = df.withColumn(f"{prefix}0", F.coalesce(members(F.col(raw)), F.array().cast(MEMBERS)))
+    df = df.withColumn(f"{prefix}0", F.expr(f"coalesce({members(raw)}, CAST(array() AS {MEMBERS}))"))
     for depth in range(1, max_depth):
-        above = F.col(f"{prefix}{depth - 1}")
+        above = f"{prefix}{depth - 1}"
         if depth == 1:
-            above = F.when(F.exists(above, lambda m: is_nested(m["type"])), above)
+            above = f"CASE WHEN {some(above, is_nested)} THEN {above} END"
         kept = lambda node, at: let(
             children_of(node),
-            lambda kids: F.when(node["type"] == "list", first_of_its_type(kids)).otherwise(kids),
+            lambda kids: f"CASE WHEN {node}.type = 'list' THEN {first_of_its_type(kids)} ELSE {kids} END",
         )
-        df = df.withColumn(f"{prefix}{depth}", _each(above, depth - 1, kept))
+        df = df.withColumn(f"{prefix}{depth}", F.expr(_each_deep(above, depth - 1, kept)))
     return df
 
 
-def _ids(name: str, ids: Column) -> Column:
-    text = F.concat(F.lit(f',"{name}":'), F.to_json(ids))
-    return F.when(ids.isNotNull(), text).otherwise("")
+def _ids(name: str, ids: str) -> str:
+    return f"""CASE WHEN {ids} IS NOT NULL THEN concat(',"{name}":', to_json({ids})) ELSE '' END"""
 
 
 def add_schema_document(
@@ -74,7 +83,7 @@ def add_schema_document(
     out: str,
     prefix: str = "_level",
     results: str | None = None,
-    seal: Callable[[Column], Column] | None = None,
+    seal: Callable[[str], str] | None = None,
     max_depth: int = DEFAULT_DEPTH,
     deep: bool = True,
 ) -> DataFrame:
@@ -85,41 +94,32 @@ def add_schema_document(
     turns the JSON text of a scalar member into an encrypted value.
     """
 
-    def result_of(node: Column, at: tuple) -> Column | None:
+    def result_of(node: str, at: tuple) -> str | None:
         if results is None or len(at) > 2:
             return None
-        own = F.get(F.col(results), at[0])
+        own = f"get({results}, {at[0]})"
         if len(at) == 1:
             return own
-        return F.get(F.filter(own["children"], lambda r: r["name"] == node["name"]), F.lit(0))
+        return f"get({keep(own + '.children', lambda r, _: f'{r}.name = {node}.name')}, 0)"
 
-    def text(depth: int, below: Column | None) -> Callable:
-        def one(node: Column, at: tuple) -> Column:
+    def text(below: str | None) -> Callable[[str, tuple], str]:
+        def one(node: str, at: tuple) -> str:
             if below is None:
-                kids = F.when(is_nested(node["type"]), F.concat(F.lit(OPEN), node["raw"], F.lit(CLOSE)))
+                kids = f"CASE WHEN {is_nested(node)} THEN concat('{OPEN}', {node}.raw, '{CLOSE}') END"
             else:
-                kids = F.concat(F.lit("["), F.array_join(_at(below, at), ","), F.lit("]"))
-            result = result_of(node, at)
+                kids = f"concat('[', array_join({_at(below, at)}, ','), ']')"
             extras = []
             if seal is not None:
-                value = F.when(~is_nested(node["type"]), seal(json_text(node)))
-                extras.append(
-                    F.coalesce(F.concat(F.lit(',"encryptedPropertyValue":"'), value, F.lit('"')), F.lit(""))
-                )
-            extras.append(F.coalesce(F.concat(F.lit(',"children":'), kids), F.lit("")))
+                value = f"CASE WHEN NOT {is_nested(node)} THEN {seal(json_text(node))} END"
+                extras.append(f"""coalesce(concat(',"encryptedPropertyValue":"', {value}, '"'), '')""")
+            extras.append(f"""coalesce(concat(',"children":', {kids}), '')""")
+            result = result_of(node, at)
             if result is not None:
-                extras += [_ids("failedEventIds", result["failed"]), _ids("passedEventIds", result["passed"])]
-            member = F.concat(
-                F.lit('{"propertyName":'),
-                quoted(node["name"]),
-                F.lit(',"propertyType":"'),
-                node["type"],
-                F.lit('"'),
-                *extras,
-                F.lit("}"),
-            )
-            bare = F.when(node["type"] == "null", "[]").otherwise(F.concat(F.lit('"'), node["type"], F.lit('"')))
-            return F.when(node["name"].isNotNull(), member).otherwise(F.coalesce(kids, bare))
+                extras += [_ids("failedEventIds", f"{result}.failed"), _ids("passedEventIds", f"{result}.passed")]
+            member = f"""concat('{{"propertyName":', {quoted(node + '.name')}, ',"propertyType":"', {node}.type, '"',
+                {', '.join(extras)}, '}}')"""
+            bare = f"""CASE WHEN {node}.type = 'null' THEN '[]' ELSE concat('"', {node}.type, '"') END"""
+            return f"CASE WHEN {node}.name IS NOT NULL THEN {member} ELSE coalesce({kids}, {bare}) END"
 
         return one
 
@@ -127,15 +127,14 @@ def add_schema_document(
     temporary = []
     for depth in range(max_depth - 1, -1, -1):
         name = f"_text{depth}"
-        df = df.withColumn(name, _each(F.col(f"{prefix}{depth}"), depth, text(depth, below)))
-        below = F.col(name)
+        df = df.withColumn(name, F.expr(_each_deep(f"{prefix}{depth}", depth, text(below))))
+        below = name
         temporary.append(name)
-    document = F.concat(F.lit("["), F.array_join(below, ","), F.lit("]"))
     # pinned: built once, and a plain column for the Arrow function
-    df = pin(df, out, document).drop(*temporary)
+    df = pin(df, out, F.expr(f"concat('[', array_join({below}, ','), ']')")).drop(*temporary)
     if not deep:
         return df
-    fenced = F.when(F.contains(F.col(out), F.lit(OPEN)), F.col(out))
+    fenced = F.expr(f"CASE WHEN contains({out}, '{OPEN}') THEN {out} END")
     return df.withColumn(out, F.coalesce(finish_documents(fenced), F.col(out)))
 
 
@@ -154,29 +153,25 @@ def schema_nodes(prefix: str = "_level", max_depth: int = DEFAULT_DEPTH) -> Colu
     first-seen order (B3).  ``fenced`` is the text of a nested value below the
     last level; see ``deep.nodes_in``.
     """
-    level = lambda depth: F.col(f"{prefix}{depth}")
+
+    def node(n: str, at: tuple) -> str:
+        last = len(at) == max_depth
+        steps = [
+            f"coalesce({_at(f'{prefix}{d}', at[: d + 1])}.name, CAST({at[d]} AS string))" for d in range(len(at))
+        ]
+        types, fenced = "NULL", "NULL"
+        if last:
+            fenced = f"CASE WHEN {is_nested(n)} THEN {n}.raw END"
+        else:
+            scalars = keep(_at(f"{prefix}{len(at)}", at), lambda k, _: is_scalar(k))
+            types = f"CASE WHEN {n}.type = 'list' THEN {let(scalars, lambda s: f'{s}.type')} END"
+        return f"""named_struct('path', array({', '.join(steps)}), 'name', {n}.name, 'type', {n}.type,
+            'ord', {at[-1]}, 'list_types', CAST({types} AS array<string>), 'fenced', CAST({fenced} AS string))"""
+
     flat = []
     for depth in range(max_depth):
-
-        def node(n: Column, at: tuple) -> Column:
-            path = [
-                F.coalesce(_at(level(d), at[: d + 1])["name"], at[d].cast("string")) for d in range(len(at))
-            ]
-            last = len(at) == max_depth
-            kids = F.lit(None) if last else _at(level(len(at)), at)
-            scalar = lambda k: ~is_nested(k["type"]) & (k["type"] != "null")
-            types = F.transform(F.filter(kids, scalar), lambda k: k["type"]) if not last else kids
-            return F.struct(
-                F.array(*path).alias("path"),
-                n["name"].alias("name"),
-                n["type"].alias("type"),
-                at[-1].cast("int").alias("ord"),
-                F.when(n["type"] == "list", types).cast("array<string>").alias("list_types"),
-                (F.when(is_nested(n["type"]), n["raw"]) if last else F.lit(None).cast("string")).alias("fenced"),
-            )
-
-        nodes = _each(level(depth), depth, node)
+        nodes = _each_deep(f"{prefix}{depth}", depth, node)
         for _ in range(depth):
-            nodes = F.flatten(F.filter(nodes, lambda a: a.isNotNull()))
-        flat.append(F.coalesce(nodes, F.array().cast(f"array<{NODE}>")))
-    return F.filter(F.concat(*flat), lambda n: n["name"].isNotNull() | n["fenced"].isNotNull())
+            nodes = f"flatten({keep(nodes, lambda a, _: f'{a} IS NOT NULL')})"
+        flat.append(f"coalesce({nodes}, CAST(array() AS array<{NODE}>))")
+    return F.expr(keep(f"concat({', '.join(flat)})", lambda n, _: f"({n}.name IS NOT NULL OR {n}.fenced IS NOT NULL)"))

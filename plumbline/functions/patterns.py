@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.deep import column_argument
+from plumbline.functions.values import each, literal
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -103,15 +104,15 @@ def translate(patterns: Column) -> Column:
     return F.pandas_udf(_translate, T.ArrayType(T.StringType()))(column_argument(patterns))
 
 
-def compiled_only(translated: Column) -> Column:
-    """NULL for a translated pattern that the JVM cannot compile."""
-    compiles = lambda p: F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), p).isNotNull()
-    return F.transform(translated, lambda p: F.when(p.isNotNull() & compiles(p), p))
+def compiled_only(translated: str) -> str:
+    """NULL for a translated pattern that the JVM cannot compile (SQL)."""
+    compiles = lambda p: f"try_reflect('java.util.regex.Pattern', 'compile', {p}) IS NOT NULL"
+    return each(translated, lambda p, _: f"CASE WHEN {p} IS NOT NULL AND {compiles(p)} THEN {p} END")
 
 
-def matches(text: Column, pattern: Column, known: list[str]) -> Column:
-    """Unanchored match of ``text``; patterns in ``known`` are compiled once per task."""
-    result = F.rlike(text, pattern)
-    for literal in known:
-        result = F.when(pattern == literal, F.rlike(text, F.lit(literal))).otherwise(result)
-    return result
+def matches(text: str, pattern: str, known: list[str]) -> str:
+    """Unanchored match of ``text`` (SQL); patterns in ``known`` are compiled once per task."""
+    if not known:
+        return f"{text} RLIKE {pattern}"
+    cases = " ".join(f"WHEN {literal(p)} THEN {text} RLIKE {literal(p)}" for p in known)
+    return f"CASE {pattern} {cases} ELSE {text} RLIKE {pattern} END"

@@ -1,189 +1,204 @@
-"""JSON values as JavaScript sees them, written as Spark column expressions.
+"""JSON values as JavaScript sees them, written as Spark SQL expressions.
 
 A property object arrives as JSON text.  ``members`` and ``items`` open one
 level of it into an array of ``struct<name, type, v, raw>``: ``v`` is the typed
 variant and ``raw`` the text of a nested value, which keeps member order (a
 variant sorts its keys).  Nothing here leaves the JVM or needs a shuffle.
+
+All builders take and give SQL text: lambdas nest deeply here, and one parsed
+expression is far cheaper to set up than thousands of column calls.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-NESTED_TYPES = ("object", "list")
+MEMBERS = "array<struct<name:string,type:string,v:variant,raw:string>>"
 
-# An object key that JavaScript treats as an array index and lists first.
-_INDEX_KEY = r"^(0|[1-9][0-9]{0,9})$"
+# fixed values: an object key that JavaScript treats as an array index and lists first
+_INDEX_KEY = "r'^(0|[1-9][0-9]{0,9})$'"
 _INDEX_LIMIT = 4294967295
 
+_names = count()
+
+
+def fresh(prefix: str = "x") -> str:
+    """A lambda variable no enclosing lambda uses."""
+    return f"{prefix}{next(_names)}"
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
+
+def let(value: str, body: Callable[[str], str]) -> str:
     """Bind ``value`` once for ``body``; lambdas get no common-subexpression reuse."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    x = fresh()
+    return f"get(transform(array({value}), {x} -> {body(x)}), 0)"
+
+
+def each(array: str, body: Callable[[str, str], str]) -> str:
+    """Map ``body(element, index)``."""
+    x, i = fresh(), fresh("i")
+    return f"transform({array}, ({x}, {i}) -> {body(x, i)})"
+
 
+def keep(array: str, test: Callable[[str, str], str]) -> str:
+    """Elements for which ``test(element, index)`` holds."""
+    x, i = fresh(), fresh("i")
+    return f"filter({array}, ({x}, {i}) -> {test(x, i)})"
 
-def is_nested(type_name: Column) -> Column:
-    return type_name.isin(*NESTED_TYPES)
 
+def some(array: str, test: Callable[[str], str]) -> str:
+    x = fresh()
+    return f"exists({array}, {x} -> {test(x)})"
 
-def number_type(d: Column) -> Column:
+
+def literal(text: str) -> str:
+    """SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def is_nested(node: str) -> str:
+    return f"{node}.type IN ('object', 'list')"
+
+
+def number_type(d: str) -> str:
     """``int`` when the printed JavaScript number has no decimal point, else ``float``."""
-    size = F.abs(d)
-    plain = (size >= 1e-6) & (size < 1e21)
-    return (
-        F.when((d == F.floor(d)) & (size < 1e21), "int")
-        .when(plain, "float")
-        .when(d.cast("string").rlike(r"^-?[0-9]\.0E"), "int")
-        .otherwise("float")
-    )
+    return f"""CASE WHEN {d} = floor({d}) AND abs({d}) < 1e21 THEN 'int'
+        WHEN abs({d}) >= 1e-6 AND abs({d}) < 1e21 THEN 'float'
+        WHEN CAST({d} AS string) RLIKE r'^-?[0-9]\\.0E' THEN 'int' ELSE 'float' END"""
 
 
-def number_text(d: Column) -> Column:
+def number_text(d: str) -> str:
     """Text of a double as JavaScript prints it."""
-    size = F.abs(d)
-    strip = lambda c: F.regexp_replace(c, r"0+$", "")
-    exponent = F.regexp_replace(F.regexp_replace(d.cast("string"), r"\.0E", "E"), r"E(?=[0-9])", "E+")
-    return (
-        F.when(d == 0, "0")
-        .when((d == F.floor(d)) & (size < 1e21), d.cast("decimal(22,0)").cast("string"))
-        .when((size >= 1e-3) & (size < 1e7), d.cast("string"))
-        .when((size >= 1e7) & (size < 1e21), strip(d.cast("decimal(38,16)").cast("string")))
-        .when((size >= 1e-6) & (size < 1e-3), strip(d.cast("decimal(38,30)").cast("string")))
-        .otherwise(F.lower(exponent))
-    )
+    exponent = rf"regexp_replace(regexp_replace(CAST({d} AS string), r'\.0E', 'E'), r'E(?=[0-9])', 'E+')"
+    return f"""CASE WHEN {d} = 0 THEN '0'
+        WHEN {d} = floor({d}) AND abs({d}) < 1e21 THEN CAST(CAST({d} AS decimal(22,0)) AS string)
+        WHEN abs({d}) >= 1e-3 AND abs({d}) < 1e7 THEN CAST({d} AS string)
+        WHEN abs({d}) >= 1e7 AND abs({d}) < 1e21 THEN regexp_replace(CAST(CAST({d} AS decimal(38,16)) AS string), '0+$', '')
+        WHEN abs({d}) >= 1e-6 AND abs({d}) < 1e-3 THEN regexp_replace(CAST(CAST({d} AS decimal(38,30)) AS string), '0+$', '')
+        ELSE lower({exponent}) END"""
 
 
-def property_type(v: Column) -> Column:
+def _double(v: str) -> str:
+    return f"try_variant_get({v}, '$', 'double')"
+
+
+def property_type(v: str) -> str:
     """Observed type name of a variant value (B1)."""
-    number = F.try_variant_get(v, "$", "double")
     return let(
-        F.schema_of_variant(v),
-        lambda s: F.when(s == "BIGINT", "int")
-        .when(s == "STRING", "string")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s == "VOID", "null")
-        .when(s.startswith("ARRAY"), "list")
-        .when(s.startswith("OBJECT"), "object")
-        .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), number_type(number))
-        .otherwise("unknown"),
+        f"schema_of_variant({v})",
+        lambda s: f"""CASE WHEN {s} = 'BIGINT' THEN 'int' WHEN {s} = 'STRING' THEN 'string'
+            WHEN {s} = 'BOOLEAN' THEN 'boolean' WHEN {s} = 'VOID' THEN 'null'
+            WHEN startswith({s}, 'ARRAY') THEN 'list' WHEN startswith({s}, 'OBJECT') THEN 'object'
+            WHEN startswith({s}, 'DECIMAL') OR {s} IN ('DOUBLE', 'FLOAT') THEN {let(_double(v), number_type)}
+            ELSE 'unknown' END""",
     )
 
 
-def number_of(type_name: Column, v: Column) -> Column:
+def number_of(node: str) -> str:
     """The double behind a numeric value; NULL for every other type.
 
     A variant cast to double also accepts numeric strings and booleans, so the
     observed type is tested first.
     """
-    return F.when(type_name.isin("int", "float"), F.try_variant_get(v, "$", "double"))
+    return f"CASE WHEN {node}.type IN ('int', 'float') THEN {_double(node + '.v')} END"
 
 
-def _has_nested(raw: Column) -> Column:
-    return (F.locate("{", raw, 2) > 0) | (F.locate("[", raw, 2) > 0)
+def _has_nested(raw: str) -> str:
+    return f"(locate('{{', {raw}, 2) > 0 OR locate('[', {raw}, 2) > 0)"
 
 
-def _member(name: Column, v: Column, raw: Column) -> Column:
-    return let(
-        property_type(v),
-        lambda t: F.struct(name.alias("name"), t.alias("type"), v.alias("v"), raw.alias("raw")),
-    )
+def _member(name: str, v: str, raw: str) -> str:
+    return f"named_struct('name', {name}, 'type', {property_type(v)}, 'v', {v}, 'raw', {raw})"
 
 
-def _js_order(entries: Column) -> Column:
+def _position(name: str) -> str:
+    return f"try_to_number({name}, '9999999999')"
+
+
+def _js_order(entries: str) -> str:
     """Last duplicate wins at the first position; index-like names come first."""
-    names = lambda e: F.transform(e, lambda x: x["name"])
-    index_like = lambda x: x["name"].rlike(_INDEX_KEY) & (F.try_to_number(x["name"], F.lit("9999999999")) < _INDEX_LIMIT)
-
-    def unique(e: Column) -> Column:
-        first = F.filter(e, lambda x, i: F.array_position(names(e), x["name"]) == i + 1)
-        last = F.transform(first, lambda x: F.element_at(F.filter(e, lambda y: y["name"] == x["name"]), -1))
-        return F.when(F.size(F.array_distinct(names(e))) < F.size(e), last).otherwise(e)
-
-    def indexed_first(e: Column) -> Column:
-        position = lambda x: F.try_to_number(x["name"], F.lit("9999999999"))
-        ordered = F.array_sort(
-            F.filter(e, index_like),
-            lambda a, b: F.when(position(a) < position(b), -1).when(position(a) > position(b), 1).otherwise(0),
-        )
-        return F.when(
-            F.exists(e, index_like), F.concat(ordered, F.filter(e, lambda x: ~index_like(x)))
-        ).otherwise(e)
+    index_like = lambda x: f"({x}.name RLIKE {_INDEX_KEY} AND {_position(x + '.name')} < {_INDEX_LIMIT})"
+
+    def unique(e: str) -> str:
+        first = keep(e, lambda x, i: f"array_position({e}.name, {x}.name) = {i} + 1")
+        last = each(first, lambda x, _: f"element_at({keep(e, lambda y, _: f'{y}.name = {x}.name')}, -1)")
+        return f"CASE WHEN size(array_distinct({e}.name)) < size({e}) THEN {last} ELSE {e} END"
+
+    def indexed_first(e: str) -> str:
+        a, b = fresh("a"), fresh("b")
+        pa, pb = _position(f"{a}.name"), _position(f"{b}.name")
+        ordered = f"""array_sort({keep(e, lambda x, _: index_like(x))},
+            ({a}, {b}) -> CASE WHEN {pa} < {pb} THEN -1 WHEN {pa} > {pb} THEN 1 ELSE 0 END)"""
+        rest = keep(e, lambda x, _: f"NOT {index_like(x)}")
+        return f"CASE WHEN {some(e, index_like)} THEN concat({ordered}, {rest}) ELSE {e} END"
 
     return let(let(entries, unique), indexed_first)
 
 
-def members(raw: Column) -> Column:
+def members(raw: str) -> str:
     """Members of a JSON object in JavaScript key order; NULL unless ``raw`` is an object."""
-    entries = F.map_entries(F.from_json(raw, "map<string,variant>"))
-    texts = F.when(_has_nested(raw), F.map_values(F.from_json(raw, "map<string,string>")))
+    texts = f"CASE WHEN {_has_nested(raw)} THEN map_values(from_json({raw}, 'map<string,string>')) END"
     opened = let(
         texts,
-        lambda text: F.transform(
-            entries, lambda e, i: _member(e["key"], e["value"], F.get(text, i))
+        lambda text: each(
+            f"map_entries(from_json({raw}, 'map<string,variant>'))",
+            lambda e, i: _member(f"{e}.key", f"{e}.value", f"get({text}, {i})"),
         ),
     )
     return _js_order(opened)
 
 
-def items(raw: Column) -> Column:
+def items(raw: str) -> str:
     """Elements of a JSON array, as unnamed members."""
-    texts = F.when(_has_nested(raw), F.from_json(raw, "array<string>"))
+    texts = f"CASE WHEN {_has_nested(raw)} THEN from_json({raw}, 'array<string>') END"
     return let(
         texts,
-        lambda text: F.transform(
-            F.from_json(raw, "array<variant>"),
-            lambda v, i: _member(F.lit(None).cast("string"), v, F.get(text, i)),
+        lambda text: each(
+            f"from_json({raw}, 'array<variant>')",
+            lambda v, i: _member("CAST(NULL AS string)", v, f"get({text}, {i})"),
         ),
     )
 
 
-def children_of(node: Column) -> Column:
+def children_of(node: str) -> str:
     """Opened children of a nested member; NULL for a scalar."""
-    return F.when(node["type"] == "object", members(node["raw"])).when(
-        node["type"] == "list", items(node["raw"])
-    )
+    return f"CASE WHEN {node}.type = 'object' THEN {members(node + '.raw')} WHEN {node}.type = 'list' THEN {items(node + '.raw')} END"
 
 
-def items_of(node: Column) -> Column:
+def items_of(node: str) -> str:
     """Elements of a list member; NULL for anything else."""
-    return F.when(node["type"] == "list", items(node["raw"]))
+    return f"CASE WHEN {node}.type = 'list' THEN {items(node + '.raw')} END"
 
 
-def quoted(text: Column) -> Column:
+def quoted(text: str) -> str:
     """JSON string literal of ``text``."""
-    plain = F.concat(F.lit('"'), text, F.lit('"'))
-    escaped = F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
-    return F.when(text.rlike(r'["\\\x00-\x1f]'), escaped).otherwise(plain)
+    escaped = rf"regexp_extract(to_json(array({text})), r'(?s)^\[(.*)\]$', 1)"
+    return rf"""CASE WHEN {text} RLIKE r'["\\\x00-\x1f]' THEN {escaped} ELSE concat('"', {text}, '"') END"""
+
+
+def _scalar_text(node: str) -> str:
+    return f"""CASE WHEN {node}.type = 'null' THEN 'null'
+        WHEN {node}.type IN ('string', 'boolean') OR schema_of_variant({node}.v) = 'BIGINT'
+            THEN try_variant_get({node}.v, '$', 'string')
+        ELSE {let(_double(node + '.v'), number_text)} END"""
 
 
-def value_text(node: Column) -> Column:
+def value_text(node: str) -> str:
     """String form used in comparisons: scalars printed, nested values as compact JSON.
 
     The source text of a nested value is already compact and in member order;
     see ``needs_rendering`` for the numbers it may hold.
     """
-    return F.when(is_nested(node["type"]), node["raw"]).otherwise(_scalar_text(node))
+    return f"CASE WHEN {is_nested(node)} THEN {node}.raw ELSE {_scalar_text(node)} END"
 
 
-def needs_rendering(node: Column) -> Column:
+def needs_rendering(node: str) -> str:
     """True for a nested value whose text may hold a number JavaScript prints differently."""
-    return F.coalesce(is_nested(node["type"]) & node["raw"].rlike(r"[0-9](\.0([^0-9]|$)|E)"), F.lit(False))
+    return f"coalesce({is_nested(node)} AND {node}.raw RLIKE r'[0-9](\\.0([^0-9]|$)|E)', false)"
 
 
-def json_text(node: Column) -> Column:
+def json_text(node: str) -> str:
     """JSON form of a value: strings are quoted, the rest as ``value_text``."""
-    string = quoted(F.try_variant_get(node["v"], "$", "string"))
-    return F.when(node["type"] == "string", string).otherwise(value_text(node))
-
-
-def _scalar_text(node: Column) -> Column:
-    exact = F.try_variant_get(node["v"], "$", "string")
-    whole = F.schema_of_variant(node["v"]) == "BIGINT"
-    return (
-        F.when(node["type"] == "null", "null")
-        .when(node["type"].isin("string", "boolean") | whole, exact)
-        .otherwise(number_text(F.try_variant_get(node["v"], "$", "double")))
-    )
+    string = quoted(f"try_variant_get({node}.v, '$', 'string')")
+    return f"CASE WHEN {node}.type = 'string' THEN {string} ELSE {value_text(node)} END"

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.values import number_text, quoted
+from plumbline.functions.values import literal, number_text, quoted
 
 # fixed value: shorter request bodies are sent uncompressed
 GZIP_MIN_LENGTH = 1024
@@ -46,62 +46,65 @@ def _field(name: str, json: Column) -> Column:
     return F.concat(F.lit(f'"{name}":'), json)
 
 
-def _text(name: str, value: Column | str | None) -> Column:
-    value = F.lit(value) if not isinstance(value, Column) else value
-    return _field(name, F.coalesce(quoted(value), F.lit("null")))
+def _text(name: str, value: str) -> Column:
+    """Text member; ``value`` is SQL."""
+    return F.expr(f"""concat('"{name}":', coalesce({quoted(value)}, 'null'))""")
 
 
-def base_fields(app: App, rate: Column, stream_id: Column) -> list[Column]:
+def base_fields(app: App, rate: str, stream_id: str) -> list[Column]:
     """Fields shared by all bodies, in wire order (H1)."""
     fields = [
-        _text("apiKey", app.api_key),
-        _text("appName", app.name),
-        _text("appVersion", app.version),
-        _text("libVersion", app.lib_version),
-        _text("env", app.env),
-        _text("libPlatform", app.platform),
-        _text("messageId", message_id(F.col("uid"))),
-        _text("trackingId", ""),
-        _text("createdAt", iso_utc(F.col("ts"))),
-        _text("sessionId", ""),
+        _text("apiKey", literal(app.api_key)),
+        _text("appName", literal(app.name)),
+        _text("appVersion", literal(app.version)),
+        _text("libVersion", literal(app.lib_version)),
+        _text("env", literal(app.env)),
+        _text("libPlatform", literal(app.platform)),
+        _string("messageId", message_id(F.col("uid"))),
+        _text("trackingId", "''"),
+        _string("createdAt", iso_utc(F.col("ts"))),
+        _text("sessionId", "''"),
         _text("streamId", stream_id),
-        _field("samplingRate", number_text(rate)),
+        _field("samplingRate", F.expr(number_text(rate))),
     ]
     if app.public_key:
-        fields.append(_text("publicEncryptionKey", app.public_key))
+        fields.append(_text("publicEncryptionKey", literal(app.public_key)))
     return fields
 
 
+def _string(name: str, value: Column) -> Column:
+    """Text member of a value that needs no escapes."""
+    return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
+
+
 def _object(fields: list[Column]) -> Column:
     # concat_ws leaves out NULL fields
     return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
 
 
-def session_body(app: App, rate: Column | float = 1.0, stream_id: str = "stream_id") -> Column:
-    """Body of a session start."""
-    rate = rate if isinstance(rate, Column) else F.lit(rate)
-    return _object(base_fields(app, rate, F.col(stream_id)) + [_text("type", "sessionStarted")])
+def session_body(app: App, rate: str = "1D", stream_id: str = "stream_id") -> Column:
+    """Body of a session start; ``rate`` and ``stream_id`` are SQL."""
+    return _object(base_fields(app, rate, stream_id) + [_text("type", "'sessionStarted'")])
 
 
-def event_body(app: App, document: str = "document", rate: Column | float = 1.0, stream_id: Column | None = None) -> Column:
+def event_body(app: App, document: str = "document", rate: str = "1D", stream_id: str = "stream_id") -> Column:
     """Body of an event (H2).
 
     The event id and hash are always present, as null for a manual report; the
     specification's metadata and branch only after a validation.
     """
-    rate = rate if isinstance(rate, Column) else F.lit(rate)
     coded = F.col("event_id").isNotNull()
-    fields = base_fields(app, rate, F.col("stream_id") if stream_id is None else stream_id)
+    fields = base_fields(app, rate, stream_id)
     fields += [
-        _text("type", "event"),
-        _text("eventName", F.col("event_name")),
+        _text("type", "'event'"),
+        _text("eventName", "event_name"),
         _field("eventProperties", F.col(document)),
         _field(app.codegen_flag, coded.cast("string")),
-        _text("eventId", F.col("event_id")),
-        _text("eventHash", F.when(coded, F.col("event_hash"))),
+        _text("eventId", "event_id"),
+        _text("eventHash", "CASE WHEN event_id IS NOT NULL THEN event_hash END"),
         F.when(F.col("metadata").isNotNull(), _field("eventSpecMetadata", F.to_json("metadata"))),
         F.when(
-            F.col("metadata.branchId") != "", F.concat(F.lit('"validatedBranchId":'), quoted(F.col("metadata.branchId")))
+            F.col("metadata.branchId") != "", _text("validatedBranchId", "metadata.branchId")
         ),
     ]
     return _object(fields)

@@ -12,12 +12,13 @@ from plumbline.functions.documents import (
     DEFAULT_DEPTH,
     add_schema_document,
     drop_levels,
+    is_scalar,
     open_levels,
     schema_nodes,
 )
 
 from plumbline.functions.planning import unnest
-from plumbline.functions.values import is_nested, items
+from plumbline.functions.values import each, items, keep, let, literal
 
 
 def property_types(df: DataFrame, keys: list[str], raw: str = "props") -> DataFrame:
@@ -35,14 +36,15 @@ def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth
     """
     nodes = unnest(open_levels(df, raw, max_depth=max_depth), keys, schema_nodes(max_depth=max_depth), "n")
     deep = nodes.withColumn("_deep", nodes_in(F.col("n.fenced")))
-    below = F.transform(
+    below = each(
         "_deep",
-        lambda d: F.struct(
-            F.concat(F.col("n.path"), d["path"]).alias("path"), d["name"], d["type"], d["ord"], d["list_types"]
-        ),
+        lambda d, _: f"named_struct('path', concat(n.path, {d}.path), 'name', {d}.name, 'type', {d}.type, "
+        f"'ord', {d}.ord, 'list_types', {d}.list_types)",
     )
-    own = F.struct("n.path", "n.name", "n.type", "n.ord", F.coalesce("n.list_types", _types_below()).alias("list_types"))
-    rows = F.concat(F.array(own), F.coalesce(below, F.array()))
+    scalars = let(keep(items("n.fenced"), lambda k, _: is_scalar(k)), lambda s: f"array_distinct({s}.type)")
+    types = f"coalesce(n.list_types, CASE WHEN n.type = 'list' THEN {scalars} END)"
+    own = f"named_struct('path', n.path, 'name', n.name, 'type', n.type, 'ord', n.ord, 'list_types', {types})"
+    rows = F.expr(f"CASE WHEN _deep IS NULL THEN array({own}) ELSE concat(array({own}), {below}) END")
     return (
         unnest(deep, keys, rows, "r")
         .filter(F.col("r.name").isNotNull())
@@ -50,12 +52,6 @@ def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth
     )
 
 
-def _types_below() -> Column:
-    """Scalar types of a fenced list, whose items were not opened."""
-    scalars = F.filter(items(F.col("n.fenced")), lambda k: ~is_nested(k["type"]) & (k["type"] != "null"))
-    return F.when(F.col("n.type") == "list", F.array_distinct(F.transform(scalars, lambda k: k["type"])))
-
-
 def extract_document(
     df: DataFrame, raw: str = "props", out: str = "document", deep: bool = True, seal: Callable | None = None
 ) -> DataFrame:
@@ -64,7 +60,7 @@ def extract_document(
     return drop_levels(add_schema_document(opened, out, deep=deep, seal=seal))
 
 
-def sealer(key: str, env: str) -> Callable[[Column], Column] | None:
+def sealer(key: str, env: str) -> Callable[[str], str] | None:
     """Encryption of scalar values (B5): only in dev and staging, and only with a key.
 
     Values are sealed with AES-GCM as base64 text and never leave in the clear.
@@ -73,7 +69,7 @@ def sealer(key: str, env: str) -> Callable[[Column], Column] | None:
         return None
     if len(key.encode()) not in (16, 24, 32):
         raise ValueError("the key must have 16, 24 or 32 bytes")
-    return lambda text: F.base64(F.aes_encrypt(text, F.lit(key), F.lit("GCM"), F.lit("DEFAULT")))
+    return lambda text: f"base64(aes_encrypt({text}, {literal(key)}, 'GCM', 'DEFAULT'))"
 
 
 def unseal(value: Column, key: str) -> Column:

@@ -7,121 +7,106 @@ most of the rows is just more rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.deep import nested_texts
 from plumbline.functions.patterns import matches
 from plumbline.functions.planning import pin, unnest
-from plumbline.functions.values import is_nested, items_of, let, members, needs_rendering, number_of, value_text
-
-RESULT = (
-    "array<struct<name:string,failed:array<string>,passed:array<string>,"
-    "children:array<struct<name:string,failed:array<string>,passed:array<string>>>>>"
+from plumbline.functions.values import (
+    each,
+    is_nested,
+    items_of,
+    keep,
+    let,
+    members,
+    needs_rendering,
+    number_of,
+    some,
+    value_text,
 )
-_NO_IDS = "array<string>"
-
 
-def _none() -> Column:
-    return F.array().cast(_NO_IDS)
+_NONE = "CAST(array() AS array<string>)"
 
 
-def comparable(node: Column, rendered: Column | None = None) -> Column:
+def comparable(node: str, rendered: str = "NULL") -> str:
     """Type, text and number of a value; a missing one has type and text ``undefined``."""
-    text = value_text(node)
-    if rendered is not None:
-        text = F.coalesce(rendered, text)
-    return F.struct(
-        F.coalesce(node["type"], F.lit("undefined")).alias("type"),
-        F.coalesce(text, F.lit("undefined")).alias("text"),
-        number_of(node["type"], node["v"]).alias("number"),
-    )
+    return f"""named_struct('type', coalesce({node}.type, 'undefined'),
+        'text', coalesce({rendered}, {value_text(node)}, 'undefined'), 'number', {number_of(node)})"""
 
 
-def violates(x: Column, check: Column, patterns: list[str]) -> Column:
+def violates(x: str, check: str, patterns: list[str]) -> str:
     """Does a value break one check (C3-C6)?  Unusable keys and patterns never fail a value."""
-    allowed = check["allowed"].isNotNull() & ~F.array_contains(check["allowed"], x["text"])
-    pattern = (x["type"] != "string") | (
-        check["pattern"].isNotNull() & ~matches(x["text"], check["pattern"], patterns)
-    )
-    span = x["number"].isNull() | (
-        check["low"].isNotNull() & ((x["number"] < check["low"]) | (x["number"] > check["high"]))
-    )
-    broken = (
-        F.when(check["kind"] == "pinned", x["text"] != check["key"])
-        .when(check["kind"] == "allowed", allowed)
-        .when(check["kind"] == "regex", pattern)
-        .when(check["kind"] == "minmax", span)
-    )
-    return F.coalesce(broken, F.lit(False))
+    return f"""coalesce(CASE {check}.kind
+        WHEN 'pinned' THEN {x}.text <> {check}.key
+        WHEN 'allowed' THEN {check}.allowed IS NOT NULL AND NOT array_contains({check}.allowed, {x}.text)
+        WHEN 'regex' THEN {x}.type <> 'string'
+            OR ({check}.pattern IS NOT NULL AND NOT ({matches(f'{x}.text', f'{check}.pattern', patterns)}))
+        WHEN 'minmax' THEN {x}.number IS NULL
+            OR ({check}.low IS NOT NULL AND ({x}.number < {check}.low OR {x}.number > {check}.high))
+        END, false)"""
+
 
+def _prefers_passed(failed: str, passed: str) -> str:
+    return f"(size({passed}) < size({failed}) AND size({passed}) > 0)"
 
-def compact(failed: Column, all_ids: Column) -> Column:
+
+def _passed(failed: str) -> str:
+    return keep("all_ids", lambda i, _: f"NOT array_contains({failed}, {i})")
+
+
+def compact(failed: str) -> str:
     """Keep the shorter id list; ``failed`` on a tie, nothing when none failed."""
-    passed = F.filter(all_ids, lambda i: ~F.array_contains(failed, i))
     return let(
-        passed,
-        lambda p: F.struct(
-            F.when((F.size(failed) > 0) & ~_prefers_passed(failed, p), failed).alias("failed"),
-            F.when(_prefers_passed(failed, p), p).alias("passed"),
-        ),
+        _passed(failed),
+        lambda p: f"""named_struct(
+            'failed', CASE WHEN size({failed}) > 0 AND NOT {_prefers_passed(failed, p)} THEN {failed} END,
+            'passed', CASE WHEN {_prefers_passed(failed, p)} THEN {p} END)""",
     )
 
 
-def _prefers_passed(failed: Column, passed: Column) -> Column:
-    return (F.size(passed) < F.size(failed)) & (F.size(passed) > 0)
-
-
-def _failures(node: Column, checks: Column, patterns: list[str], rendered: Column | None = None) -> Column:
+def _failures(node: str, checks: str, patterns: list[str], rendered: str = "NULL") -> str:
     """Ids that fail for one value, in checking order."""
-    found = let(
+    broken = let(
         comparable(node, rendered),
-        lambda x: F.flatten(
-            F.transform(F.filter(checks, lambda c: violates(x, c, patterns)), lambda c: c["event_ids"])
-        ),
+        lambda x: let(keep(checks, lambda c, _: violates(x, c, patterns)), lambda k: f"{k}.event_ids"),
     )
-    return F.when(F.size(checks) > 0, F.array_distinct(found)).otherwise(_none())
+    return f"CASE WHEN size({checks}) > 0 THEN array_distinct(flatten({broken})) ELSE {_NONE} END"
 
 
-def _union(lists: Column) -> Column:
-    return F.coalesce(F.array_distinct(F.flatten(lists)), _none())
+def _union(lists: str) -> str:
+    return f"coalesce(array_distinct(flatten({lists})), {_NONE})"
 
 
-def _list_failures(node: Column, checks: Column, patterns: list[str]) -> Column:
+def _list_failures(node: str, checks: str, patterns: list[str]) -> str:
     """Any failing item fails the id; null items are checked too."""
-    return _union(F.transform(items_of(node), lambda item: _failures(item, checks, patterns)))
+    return _union(each(items_of(node), lambda item, _: _failures(item, checks, patterns)))
 
 
-def _skipped(node: Column, rule: Column) -> Column:
+def _skipped(node: str, rule: str) -> str:
     """Null or missing on an optional property is not checked."""
-    return F.coalesce(node["type"], F.lit("undefined")).isin("null", "undefined") & ~rule["required"]
+    return f"(coalesce({node}.type, 'null') = 'null' AND NOT {rule}.required)"
 
 
-def _child_failures(node: Column, rule: Column, patterns: list[str]) -> Column:
+def _child_failures(node: str, rule: str, patterns: list[str]) -> str:
     """Failures of a child value; its own children are below the depth limit."""
-    return (
-        F.when(rule["is_list"] & rule["has_children"], _none())
-        .when(rule["is_list"], F.when(node["type"] == "list", _list_failures(node, rule["checks"], patterns)))
-        .when(rule["has_children"] | _skipped(node, rule), _none())
-        .otherwise(_failures(node, rule["checks"], patterns))
-    )
+    listed = _list_failures(node, f"{rule}.checks", patterns)
+    return f"""coalesce(CASE WHEN {rule}.has_children THEN {_NONE}
+        WHEN {rule}.is_list THEN CASE WHEN {node}.type = 'list' THEN {listed} END
+        WHEN {_skipped(node, rule)} THEN {_NONE}
+        ELSE {_failures(node, f"{rule}.checks", patterns)} END, {_NONE})"""
 
 
-def _named(nodes: Column, name: Column) -> Column:
-    return F.get(F.filter(nodes, lambda n: n["name"] == name), F.lit(0))
+def _named(nodes: str, name: str) -> str:
+    return f"get({keep(nodes, lambda n, _: f'{n}.name = {name}')}, 0)"
 
 
-def _child_results(rules: Column, failures_of, all_ids: Column) -> Column:
+def _child_results(rules: str, failures_of) -> str:
     """Non-empty results per declared child; NULL when there is none."""
-    results = F.transform(
-        rules,
-        lambda r: let(
-            let(F.coalesce(failures_of(r), _none()), lambda f: compact(f, all_ids)),
-            lambda c: F.struct(r["name"].alias("name"), c["failed"].alias("failed"), c["passed"].alias("passed")),
-        ),
-    )
-    found = F.filter(results, lambda r: r["failed"].isNotNull() | r["passed"].isNotNull())
-    return let(found, lambda f: F.when(F.size(f) > 0, f))
+    row = lambda r, c: f"named_struct('name', {r}.name, 'failed', {c}.failed, 'passed', {c}.passed)"
+    results = each(rules, lambda r, _: let(let(failures_of(r), compact), lambda c: row(r, c)))
+    found = keep(results, lambda r, _: f"({r}.failed IS NOT NULL OR {r}.passed IS NOT NULL)")
+    return let(found, lambda f: f"CASE WHEN size({f}) > 0 THEN {f} END")
 
 
 def add_results(df: DataFrame, out: str = "results", prefix: str = "_level", patterns: list[str] = ()) -> DataFrame:
@@ -131,92 +116,74 @@ def add_results(df: DataFrame, out: str = "results", prefix: str = "_level", pat
     without failures, has an empty result.  It is NULL without a specification.
     """
     patterns = list(patterns)
-    all_ids = F.col("all_ids")
-    level = F.col(f"{prefix}0")
-    checked = F.col("plan").isNotNull()
+    level = f"{prefix}0"
+    rule_of = lambda m, body: let(f"try_element_at(plan, {m}.name)", body)
+    checked = lambda sql: F.expr(f"CASE WHEN plan IS NOT NULL THEN {sql} END")
 
     # a nested value compared as text by a scalar rule: JavaScript prints its numbers its own way
-    texted = lambda m: let(
-        F.try_element_at("plan", m["name"]),
-        lambda r: ~r["is_list"]
-        & ~r["has_children"]
-        & F.exists(r["checks"], lambda c: c["kind"].isin("pinned", "allowed")),
-    )
-    awkward = F.exists(level, lambda m: needs_rendering(m) & F.coalesce(texted(m), F.lit(False)))
-    raws = F.when(checked & awkward, F.transform(level, lambda m: F.when(is_nested(m["type"]), m["raw"])))
-    df = df.withColumn("_raws", raws).withColumn("_rendered", nested_texts(F.col("_raws")))
+    compared = lambda c: f"{c}.kind IN ('pinned', 'allowed')"
+    texted = lambda r: f"(NOT {r}.is_list AND NOT {r}.has_children AND {some(f'{r}.checks', compared)})"
+    awkward = some(level, lambda m: f"({needs_rendering(m)} AND coalesce({rule_of(m, texted)}, false))")
+    raws = each(level, lambda m, _: f"CASE WHEN {is_nested(m)} THEN {m}.raw END")
+    df = df.withColumn("_raws", checked(f"CASE WHEN {awkward} THEN {raws} END"))
+    df = df.withColumn("_rendered", nested_texts(F.col("_raws")))
 
     # children are opened once per value, and only where a rule asks for them
-    opened = F.transform(
+    opened = each(
         level,
-        lambda m: let(
-            F.try_element_at("plan", m["name"]),
-            lambda rule: F.struct(
-                rule.alias("rule"),
-                F.when(rule["is_list"] & rule["has_children"], F.transform(items_of(m), lambda i: members(i["raw"]))).alias(
-                    "item_members"
-                ),
-                F.when(~rule["is_list"] & rule["has_children"] & (m["type"] == "object"), members(m["raw"])).alias(
-                    "members"
-                ),
-            ),
+        lambda m, _: rule_of(
+            m,
+            lambda r: f"""named_struct('rule', {r},
+                'item_members', CASE WHEN {r}.is_list AND {r}.has_children
+                    THEN {each(items_of(m), lambda i, _: members(f"{i}.raw"))} END,
+                'members', CASE WHEN NOT {r}.is_list AND {r}.has_children AND {m}.type = 'object'
+                    THEN {members(f"{m}.raw")} END)""",
         ),
     )
-    df = df.withColumn("_opened", F.when(checked, opened))
+    df = df.withColumn("_opened", checked(opened))
 
-    def object_kids(o: Column) -> Column:  # C11
-        return _child_results(
-            o["rule"]["kids"], lambda r: let(_named(o["members"], r["name"]), lambda n: _child_failures(n, r, patterns)), all_ids
-        )
+    def object_kids(o: str) -> str:  # C11
+        child = lambda r: let(_named(f"{o}.members", f"{r}.name"), lambda n: _child_failures(n, r, patterns))
+        return _child_results(f"{o}.rule.kids", child)
 
-    def item_failures(kids: Column, rule: Column) -> Column:
-        failed = let(_named(kids, rule["name"]), lambda n: F.coalesce(_child_failures(n, rule, patterns), _none()))
+    def item_failures(kids: str, rule: str) -> str:
+        failed = let(_named(kids, f"{rule}.name"), lambda n: _child_failures(n, rule, patterns))
         # an item whose shorter list is the passed one stands for the rest of all ids
-        return let(
-            failed,
-            lambda f: F.when(
-                _prefers_passed(f, F.filter(all_ids, lambda i: ~F.array_contains(f, i))),
-                F.filter(all_ids, lambda i: F.array_contains(f, i)),
-            ).otherwise(f),
-        )
+        known = lambda f: keep("all_ids", lambda i, _: f"array_contains({f}, {i})")
+        prefers = lambda f: let(_passed(f), lambda p: _prefers_passed(f, p))
+        return let(failed, lambda f: f"CASE WHEN {prefers(f)} THEN {known(f)} ELSE {f} END")
 
-    def item_kids(o: Column) -> Column:  # C10
-        return _child_results(
-            o["rule"]["kids"], lambda r: _union(F.transform(o["item_members"], lambda kids: item_failures(kids, r))), all_ids
-        )
+    def item_kids(o: str) -> str:  # C10
+        child = lambda r: _union(each(f"{o}.item_members", lambda kids, _: item_failures(kids, r)))
+        return _child_results(f"{o}.rule.kids", child)
 
     # rules with children, then plain ones: two columns keep each expression small
-    nested = F.transform(
+    nested = each(
         "_opened",
-        lambda o: F.when(o["rule"]["is_list"] & o["rule"]["has_children"], item_kids(o)).when(
-            ~o["rule"]["is_list"] & o["rule"]["has_children"], object_kids(o)
-        ),
+        lambda o, _: f"""CASE WHEN {o}.rule.has_children THEN
+            CASE WHEN {o}.rule.is_list THEN {item_kids(o)} ELSE {object_kids(o)} END END""",
     )
-    df = df.withColumn("_kids", nested)
-
-    def own(m: Column, i: Column) -> Column:
-        rule = F.get(F.col("_opened"), i)["rule"]
-        return (
-            F.when(rule.isNull() | rule["has_children"], _none())
-            .when(rule["is_list"], F.when(m["type"] == "list", _list_failures(m, rule["checks"], patterns)))
-            .when(_skipped(m, rule), _none())
-            .otherwise(_failures(m, rule["checks"], patterns, F.get(F.col("_rendered"), i)))
+    df = df.withColumn("_kids", F.expr(nested))
+
+    def own(m: str, i: str) -> str:
+        return let(
+            f"get(_opened, {i}).rule",
+            lambda r: f"""coalesce(CASE WHEN {r} IS NULL OR {r}.has_children THEN {_NONE}
+                WHEN {r}.is_list THEN CASE WHEN {m}.type = 'list' THEN {_list_failures(m, f"{r}.checks", patterns)} END
+                WHEN {_skipped(m, r)} THEN {_NONE}
+                ELSE {_failures(m, f"{r}.checks", patterns, f"get(_rendered, {i})")} END, {_NONE})""",
         )
 
-    df = df.withColumn("_failed", F.when(checked, F.transform(level, own)))
-    results = F.transform(
+    df = df.withColumn("_failed", checked(each(level, own)))
+    results = each(
         level,
         lambda m, i: let(
-            let(F.coalesce(F.get(F.col("_failed"), i), _none()), lambda f: compact(f, all_ids)),
-            lambda c: F.struct(
-                m["name"].alias("name"),
-                c["failed"].alias("failed"),
-                c["passed"].alias("passed"),
-                F.get(F.col("_kids"), i).alias("children"),
-            ),
+            let(f"get(_failed, {i})", compact),
+            lambda c: f"""named_struct('name', {m}.name, 'failed', {c}.failed, 'passed', {c}.passed,
+                'children', get(_kids, {i}))""",
         ),
     )
-    return pin(df, out, F.when(checked, results)).drop("_raws", "_rendered", "_opened", "_kids", "_failed")
+    return pin(df, out, checked(results)).drop("_raws", "_rendered", "_opened", "_kids", "_failed")
 
 
 def property_results(df: DataFrame, keys: list[str], results: str = "results") -> DataFrame:

@@ -71,6 +71,6 @@ def production_profile(
 ) -> DataFrame:
     """Extraction, batching and sampling only; the stream id stays empty."""
     documented = extract_document(events, deep=deep).withColumn("metadata", F.lit(None).cast("struct<branchId:string>"))
-    bodies = documented.withColumn("body", event_body(app, stream_id=F.lit("")))
+    bodies = documented.withColumn("body", event_body(app, stream_id="''"))
     queue = assign_batches(bodies.select("uid", "client_id", "ts", "body"), size, seconds)
     return encode_batches(sample_batches(queue, F.lit(rate)))

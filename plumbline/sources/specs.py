@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.patterns import compiled_only, translate
 from plumbline.functions.planning import unnest
+from plumbline.functions.values import each, keep, let, some
 
 # fixed values: constraint kinds in checking order, with their wire names
 KINDS = (("pinned", "p"), ("allowed", "v"), ("regex", "rx"), ("minmax", "minmax"))
@@ -23,7 +24,8 @@ _WIRE = (
     "struct<events:array<struct<b:string,id:string,vids:array<string>,p:string>>,"
     "metadata:struct<schemaId:string,branchId:string,latestActionId:string,sourceId:string>>"
 )
-_INDEX_KEY = r"^(0|[1-9][0-9]{0,9})$"
+# fixed value: a key JavaScript lists first
+_INDEX_KEY = "r'^(0|[1-9][0-9]{0,9})$'"
 
 BROADCAST_BYTES = 64 << 20
 LITERAL_PATTERNS = 64
@@ -45,70 +47,54 @@ def read_specs(df: DataFrame, text: str = "spec_json") -> DataFrame:
     )
 
 
-def all_event_ids(entries: Column) -> Column:
-    """Base id and variant ids of every entry, repeats kept (C14)."""
-    return F.flatten(
-        F.transform(entries, lambda e: F.concat(F.array(e["id"]), F.coalesce(e["vids"], F.array().cast("array<string>"))))
-    )
+def all_event_ids(entries: str) -> str:
+    """Base id and variant ids of every entry, repeats kept (C14), as SQL."""
+    ids = each(entries, lambda e, _: f"concat(array({e}.id), coalesce({e}.vids, CAST(array() AS array<string>)))")
+    return f"flatten({ids})"
+
+
+_CHECK = "struct<rank:int,event_ord:int,key_ord:bigint,kind:string,key:string,event_ids:array<string>>"
 
 
-def _checks(p: Column, event_ord: Column) -> Column:
-    def rows(kind: str, wire: str, rank: int) -> Column:
+def _checks(p: str, event_ord: str) -> str:
+    def rows(kind: str, wire: str, rank: int) -> str:
         # index-like keys come first, as in a JavaScript object
-        order = lambda key, i: F.when(
-            key.rlike(_INDEX_KEY), F.try_to_number(key, F.lit("9999999999")).cast("long") - F.lit(1 << 34)
-        ).otherwise(i.cast("long"))
-        return F.coalesce(
-            F.transform(
-                F.map_entries(p[wire]),
-                lambda e, i: F.struct(
-                    F.lit(rank).alias("rank"),
-                    event_ord.cast("int").alias("event_ord"),
-                    order(e["key"], i).alias("key_ord"),
-                    F.lit(kind).alias("kind"),
-                    e["key"].alias("key"),
-                    e["value"].alias("event_ids"),
-                ),
-            ),
-            F.array().cast(
-                "array<struct<rank:int,event_ord:int,key_ord:bigint,kind:string,key:string,event_ids:array<string>>>"
-            ),
+        order = lambda e, i: (
+            f"CASE WHEN {e}.key RLIKE {_INDEX_KEY} THEN CAST(try_to_number({e}.key, '9999999999') AS bigint) - {1 << 34} "
+            f"ELSE CAST({i} AS bigint) END"
         )
+        checks = each(
+            f"map_entries({p}.{wire})",
+            lambda e, i: f"named_struct('rank', {rank}, 'event_ord', {event_ord}, 'key_ord', {order(e, i)}, "
+            f"'kind', '{kind}', 'key', {e}.key, 'event_ids', {e}.value)",
+        )
+        return f"coalesce({checks}, CAST(array() AS array<{_CHECK}>))"
+
+    return f"concat({', '.join(rows(kind, wire, rank) for rank, (kind, wire) in enumerate(KINDS))})"
+
 
-    return F.concat(*[rows(kind, wire, rank) for rank, (kind, wire) in enumerate(KINDS)])
-
-
-def _properties(json_map: Column, path: Column, event_ord: Column, base_id: Column) -> Column:
-    return F.transform(
-        F.map_entries(F.from_json(json_map, f"map<string,{_PROPERTY}>")),
-        lambda e, i: F.struct(
-            event_ord.cast("int").alias("event_ord"),
-            base_id.alias("base_event_id"),
-            F.concat(path, F.array(e["key"])).alias("path"),
-            i.cast("int").alias("prop_ord"),
-            e["value"]["t"].alias("type"),
-            F.coalesce(e["value"]["r"], F.lit(False)).alias("required"),
-            F.coalesce(e["value"]["l"], F.lit(False)).alias("is_list"),
-            e["value"]["children"].isNotNull().alias("has_children"),
-            _checks(e["value"], event_ord).alias("checks"),
-            e["value"]["children"].alias("children"),
-        ),
+def _properties(json_map: str, path: str, event_ord: str, base_id: str) -> str:
+    return each(
+        f"map_entries(from_json({json_map}, 'map<string,{_PROPERTY}>'))",
+        lambda e, i: f"""named_struct('event_ord', {event_ord}, 'base_event_id', {base_id},
+            'path', concat({path}, array({e}.key)), 'prop_ord', {i}, 'type', {e}.value.t,
+            'required', coalesce({e}.value.r, false), 'is_list', coalesce({e}.value.l, false),
+            'has_children', {e}.value.children IS NOT NULL, 'checks', {_checks(e + '.value', event_ord)},
+            'children', {e}.value.children)""",
     )
 
 
 def flatten_properties(specs: DataFrame, levels: int = 8) -> DataFrame:
     """Add ``properties``: one struct per declared property of every entry, at every level."""
-    root = F.array().cast("array<string>")
-    df = specs.withColumn(
-        "_p0",
-        F.flatten(F.transform("entries", lambda e, i: F.coalesce(_properties(e["p"], root, i, e["id"]), F.array()))),
-    )
+    root = "CAST(array() AS array<string>)"
+    top = each("entries", lambda e, i: f"coalesce({_properties(e + '.p', root, i, e + '.id')}, array())")
+    df = specs.withColumn("_p0", F.expr(f"flatten({top})"))
     for depth in range(1, levels):
-        below = F.transform(
-            F.filter(F.col(f"_p{depth - 1}"), lambda p: p["has_children"]),
-            lambda p: F.coalesce(_properties(p["children"], p["path"], p["event_ord"], p["base_event_id"]), F.array()),
+        below = each(
+            keep(f"_p{depth - 1}", lambda p, _: f"{p}.has_children"),
+            lambda p, _: f"coalesce({_properties(p + '.children', p + '.path', p + '.event_ord', p + '.base_event_id')}, array())",
         )
-        df = df.withColumn(f"_p{depth}", F.flatten(below))
+        df = df.withColumn(f"_p{depth}", F.expr(f"flatten({below})"))
     names = [f"_p{d}" for d in range(levels)]
     return df.withColumn("properties", F.concat(*names)).drop(*names)
 
@@ -134,20 +120,20 @@ def explode_constraints(specs: DataFrame, keys: list[str], levels: int = 8) -> D
     )
 
 
-def _merge_checks(rows: Column) -> Column:
+def _merge_checks(rows: str) -> str:
     """One check per (kind, key) with the union of its ids, in first-seen order."""
-    ordered = F.array_sort(rows)
-    same = lambda a, b: (a["kind"] == b["kind"]) & (a["key"] == b["key"])
-    names = lambda r: F.transform(r, lambda c: F.struct(c["kind"], c["key"]))
-    first = F.filter(
-        ordered, lambda c, i: F.array_position(names(ordered), F.struct(c["kind"], c["key"])) == i + 1
-    )
-    return F.transform(
-        first,
-        lambda c: c.withField(
-            "event_ids", F.array_distinct(F.flatten(F.transform(F.filter(ordered, lambda o: same(o, c)), lambda o: o["event_ids"])))
-        ),
-    )
+    same = lambda a, b: f"({a}.kind = {b}.kind AND {a}.key = {b}.key)"
+
+    def merge(ordered: str) -> str:
+        names = each(ordered, lambda c, _: f"struct({c}.kind, {c}.key)")
+        first = let(
+            names,
+            lambda n: keep(ordered, lambda c, i: f"array_position({n}, struct({c}.kind, {c}.key)) = {i} + 1"),
+        )
+        union = lambda c: let(keep(ordered, lambda o, _: same(o, c)), lambda k: f"array_distinct(flatten({k}.event_ids))")
+        return each(first, lambda c, _: f"named_struct('kind', {c}.kind, 'key', {c}.key, 'event_ids', {union(c)})")
+
+    return let(f"array_sort({rows})", merge)
 
 
 def merge_constraints(specs: DataFrame, keep_is_list: bool = False) -> DataFrame:
@@ -155,55 +141,45 @@ def merge_constraints(specs: DataFrame, keep_is_list: bool = False) -> DataFrame
 
     A document with several entries loses its list flags unless ``keep_is_list``.
     """
-    df = flatten_properties(specs, levels=2)
-    single = F.size("entries") == 1
-    is_list = lambda group: F.exists(group, lambda p: p["is_list"])
-    if not keep_is_list:
-        flag = is_list
-        is_list = lambda group: single & flag(group)
-
-    paths = F.array_distinct(F.transform("properties", lambda p: p["path"]))
-
-    def merge(path: Column) -> Column:
-        group = F.filter("properties", lambda p: p["path"] == path)
-        return F.struct(
-            path.alias("path"),
-            is_list(group).alias("is_list"),
-            F.get(group, F.lit(0))["required"].alias("required"),
-            F.exists(group, lambda p: p["has_children"]).alias("has_children"),
-            _merge_checks(F.flatten(F.transform(group, lambda p: p["checks"]))).alias("checks"),
+    single = "true" if keep_is_list else "size(entries) = 1"
+
+    def merge(path: str, _: str) -> str:
+        return let(
+            keep("properties", lambda p, _: f"{p}.path = {path}"),
+            lambda g: f"""named_struct('path', {path},
+                'is_list', {single} AND {some(g, lambda p: f'{p}.is_list')}, 'required', get({g}, 0).required,
+                'has_children', {some(g, lambda p: f'{p}.has_children')},
+                'checks', {_merge_checks(f'flatten({g}.checks)')})""",
         )
 
-    return df.withColumn("merged", F.transform(paths, merge)).drop("properties")
+    df = flatten_properties(specs, levels=2).withColumn("merged", F.expr(each("array_distinct(properties.path)", merge)))
+    return df.drop("properties")
 
 
-def parse_bound(text: Column) -> Column:
-    """Longest numeric prefix, as a lenient float parser reads it; NULL if there is none."""
-    prefix = F.regexp_extract(text, r"^\s*([+-]?(Infinity|[0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?))", 1)
-    return F.when(prefix != "", prefix).try_cast("double")
+# fixed value: the numeric prefix a lenient float parser reads
+_NUMBER_PREFIX = r"r'^\s*([+-]?(Infinity|[0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?))'"
 
 
-def _bounds(key: Column) -> tuple[Column, Column, Column]:
-    """Lower bound, upper bound, and whether both are usable."""
-    parts = F.split(key, ",")
-    side = lambda i, default: F.when(
-        F.coalesce(F.get(parts, F.lit(i)), F.lit("")) == "", F.lit(default)
-    ).otherwise(parse_bound(F.get(parts, F.lit(i))))
-    low, high = side(0, float("-inf")), side(1, float("inf"))
-    return low, high, low.isNotNull() & high.isNotNull()
+def _bound(key: str, side: int, unbounded: str) -> str:
+    """Numeric value of one side of a range; NULL when it cannot be read."""
+    part = f"get(split({key}, ','), {side})"
+    prefix = f"regexp_extract({part}, {_NUMBER_PREFIX}, 1)"
+    return f"""CASE WHEN coalesce({part}, '') = '' THEN double('{unbounded}')
+        WHEN {prefix} <> '' THEN try_cast({prefix} AS double) END"""
 
 
-def allowed_values(key: Column) -> Column:
-    """Strings in a JSON array; NULL when the text is not a JSON array.
+def allowed_values(key: str) -> str:
+    """Strings in a JSON array; NULL when the text is not a JSON array (SQL).
 
     Numbers never equal a value's text, so only string entries are kept.
     """
-    parsed = F.try_parse_json(key)
-    strings = F.filter(
-        F.try_variant_get(parsed, "$", "array<variant>"), lambda v: F.schema_of_variant(v) == "STRING"
-    )
-    is_array = F.schema_of_variant(parsed).startswith("ARRAY")
-    return F.when(is_array, F.transform(strings, lambda v: F.try_variant_get(v, "$", "string")))
+
+    def strings(v: str) -> str:
+        found = keep(f"try_variant_get({v}, '$', 'array<variant>')", lambda e, _: f"schema_of_variant({e}) = 'STRING'")
+        texts = each(found, lambda e, _: f"try_variant_get({e}, '$', 'string')")
+        return f"CASE WHEN startswith(schema_of_variant({v}), 'ARRAY') THEN {texts} END"
+
+    return let(f"try_parse_json({key})", strings)
 
 
 def compile_specs(specs: DataFrame, keys: list[str], keep_is_list: bool = False) -> DataFrame:
@@ -214,64 +190,39 @@ def compile_specs(specs: DataFrame, keys: list[str], keep_is_list: bool = False)
     ``plan`` is NULL for a known-absent specification.
     """
     df = merge_constraints(specs, keep_is_list)
-    regexes = F.array_distinct(
-        F.flatten(
-            F.transform(
-                "merged",
-                lambda p: F.transform(F.filter(p["checks"], lambda c: c["kind"] == "regex"), lambda c: c["key"]),
-            )
-        )
-    )
+    regexes = each("merged", lambda p, _: let(keep(f"{p}.checks", lambda c, _: f"{c}.kind = 'regex'"), lambda c: f"{c}.key"))
     # the gate is a Python helper: it runs before, and apart from, the array expressions
-    df = df.withColumn("_regexes", regexes).withColumn("_java", translate(F.col("_regexes")))
-    df = df.withColumn("_gated", compiled_only(F.col("_java")))
-
-    def ready(c: Column) -> Column:
-        low, high, usable = _bounds(c["key"])
-        position = F.array_position("_regexes", c["key"]).cast("int") - 1
-        is_kind = lambda k: c["kind"] == k
-        return F.struct(
-            c["kind"].alias("kind"),
-            c["key"].alias("key"),
-            F.when(is_kind("allowed"), allowed_values(c["key"])).alias("allowed"),
-            F.when(is_kind("minmax") & usable, low).alias("low"),
-            F.when(is_kind("minmax") & usable, high).alias("high"),
-            F.when(is_kind("regex"), F.get("_gated", position)).alias("pattern"),
-            c["event_ids"].alias("event_ids"),
+    df = df.withColumn("_regexes", F.expr(f"array_distinct(flatten({regexes}))"))
+    df = df.withColumn("_java", translate(F.col("_regexes"))).withColumn("_gated", F.expr(compiled_only("_java")))
+
+    def ready(c: str, _: str) -> str:
+        low, high = _bound(f"{c}.key", 0, "-Infinity"), _bound(f"{c}.key", 1, "Infinity")
+        return let(
+            f"CASE WHEN {c}.kind = 'minmax' THEN struct({low} AS low, {high} AS high) END",
+            lambda b: f"""named_struct('kind', {c}.kind, 'key', {c}.key,
+                'allowed', CASE WHEN {c}.kind = 'allowed' THEN {allowed_values(c + '.key')} END,
+                'low', CASE WHEN {b}.high IS NOT NULL THEN {b}.low END,
+                'high', CASE WHEN {b}.low IS NOT NULL THEN {b}.high END,
+                'pattern', CASE WHEN {c}.kind = 'regex' THEN get(_gated, CAST(array_position(_regexes, {c}.key) AS int) - 1) END,
+                'event_ids', {c}.event_ids)""",
         )
 
-    def rule(p: Column, name: Column) -> list[Column]:
-        return [
-            name.alias("name"),
-            p["is_list"].alias("is_list"),
-            p["required"].alias("required"),
-            p["has_children"].alias("has_children"),
-            F.transform(p["checks"], ready).alias("checks"),
-        ]
-
-    top = F.filter("merged", lambda p: F.size(p["path"]) == 1)
-    kids = lambda p: F.filter(
-        "merged", lambda k: (F.size(k["path"]) == 2) & (F.get(k["path"], F.lit(0)) == F.get(p["path"], F.lit(0)))
-    )
-    df = df.withColumn("_top", top)
-    plan = F.map_from_entries(
-        F.transform(
-            "_top",
-            lambda p: F.struct(
-                F.get(p["path"], F.lit(0)).alias("key"),
-                F.struct(
-                    *rule(p, F.get(p["path"], F.lit(0))),
-                    F.transform(kids(p), lambda k: F.struct(*rule(k, F.get(k["path"], F.lit(1))))).alias("kids"),
-                ).alias("value"),
-            ),
-        )
-    )
+    def rule(p: str, name: str) -> str:
+        return f"""'name', {name}, 'is_list', {p}.is_list, 'required', {p}.required,
+            'has_children', {p}.has_children, 'checks', {each(p + '.checks', ready)}"""
+
+    def entry(p: str, _: str) -> str:
+        kids = keep("merged", lambda k, _: f"(size({k}.path) = 2 AND get({k}.path, 0) = get({p}.path, 0))")
+        ruled = each(kids, lambda k, _: f"named_struct({rule(k, f'get({k}.path, 1)')})")
+        return f"struct(get({p}.path, 0) AS key, named_struct({rule(p, f'get({p}.path, 0)')}, 'kids', {ruled}) AS value)"
+
+    top = keep("merged", lambda p, _: f"size({p}.path) = 1")
     return df.select(
         *keys,
         "metadata",
-        all_event_ids(F.col("entries")).alias("all_ids"),
+        F.expr(all_event_ids("entries")).alias("all_ids"),
         F.filter("_gated", lambda p: p.isNotNull()).alias("patterns"),
-        plan.alias("plan"),
+        F.expr(f"map_from_entries({each(top, entry)})").alias("plan"),
     )
 
 
