@@ -8,6 +8,8 @@ both, and the outer forms derive nothing.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,3 +24,24 @@ def unnest(df: DataFrame, keys: list[str], array: Column, name: str) -> DataFram
     """One row per element; rows with an empty or NULL array go."""
     rows = df.select(*keys, F.posexplode_outer(array).alias(f"_{name}_pos", name))
     return rows.filter(F.col(f"_{name}_pos").isNotNull()).drop(f"_{name}_pos")
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage, through the session's checkpoint folder.
+
+    The folder is the one named by ``spark.checkpoint.dir``; where none is set,
+    as in tests, a temporary one serves.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="plumbline-"))
+    return df.checkpoint()
+
+
+def broadcast_if_small(settled: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a settled table of few, narrow rows; leave any other to a shuffle join."""
+    return F.broadcast(settled) if settled.count() <= rows else settled

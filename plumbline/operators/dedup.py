@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.planning import broadcast_if_small, settle
 from plumbline.operators.ordered import carry_last, with_context
 
 # fixed value: how long a report waits for its double
@@ -120,6 +121,8 @@ def find_duplicates(df: DataFrame, schema: str | None = None) -> DataFrame:
     if schema:
         by_shape = _near(narrow, keys + ["shape"], codegen, shaped)
         involved = involved.unionByName(by_shape).dropDuplicates(["uid"])
+    # few rows, used twice from here on
+    involved = settle(involved)
     row = F.struct("ms", "uid", "source", "params", "shape")
     return (
         _islands(involved)
@@ -132,7 +135,8 @@ def find_duplicates(df: DataFrame, schema: str | None = None) -> DataFrame:
 
 def dedup_events(df: DataFrame, schema: str | None = None) -> DataFrame:
     """Drop reports that double one of the other path at most 300 ms earlier."""
-    return df.join(find_duplicates(df, schema), "uid", "left_anti")
+    doubles = broadcast_if_small(settle(find_duplicates(df, schema)))
+    return df.join(doubles, "uid", "left_anti")
 
 
 def seen_by_codegen(checks: DataFrame, events: DataFrame) -> DataFrame:
