@@ -14,8 +14,11 @@ from plumbline.session import configure
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; one that is stored in fewer pieces than there are cores is spread over them."""
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def joined(ids: str):

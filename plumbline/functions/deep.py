@@ -149,23 +149,3 @@ def _walk(value, path: list, out: list) -> list:
 
 def _nodes(fenced: pd.Series) -> pd.Series:
     return fenced.map(lambda text: _walk(json.loads(text), [], []), na_action="ignore")
-
-
-def nested_texts(raws: Column) -> Column:
-    """Compact JSON of nested values, numbers printed as JavaScript does, per array slot."""
-    return F.pandas_udf(_render_all, T.ArrayType(T.StringType()))(column_argument(raws))
-
-
-def _render(value) -> str:
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_render(v)}" for k, v in _members(value)) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_render, value)) + "]"
-    if isinstance(value, float):
-        return number_text(value)
-    return json.dumps(value, ensure_ascii=False)
-
-
-def _render_all(raws: pd.Series) -> pd.Series:
-    one = lambda texts: [None if t is None else _render(json.loads(t)) for t in texts]
-    return raws.map(one, na_action="ignore")

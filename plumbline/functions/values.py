@@ -29,9 +29,13 @@ def fresh(prefix: str = "x") -> str:
 
 
 def let(value: str, body: Callable[[str], str]) -> str:
-    """Bind ``value`` once for ``body``; lambdas get no common-subexpression reuse."""
+    """Bind ``value`` once for ``body``; lambdas get no common-subexpression reuse.
+
+    ``element_at`` keeps its result type, where ``get`` works it out anew for
+    every row, through all of the body.
+    """
     x = fresh()
-    return f"get(transform(array({value}), {x} -> {body(x)}), 0)"
+    return f"element_at(transform(array({value}), {x} -> {body(x)}), 1)"
 
 
 def each(array: str, body: Callable[[str, str], str]) -> str:
@@ -63,7 +67,7 @@ def is_nested(node: str) -> str:
 
 def number_type(d: str) -> str:
     """``int`` when the printed JavaScript number has no decimal point, else ``float``."""
-    return f"""CASE WHEN {d} = floor({d}) AND abs({d}) < 1e21 THEN 'int'
+    return f"""CASE WHEN {d} % 1 = 0 AND abs({d}) < 1e21 THEN 'int'
         WHEN abs({d}) >= 1e-6 AND abs({d}) < 1e21 THEN 'float'
         WHEN CAST({d} AS string) RLIKE r'^-?[0-9]\\.0E' THEN 'int' ELSE 'float' END"""
 
@@ -72,7 +76,7 @@ def number_text(d: str) -> str:
     """Text of a double as JavaScript prints it."""
     exponent = rf"regexp_replace(regexp_replace(CAST({d} AS string), r'\.0E', 'E'), r'E(?=[0-9])', 'E+')"
     return f"""CASE WHEN {d} = 0 THEN '0'
-        WHEN {d} = floor({d}) AND abs({d}) < 1e21 THEN CAST(CAST({d} AS decimal(22,0)) AS string)
+        WHEN {d} % 1 = 0 AND abs({d}) < 1e21 THEN CAST(CAST({d} AS decimal(22,0)) AS string)
         WHEN abs({d}) >= 1e-3 AND abs({d}) < 1e7 THEN CAST({d} AS string)
         WHEN abs({d}) >= 1e7 AND abs({d}) < 1e21 THEN regexp_replace(CAST(CAST({d} AS decimal(38,16)) AS string), '0+$', '')
         WHEN abs({d}) >= 1e-6 AND abs({d}) < 1e-3 THEN regexp_replace(CAST(CAST({d} AS decimal(38,30)) AS string), '0+$', '')
@@ -185,17 +189,24 @@ def _scalar_text(node: str) -> str:
 
 
 def value_text(node: str) -> str:
-    """String form used in comparisons: scalars printed, nested values as compact JSON.
+    """String form used in comparisons: scalars printed, nested values as compact JSON."""
+    nested = f"CASE WHEN {node}.raw RLIKE r'[0-9](\\.0([^0-9]|$)|E)' THEN {_render(node + '.raw')} ELSE {node}.raw END"
+    return f"CASE WHEN {is_nested(node)} THEN {nested} ELSE {_scalar_text(node)} END"
 
-    The source text of a nested value is already compact and in member order;
-    see ``needs_rendering`` for the numbers it may hold.
-    """
-    return f"CASE WHEN {is_nested(node)} THEN {node}.raw ELSE {_scalar_text(node)} END"
 
+def _render(raw: str) -> str:
+    """Source text of a nested value with its numbers printed as JavaScript does.
 
-def needs_rendering(node: str) -> str:
-    """True for a nested value whose text may hold a number JavaScript prints differently."""
-    return f"coalesce({is_nested(node)} AND {node}.raw RLIKE r'[0-9](\\.0([^0-9]|$)|E)', false)"
+    The text is already compact and in member order.  With escapes set aside,
+    every second piece between quotes is a string; the others split into tokens.
+    """
+    hidden = rf"replace(replace({raw}, r'\\', '\u0003'), r'\"', '\u0004')"
+    number = lambda t: let(f"CAST({t} AS double)", number_text)
+    token = lambda t, _: f"CASE WHEN {t} RLIKE r'^-?[0-9]+[.E]' THEN {number(t)} ELSE {t} END"
+    boundary = r"r'(?<=[,:\[\]{}])|(?=[,:\[\]{}])'"
+    piece = lambda s, i: f"CASE WHEN {i} % 2 = 1 THEN {s} ELSE array_join({each(f'split({s}, {boundary})', token)}, '') END"
+    pieces = each(f"split({hidden}, '\"')", piece)
+    return rf"replace(replace(array_join({pieces}, '\"'), '\u0004', r'\"'), '\u0003', r'\\')"
 
 
 def json_text(node: str) -> str:

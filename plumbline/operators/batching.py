@@ -113,7 +113,11 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         F.array_sort(F.collect_list(F.struct("ms", "uid"))).alias("rows")
     )
     in_stretch = Window.partitionBy("client_id", "stretch").orderBy("block")
-    blocks = blocks.withColumn("tail", F.lag(F.slice(F.reverse("rows"), 1, size)).over(in_stretch))
+    # the rows that can be the last flush before the next block, newest first; before the
+    # first flush of a stretch that is the one that began it
+    opening = F.when(F.lag("block").over(in_stretch).isNull(), F.array("stretch")).otherwise(F.array().cast(f"array<{_ROW}>"))
+    blocks = blocks.withColumn("recent", F.slice(F.concat(F.reverse("rows"), opening), 1, size))
+    blocks = blocks.withColumn("tail", F.lag("recent").over(in_stretch))
 
     # entry n: the last flush was n rows before the block
     exits = F.when(
@@ -151,7 +155,7 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         F.col("entry"), F.struct(F.lit(0).alias("n"), F.col("stretch").alias("flushed")).cast(_STATE)
     )
     traced = (
-        blocks.drop("tail", "exits")
+        blocks.drop("recent", "tail", "exits")
         .join(entered, ["client_id", "stretch", "block"], "left")
         .select("client_id", F.inline_outer(_trace(F.col("rows"), begin, size, wait_ms)))
     )

@@ -10,17 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.deep import nested_texts
 from plumbline.functions.patterns import matches
 from plumbline.functions.planning import pin, unnest
 from plumbline.functions.values import (
     each,
-    is_nested,
     items_of,
     keep,
     let,
     members,
-    needs_rendering,
     number_of,
     some,
     value_text,
@@ -29,10 +26,10 @@ from plumbline.functions.values import (
 _NONE = "CAST(array() AS array<string>)"
 
 
-def comparable(node: str, rendered: str = "NULL") -> str:
+def comparable(node: str) -> str:
     """Type, text and number of a value; a missing one has type and text ``undefined``."""
     return f"""named_struct('type', coalesce({node}.type, 'undefined'),
-        'text', coalesce({rendered}, {value_text(node)}, 'undefined'), 'number', {number_of(node)})"""
+        'text', coalesce({value_text(node)}, 'undefined'), 'number', {number_of(node)})"""
 
 
 def violates(x: str, check: str, patterns: list[str]) -> str:
@@ -57,18 +54,18 @@ def _passed(failed: str) -> str:
 
 def compact(failed: str) -> str:
     """Keep the shorter id list; ``failed`` on a tie, nothing when none failed."""
-    return let(
+    shorter = let(
         _passed(failed),
-        lambda p: f"""named_struct(
-            'failed', CASE WHEN size({failed}) > 0 AND NOT {_prefers_passed(failed, p)} THEN {failed} END,
+        lambda p: f"""named_struct('failed', CASE WHEN NOT {_prefers_passed(failed, p)} THEN {failed} END,
             'passed', CASE WHEN {_prefers_passed(failed, p)} THEN {p} END)""",
     )
+    return f"CASE WHEN size({failed}) > 0 THEN {shorter} END"
 
 
-def _failures(node: str, checks: str, patterns: list[str], rendered: str = "NULL") -> str:
+def _failures(node: str, checks: str, patterns: list[str]) -> str:
     """Ids that fail for one value, in checking order."""
     broken = let(
-        comparable(node, rendered),
+        comparable(node),
         lambda x: let(keep(checks, lambda c, _: violates(x, c, patterns)), lambda k: f"{k}.event_ids"),
     )
     return f"CASE WHEN size({checks}) > 0 THEN array_distinct(flatten({broken})) ELSE {_NONE} END"
@@ -114,37 +111,18 @@ def add_results(df: DataFrame, out: str = "results", prefix: str = "_level", pat
 
     ``out`` is aligned with the members of level 0: a member without rules, or
     without failures, has an empty result.  It is NULL without a specification.
+
+    All of it is one expression.  Only its result becomes a column, so the rules
+    joined to an event are read in place and never copied from step to step.
     """
     patterns = list(patterns)
-    level = f"{prefix}0"
-    rule_of = lambda m, body: let(f"try_element_at(plan, {m}.name)", body)
-    checked = lambda sql: F.expr(f"CASE WHEN plan IS NOT NULL THEN {sql} END")
-
-    # a nested value compared as text by a scalar rule: JavaScript prints its numbers its own way
-    compared = lambda c: f"{c}.kind IN ('pinned', 'allowed')"
-    texted = lambda r: f"(NOT {r}.is_list AND NOT {r}.has_children AND {some(f'{r}.checks', compared)})"
-    awkward = some(level, lambda m: f"({needs_rendering(m)} AND coalesce({rule_of(m, texted)}, false))")
-    raws = each(level, lambda m, _: f"CASE WHEN {is_nested(m)} THEN {m}.raw END")
-    df = df.withColumn("_raws", checked(f"CASE WHEN {awkward} THEN {raws} END"))
-    df = df.withColumn("_rendered", nested_texts(F.col("_raws")))
-
-    # children are opened once per value, and only where a rule asks for them
-    opened = each(
-        level,
-        lambda m, _: rule_of(
-            m,
-            lambda r: f"""named_struct('rule', {r},
-                'item_members', CASE WHEN {r}.is_list AND {r}.has_children
-                    THEN {each(items_of(m), lambda i, _: members(f"{i}.raw"))} END,
-                'members', CASE WHEN NOT {r}.is_list AND {r}.has_children AND {m}.type = 'object'
-                    THEN {members(f"{m}.raw")} END)""",
-        ),
-    )
-    df = df.withColumn("_opened", checked(opened))
 
-    def object_kids(o: str) -> str:  # C11
-        child = lambda r: let(_named(f"{o}.members", f"{r}.name"), lambda n: _child_failures(n, r, patterns))
-        return _child_results(f"{o}.rule.kids", child)
+    def object_kids(m: str, rule: str) -> str:  # C11
+        def child(kids: str):
+            return lambda r: let(_named(kids, f"{r}.name"), lambda n: _child_failures(n, r, patterns))
+
+        opened = f"CASE WHEN {m}.type = 'object' THEN {members(f'{m}.raw')} END"
+        return let(opened, lambda kids: _child_results(f"{rule}.kids", child(kids)))
 
     def item_failures(kids: str, rule: str) -> str:
         failed = let(_named(kids, f"{rule}.name"), lambda n: _child_failures(n, rule, patterns))
@@ -153,37 +131,33 @@ def add_results(df: DataFrame, out: str = "results", prefix: str = "_level", pat
         prefers = lambda f: let(_passed(f), lambda p: _prefers_passed(f, p))
         return let(failed, lambda f: f"CASE WHEN {prefers(f)} THEN {known(f)} ELSE {f} END")
 
-    def item_kids(o: str) -> str:  # C10
-        child = lambda r: _union(each(f"{o}.item_members", lambda kids, _: item_failures(kids, r)))
-        return _child_results(f"{o}.rule.kids", child)
-
-    # rules with children, then plain ones: two columns keep each expression small
-    nested = each(
-        "_opened",
-        lambda o, _: f"""CASE WHEN {o}.rule.has_children THEN
-            CASE WHEN {o}.rule.is_list THEN {item_kids(o)} ELSE {object_kids(o)} END END""",
-    )
-    df = df.withColumn("_kids", F.expr(nested))
-
-    def own(m: str, i: str) -> str:
-        return let(
-            f"get(_opened, {i}).rule",
-            lambda r: f"""coalesce(CASE WHEN {r} IS NULL OR {r}.has_children THEN {_NONE}
-                WHEN {r}.is_list THEN CASE WHEN {m}.type = 'list' THEN {_list_failures(m, f"{r}.checks", patterns)} END
-                WHEN {_skipped(m, r)} THEN {_NONE}
-                ELSE {_failures(m, f"{r}.checks", patterns, f"get(_rendered, {i})")} END, {_NONE})""",
-        )
-
-    df = df.withColumn("_failed", checked(each(level, own)))
-    results = each(
-        level,
-        lambda m, i: let(
-            let(f"get(_failed, {i})", compact),
-            lambda c: f"""named_struct('name', {m}.name, 'failed', {c}.failed, 'passed', {c}.passed,
-                'children', get(_kids, {i}))""",
-        ),
-    )
-    return pin(df, out, checked(results)).drop("_raws", "_rendered", "_opened", "_kids", "_failed")
+    def item_kids(m: str, rule: str) -> str:  # C10
+        def child(opened: str):
+            return lambda r: _union(each(opened, lambda kids, _: item_failures(kids, r)))
+
+        opened = each(items_of(m), lambda i, _: members(f"{i}.raw"))
+        return let(opened, lambda o: _child_results(f"{rule}.kids", child(o)))
+
+    def own(m: str, rule: str) -> str:
+        return f"""coalesce(CASE WHEN {rule}.has_children THEN {_NONE}
+            WHEN {rule}.is_list THEN CASE WHEN {m}.type = 'list' THEN {_list_failures(m, f"{rule}.checks", patterns)} END
+            WHEN {_skipped(m, rule)} THEN {_NONE}
+            ELSE {_failures(m, f"{rule}.checks", patterns)} END, {_NONE})"""
+
+    def one(m: str, _: str) -> str:
+        def with_rule(rule: str) -> str:
+            kids = f"""CASE WHEN {rule}.has_children THEN
+                CASE WHEN {rule}.is_list THEN {item_kids(m, rule)} ELSE {object_kids(m, rule)} END END"""
+            checked = let(
+                let(own(m, rule), compact),
+                lambda c: f"named_struct('name', {m}.name, 'failed', {c}.failed, 'passed', {c}.passed, 'children', {kids})",
+            )
+            free = f"named_struct('name', {m}.name, 'failed', NULL, 'passed', NULL, 'children', NULL)"
+            return f"CASE WHEN {rule} IS NULL THEN {free} ELSE {checked} END"
+
+        return let(f"try_element_at(plan, {m}.name)", with_rule)
+
+    return pin(df, out, F.expr(f"CASE WHEN plan IS NOT NULL THEN {each(f'{prefix}0', one)} END"))
 
 
 def property_results(df: DataFrame, keys: list[str], results: str = "results") -> DataFrame:
