@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.patterns import compiled_only, translate
-from plumbline.functions.planning import unnest
+from plumbline.functions.planning import settle, unnest
 from plumbline.functions.values import each, keep, let, some
 
 # fixed values: constraint kinds in checking order, with their wire names
@@ -248,6 +248,8 @@ def load_specs(df: DataFrame, keys: list[str], text: str = "spec_json", keep_is_
     small = size <= BROADCAST_BYTES
     patterns = []
     if small:
+        # small enough to compute once and keep
+        compiled = settle(compiled)
         found = unnest(compiled, [], F.col("patterns"), "p").distinct().limit(LITERAL_PATTERNS + 1).collect()
         patterns = sorted(r["p"] for r in found) if len(found) <= LITERAL_PATTERNS else []
     return SpecTable(compiled, keys, small, patterns)
