@@ -26,7 +26,7 @@ REPETITION_LIMIT = 25
 # fixed value: white space JavaScript's \s matches beyond the ASCII set
 WIDE_SPACE = r"\u000b\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
-_TOKEN = re.compile(r"\\.|\[\^?(?:\\.|[^\]\\])*\]|[*+?]|\{\d+(?:,\d*)?\}|\(\?(?:[:=!]|<[=!]|<\w+>)|.", re.S)
+_TOKEN = re.compile(r"\\.|\[\^?\]|\[\^?(?:\\.|[^\]\\])*\]|[*+?]|\{\d+(?:,\d*)?\}|\(\?(?:[:=!]|<[=!]|<\w+>)|.", re.S)
 _QUANTIFIER = re.compile(r"[*+?]|\{\d+(?:,\d*)?\}")
 
 
@@ -83,16 +83,7 @@ def to_java(pattern: str) -> str:
             return "[" + re.sub(r"(?<!\\)\[", r"\\[", body).replace("&&", r"&\&") + "]"
         return token
 
-    return "".join(one(t) for t in _tokens(pattern))
-
-
-def _tokens(pattern: str) -> list:
-    """Tokens, with JavaScript's empty classes kept apart."""
-    parts = re.split(r"(\[\^?\])", pattern)
-    out = []
-    for part in parts:
-        out += [part] if part in ("[]", "[^]") else _TOKEN.findall(part)
-    return out
+    return "".join(one(t) for t in _TOKEN.findall(pattern))
 
 
 def _translate(patterns: pd.Series) -> pd.Series:
