@@ -1,4 +1,8 @@
-"""What a user calls: inspect events, inspect schemas, extract only, production profile."""
+"""What a user calls: inspect events, inspect schemas, extract only, production profile.
+
+Events are accepted ones: ``sources.events.split_rejects`` takes out those
+whose property text is not one JSON object.
+"""
 
 from __future__ import annotations
 
