@@ -27,7 +27,7 @@ _WIRE = (
 # fixed value: a key JavaScript lists first
 _INDEX_KEY = "r'^(0|[1-9][0-9]{0,9})$'"
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20
 LITERAL_PATTERNS = 64
 
 

@@ -147,3 +147,26 @@ def test_bad_shape_is_no_spec(spark):
     empty = wire({}).replace(wire({})[wire({}).index("[") : wire({}).rindex("]") + 1], "[]", 1)
     known = spark.createDataFrame([("x", empty)], "event_name string, spec_json string")
     assert lookup_spec(events, load_specs(known, ["event_name"])).filter(F.col("plan").isNotNull()).count() == 1
+
+
+def test_large_table_joins_by_shuffle(spark, monkeypatch):
+    spec = {"a": prop(rx={"^a.c$": ["e"], "(a+)+$": ["v1"]}), "k": prop(minmax={"0,5": ["v1"]})}
+    rows = ({"a": "abc", "k": 9}, {"a": "b"}, {"a": 5})
+    small = check(spark, spec, *rows, ids=IDS + ["w"])
+    monkeypatch.setattr("plumbline.sources.specs.BROADCAST_BYTES", -1)
+    specs = spark.createDataFrame([("x", wire(spec))], "event_name string, spec_json string")
+    table = load_specs(specs, ["event_name"])
+    assert not table.small and table.patterns == []
+    plan = lookup_spec(spark.createDataFrame([("x", "{}")], "event_name string, props string"), table)
+    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+    assert check(spark, spec, *rows, ids=IDS + ["w"]) == small
+    assert small[0] == {"k": ("failed", ["v1"])} and small[1] == {"a": ("failed", ["e"])}
+
+
+def test_validation_does_not_shuffle(spark):
+    specs = spark.createDataFrame([("x", wire({"k": prop(minmax={"0,5": ["e"]})}))], "event_name string, spec_json string")
+    table = load_specs(specs, ["event_name"])
+    events = spark.createDataFrame([("x", '{"k":1}')], "event_name string, props string")
+    checked = add_results(lookup_spec(open_levels(events, "props"), table), patterns=table.patterns)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
