@@ -29,9 +29,9 @@ COMMON = 0.001
 #: words a language needs to serve as a reference
 LANGUAGE_WORDS = 10_000
 #: words a text needs to be judged by its histograms
-CHARACTER_GUARD, WORD_GUARD = 100, 200
+CHARACTER_GUARD, WORD_GUARD = 50, 50
 #: distances beyond which a text is unlike a language
-CHARACTER_LIMIT, WORD_LIMIT = 0.25, 0.75
+CHARACTER_LIMIT, WORD_LIMIT = 0.30, 0.52
 
 CLASSES = ("lower", "upper", "digit", "space", "sentence mark", "other mark", "symbol", "letter beyond ASCII", "control")
 

@@ -12,6 +12,7 @@ from plumbline.llm.packing import pack
 from plumbline.llm.sampled_pieces import sample_encode
 from plumbline.llm.shared import read
 from plumbline.llm.sharding import shard_rows
+from plumbline.llm.substring_dedup import substring_dedup
 from plumbline.llm.url_filter import RULES, filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read(spark, sf_dir, "documents")).drop("repeats")
+
+
 @query("op2_secret_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
