@@ -1,8 +1,8 @@
 """SentencePiece encoding by forward filtering and backward sampling, and lossless decoding.
 
-A text is a path through the lattice of its pieces.  Pieces hold white space only at their
-front, so the lattice falls apart into units (spaces and the run of characters after them)
-and a path is sampled unit by unit without changing its distribution.  The forward pass is
+A text is a path through the lattice of its pieces.  Where no piece holds two neighbouring
+bytes side by side, every path has a node between them; the lattice falls apart there into
+units, and a path is sampled unit by unit without changing its distribution.  The forward pass is
 done once for each distinct unit of a slice, the backward pass for all units of the slice at
 once, one piece per step; both are array operations.  The random number at a place depends on
 the row's key and the place only, so a row is segmented alike wherever and whenever it runs.
@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from plumbline.llm.shared import _BYTE, ID, mix, powers, text_buffers
 
 ALPHA = 1.0
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: places of units that a worker keeps from one slice to the next
-KEPT_NODES = 1_500_000
+KEPT_NODES = 2_000_000
 #: log weight of a byte that stands for a character without a piece
 _BYTE_WEIGHT = -16.0
 _GLUE = np.uint64(0x2545F4914F6CDD1D)
@@ -62,6 +62,11 @@ class Pieces:
         self.flat = np.frombuffer(b"".join(self.raw), np.uint8)
         self.at = np.concatenate([[0], np.cumsum([len(r) for r in self.raw])])
         self.lengths = np.unique([len(self.raw[i]) for i in plain])
+        # pairs of bytes that stand side by side in some piece
+        self.joins = np.zeros(1 << 16, bool)
+        for i in plain:
+            raw = np.frombuffer(self.raw[i], np.uint8).astype(np.intp)
+            self.joins[(raw[:-1] << 8) | raw[1:]] = True
         # open addressing over the hashes of all plain pieces
         self.bits = 20
         self.slot_hash = np.zeros(1 << self.bits, np.uint64)
@@ -111,14 +116,11 @@ def vocabulary(path: str | None = None, alpha: float = ALPHA) -> Pieces:
     return Pieces(path, alpha)
 
 
-def units(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Starts of the units: a space after a non-space, a control byte, the byte after one, a text's front."""
+def units(data: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Starts of the units: text fronts, and characters that no piece joins to the byte before."""
     head = np.zeros(len(data) + 1, bool)
-    control = data < 32
-    space = data == 32
-    head[:-1] = control
-    head[1:-1] |= control[:-1]
-    head[1:-1] |= space[1:] & ~space[:-1]
+    pair = (data[:-1].astype(np.intp) << 8) | data[1:]
+    head[1:-1] = ~pieces.joins[pair] & ((data[1:] & 0xC0) != 0x80)
     head[bounds] = True
     return np.flatnonzero(head[:-1])
 
@@ -192,7 +194,7 @@ class Lattice:
             with np.errstate(divide="ignore"):
                 a[nodes[new]] = top + np.log(total)
             chance[at] = value / np.repeat(np.maximum(total, 1e-300), count)
-        self.node_from, self.edge_id = node_from, e_id
+        self.node_from, self.edge_id = node_from, e_id.astype(np.int32)
         self.edge_at = np.searchsorted(node_to, np.arange(len(a) + 1))
         # summed edge by edge, so that a unit's numbers don't depend on its neighbours
         self.upto = chance
@@ -235,17 +237,26 @@ class Lattice:
         return edge
 
 
-def known_units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, pieces: Pieces) -> Lattice:
-    """A lattice that holds these units; those of earlier slices are kept while they are few."""
-    kept: Lattice | None = pieces.kept
-    if kept is None or len(kept.edge_at) > KEPT_NODES:
-        kept = pieces.kept = Lattice(data, starts, ends, hashes, pieces)
-        return kept
+def lattices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, pieces: Pieces):
+    """Lattices for these distinct units, each with the numbers of the units it holds.
+
+    A worker keeps the units of its first slices, which are most of all running text; the
+    others of a slice get a lattice for that slice only.
+    """
+    kept = pieces.kept
+    if kept is None:
+        pieces.kept = Lattice(data, starts, ends, hashes, pieces)
+        return [(pieces.kept, np.arange(len(hashes)), np.arange(len(hashes)))]
     at = np.minimum(np.searchsorted(kept.hashes, hashes), len(kept.hashes) - 1)
-    new = np.flatnonzero(kept.hashes[at] != hashes)
+    known = kept.hashes[at] == hashes
+    found = [(kept, np.flatnonzero(known), at[known])]
+    new = np.flatnonzero(~known)
     if len(new):
-        kept = pieces.kept = kept.joined(Lattice(data, starts[new], ends[new], hashes[new], pieces))
-    return kept
+        lattice = Lattice(data, starts[new], ends[new], hashes[new], pieces)
+        found.append((lattice, new, np.arange(len(new))))
+        if len(kept.edge_at) < KEPT_NODES:
+            pieces.kept = kept.joined(lattice)
+    return found
 
 
 def encode_slice(data: np.ndarray, bounds: np.ndarray, seeds: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -259,7 +270,7 @@ def encode_slice(data: np.ndarray, bounds: np.ndarray, seeds: np.ndarray, pieces
     mask[new_bounds[:-1][full]] = False
     grown[mask] = data
     grown[~mask] = 32
-    starts = units(grown, new_bounds)
+    starts = units(grown, new_bounds, pieces)
     if not len(starts):
         return np.zeros(0, np.int32), np.zeros(rows + 1, np.int64)
     ends = np.append(starts[1:], len(grown))
@@ -267,27 +278,30 @@ def encode_slice(data: np.ndarray, bounds: np.ndarray, seeds: np.ndarray, pieces
     row = np.maximum.accumulate(row)
     hashes = range_sums(grown).of(starts, ends)
     distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-    lattice = known_units(grown, starts[sample], ends[sample], distinct, pieces)
-    which = np.searchsorted(lattice.hashes, distinct)[which]
-    node = lattice.last_node[which].copy()
-    goal = lattice.first_node[which]
-    # place of each node within its row, for the random numbers
-    offset = starts - new_bounds[row] - goal
-    alive = np.arange(len(starts))
     took = np.zeros(len(starts), np.int64)
     steps = []
-    while len(alive):
-        here = node[alive]
-        u = mix(seeds[row[alive]] + (here + offset[alive]).astype(np.uint64) * _GLUE)
-        edge = lattice.step(here, (u >> np.uint64(11)).astype(np.float64) * 2.0**-53)
-        steps.append((alive, lattice.edge_id[edge]))
-        node[alive] = lattice.node_from[edge]
-        took[alive] += 1
-        alive = alive[node[alive] != goal[alive]]
+    seeds = seeds[row]
+    place = starts - new_bounds[row]
+    for lattice, mine, theirs in lattices(grown, starts[sample], ends[sample], distinct, pieces):
+        number = np.full(len(distinct), -1)
+        number[mine] = theirs
+        number = number[which]
+        unit = np.flatnonzero(number >= 0)
+        node, goal = lattice.last_node[number[unit]], lattice.first_node[number[unit]]
+        # what leads from a node to its place in its row, for the random numbers
+        offset, seed = place[unit] - goal, seeds[unit]
+        while len(unit):
+            u = mix(seed + (node + offset).astype(np.uint64) * _GLUE)
+            edge = lattice.step(node, (u >> np.uint64(11)).astype(np.float64) * 2.0**-53)
+            steps.append((unit, took[unit] + 1, lattice.edge_id[edge]))
+            took[unit] += 1
+            node = lattice.node_from[edge]
+            on = node != goal
+            unit, node, goal, offset, seed = unit[on], node[on], goal[on], offset[on], seed[on]
     at = np.concatenate([[0], np.cumsum(took)])
     ids = np.empty(at[-1], np.int32)
-    for k, (unit, chosen) in enumerate(steps):
-        ids[at[unit + 1] - 1 - k] = chosen
+    for unit, back, chosen in steps:
+        ids[at[unit + 1] - back] = chosen
     first_unit = np.searchsorted(starts, new_bounds)
     return ids, at[first_unit]
 
