@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm import divergence, language_id, secrets
 from plumbline.llm.exact_dedup import LOWER, UPPER, exact_groups
+from plumbline.llm.near_dedup import near_components
 from plumbline.llm.packing import pack
 from plumbline.llm.sampled_pieces import sample_encode
 from plumbline.llm.shared import read
@@ -59,6 +60,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(docs, divergence.fit_references(docs))
 
 
+@query("op5_partenum_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(read(spark, sf_dir, "documents")).drop("text_id")
+
+
 _FITS = lambda host, path: f"(host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '{path}')"
 
 

@@ -7,6 +7,8 @@ hashes are functions of the bytes alone and equal in every process.
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,21 +47,25 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder that ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which driver and executors share.
 
-    Only where nothing names one, as in tests, a temporary folder is set.
+    Only where nothing names one, as in tests on one machine, a temporary folder is set.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            import tempfile
-
             named = tempfile.mkdtemp(prefix="plumbline-")
         context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, into the shared folder, and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
