@@ -166,8 +166,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, k: int = GRAM, with_t
     """
     kind = dict(docs.dtypes)[ID]
     marks = covered_windows(docs, window, k).groupBy("id", "twin").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    rows = docs.select(F.col(ID).cast("long").alias("id"), F.xxhash64("text").alias("twin"), "text")
-    marked = rows.join(marks, ["id", "twin"], "left").select("id", "text", "spans")
+    # the same selection of texts as in covered_windows, so that one exchange of them serves both
+    marked = _texts(docs).join(marks, ["id", "twin"], "left").select("id", "text", "spans")
+    unnamed = docs.filter(F.col(ID).isNull()).select(F.lit(None).cast("long"), "text", F.lit(None).cast(marked.schema["spans"].dataType))
+    marked = marked.union(unnamed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
