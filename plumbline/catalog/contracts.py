@@ -160,37 +160,42 @@ def lookup_spec_prod(spark, sf):
     return found.select("uid", F.col("plan").isNotNull().alias("found"))
 
 
-_KEYS_SQL = f"""WITH {EVENTS_SQL}, loaded AS (SELECT DISTINCT client_id, event_name FROM ev WHERE n % 3 = 0)"""
+_KEYS_SQL = f"""WITH {EVENTS_SQL}, loaded AS (SELECT client_id, event_name FROM ev GROUP BY 1, 2 HAVING min(n) % 2 = 0),
+ready AS (SELECT client_id, concat(event_name, '-ready') AS event_name FROM ev)"""
+
+
+def _loaded_keys(events, keys):
+    """Keys that are loaded already: those whose first event has an even number."""
+    return events.groupBy(*keys).agg(F.min("n").alias("first")).filter("first % 2 = 0").select(*keys)
 
 
 @query(
     "spec_keys_needed",
-    _KEYS_SQL + " SELECT client_id, event_name FROM ev WHERE n % 2 = 0 EXCEPT SELECT * FROM loaded",
+    _KEYS_SQL + " SELECT client_id, event_name FROM ev EXCEPT SELECT * FROM loaded",
 )
 def spec_keys_needed_query(spark, sf):
     events, keys = rich_events(spark, sf), ["client_id", "event_name"]
-    loaded = events.filter("n % 3 = 0").select(*keys)
-    return spec_keys_needed(events.filter("n % 2 = 0"), loaded, keys)
+    return spec_keys_needed(events, _loaded_keys(events, keys), keys)
 
 
 @query(
     "schema_lookup_keys",
-    _KEYS_SQL + " SELECT client_id, event_name FROM ev WHERE n % 2 = 0 OR n % 5 = 1 EXCEPT SELECT * FROM loaded",
+    _KEYS_SQL + " SELECT client_id, event_name FROM ev UNION SELECT * FROM ready EXCEPT SELECT * FROM loaded",
 )
 def schema_lookup_keys(spark, sf):
     events, keys = rich_events(spark, sf), ["client_id", "event_name"]
-    loaded = events.filter("n % 3 = 0").select(*keys)
-    return spec_keys_needed(events.filter("n % 2 = 0"), loaded, keys, schemas=events.filter("n % 5 = 1"))
+    ready = events.withColumn("event_name", F.concat("event_name", F.lit("-ready")))
+    return spec_keys_needed(events, _loaded_keys(events, keys), keys, schemas=ready)
 
 
-# a dense clock: one row every seven seconds, twenty clients
+# a dense clock: one row every seven seconds, twenty clients; each row was fetched for up to 75 seconds before
 _FETCH_SQL = """
 dense AS (
   SELECT event_id AS n, concat('c', user_id % 20) AS client_id, event_type AS event_name,
          1704067200000 + event_id * 7000 + (event_id % 11) * 90 AS ms, CAST(props ->> '$.k' AS INT) AS k FROM events),
 fetched AS (
-  SELECT n, client_id, event_name, ms, CASE WHEN n % 16 = 0 THEN NULL WHEN k % 10 < 7 THEN 'main' ELSE 'dev' END AS branch
-  FROM dense WHERE n % 4 = 0),
+  SELECT n, client_id, event_name, ms - n % 4 * 25000 AS ms, CASE WHEN n % 16 = 0 THEN NULL WHEN k % 10 < 7 THEN 'main' ELSE 'dev' END AS branch
+  FROM dense),
 cur AS (
   SELECT *, last_value(branch IGNORE NULLS) OVER (PARTITION BY client_id ORDER BY ms, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS current FROM fetched),
 changes AS (SELECT *, coalesce(branch <> current, false) AS changed FROM cur),
@@ -210,9 +215,8 @@ def _dense(spark, sf):
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
     branch = F.when(F.col("n") % 16 == 0, None).when(F.col("k") % 10 < 7, "main").otherwise("dev")
-    fetches = rows.filter("n % 4 = 0").select(
-        "client_id", "event_name", F.col("ts").alias("fetched_at"), F.col("n").alias("fetch_id"), branch.alias("branch_id")
-    )
+    fetched = F.timestamp_millis(F.unix_millis("ts") - F.col("n") % 4 * 25000)
+    fetches = rows.select("client_id", "event_name", fetched.alias("fetched_at"), F.col("n").alias("fetch_id"), branch.alias("branch_id"))
     return rows, fetches
 
 

@@ -29,7 +29,7 @@ _START = 1704067200000
 # ------------------------------------------------------- dense double reports
 
 # a row every 40 ms; every third is reported again by the other path up to 600 ms later,
-# every fifth of those with other properties; every seventh comes with a ready-made schema
+# every fifth of those with other properties; each comes with a ready-made schema as well
 _REPORTS_SQL = f"""
 base AS (
   SELECT event_id AS n, concat('c', user_id % 4) AS client_id, event_type AS event_name, {_START} + event_id * 40 AS ms,
@@ -48,7 +48,7 @@ _SCHEMAS_SQL = """
 asked AS (
   SELECT concat(lpad(CAST(n AS varchar), 10, '0'), 's') AS uid, n, client_id, event_name, ms + 100 AS ms, 'schema' AS source,
          NULL AS params, CASE WHEN n % 2 = 0 THEN 'int' ELSE 'string' END AS shape
-  FROM base WHERE n % 7 = 0)
+  FROM base)
 """
 
 
@@ -106,7 +106,7 @@ def _reports(spark, sf):
 
 
 def _asked(spark, sf):
-    rows = _reports(spark, sf).filter("uid LIKE '%a' AND n % 7 = 0")
+    rows = _reports(spark, sf).filter("uid LIKE '%a'")
     kind = F.when(F.col("n") % 2 == 0, "int").otherwise("string")
     document = F.concat(
         F.lit('[{"propertyName":"k","propertyType":"'), kind, F.lit('"},{"propertyName":"j","propertyType":"int"}]')
@@ -317,17 +317,17 @@ def sample_batches_query(spark, sf):
 @query(
     "adopt_sampling_rate",
     f"""WITH {_QUEUE_SQL}, src AS (SELECT q.*, CAST(e.props ->> '$.k' AS INT) AS k FROM queue q JOIN events e ON e.event_id = q.n),
-    told AS (SELECT client_id, ms, (k % 10) / 10.0 AS rate FROM src WHERE n % 13 = 0 AND n % 3 <> 0)
+    told AS (SELECT client_id, ms, (k % 10) / 10.0 AS rate FROM src WHERE n % 3 <> 0)
     SELECT s.uid AS batch_id, coalesce(t.rate, 1.0)::DOUBLE AS rate
-    FROM (SELECT * FROM src WHERE n % 5 = 0) s ASOF LEFT JOIN told t ON s.client_id = t.client_id AND s.ms >= t.ms""",
+    FROM src s ASOF LEFT JOIN told t ON s.client_id = t.client_id AND s.ms >= t.ms""",
 )
 def adopt_rate_query(spark, sf):
     """Rates a client was told; a third of the answers hold no valid number."""
     rows = _queue(spark, sf).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     valid = (F.col("k") % 10) / F.lit(10.0)
     rate = F.when(F.col("n") % 6 == 0, float("nan")).when(F.col("n") % 3 == 0, None).otherwise(valid)
-    told = rows.filter("n % 13 = 0").select("client_id", "ts", rate.alias("rate"))
-    batches = rows.filter("n % 5 = 0").select(F.col("uid").alias("batch_id"), "client_id", F.col("ts").alias("sent_at"))
+    told = rows.select("client_id", "ts", rate.alias("rate"))
+    batches = rows.select(F.col("uid").alias("batch_id"), "client_id", F.col("ts").alias("sent_at"))
     return adopt_sampling_rate(batches, told).select("batch_id", "rate")
 
 
@@ -365,11 +365,11 @@ def requeue_query(spark, sf):
 # ------------------------------------------------------------------ envelopes
 
 
-def _body_sql(stream: str, document: str, tail: str, ms: str = "ms") -> str:
+def _body_sql(stream: str, document: str, tail: str, ms: str = "ms", rate: str = "1") -> str:
     return f"""concat('{{"apiKey":"api-key","appName":"app","appVersion":"1.0.0","libVersion":"1.0.0","env":"dev","libPlatform":"web","messageId":"',
       substr(m, 1, 8), '-', substr(m, 9, 4), '-4', substr(m, 14, 3), '-a', substr(m, 18, 3), '-', substr(m, 21, 12),
       '","trackingId":"","createdAt":"', strftime(make_timestamp({ms} * 1000), '%Y-%m-%dT%H:%M:%S.%g'), 'Z","sessionId":"","streamId":"', {stream},
-      '","samplingRate":1,', {tail.format(document=document)})"""
+      '","samplingRate":{rate},', {tail.format(document=document)})"""
 
 
 _EVENT_TAIL = (
@@ -419,16 +419,17 @@ def event_envelope(spark, sf):
 
 @query(
     "write_bodies",
-    f"""WITH {_QUEUE_SQL}, b AS (SELECT q.n // 40 * 3 + q.n % 3 AS batch_id, q.ms, q.uid, concat('{{"n":', q.n, ',"p":', e.props, '}}') AS body
-                                 FROM queue q JOIN events e ON e.event_id = q.n WHERE q.n % 17 < 12),
+    f"""WITH {_QUEUE_SQL}, b AS (SELECT q.n // 40 * 3 + CASE WHEN q.n % 40 < 2 THEN 0 WHEN q.n % 40 < 12 THEN 1 ELSE 2 END AS batch_id, q.ms, q.uid, concat('{{"n":', q.n, ',"p":', e.props, '}}') AS body
+                                 FROM queue q JOIN events e ON e.event_id = q.n),
     r AS (SELECT batch_id, count(*) AS n_events, concat('[', string_agg(body, ',' ORDER BY ms, uid), ']') AS request FROM b GROUP BY 1)
     SELECT batch_id, CAST(n_events AS INT) AS n_events, md5(request) AS request, length(request) >= 300 AS long_request,
            length(request) >= 1024 AS gzip FROM r""",
 )
 def write_bodies_query(spark, sf):
     """Requests as they would be written, with their compression flag."""
-    rows = _queue(spark, sf).filter("n % 17 < 12").select(
-        (F.floor(F.col("n") / 40) * 3 + F.col("n") % 3).alias("batch_id"),
+    part = F.when(F.col("n") % 40 < 2, 0).when(F.col("n") % 40 < 12, 1).otherwise(2)
+    rows = _queue(spark, sf).select(
+        (F.floor(F.col("n") / 40) * 3 + part).alias("batch_id"),
         "ts",
         "uid",
         F.concat(F.lit('{"n":'), F.col("n").cast("string"), F.lit(',"p":'), F.col("props"), F.lit("}")).alias("body"),
@@ -493,7 +494,7 @@ def extract_only_query(spark, sf):
     f"""WITH RECURSIVE {_BATCH_SQL},
     m AS (SELECT b.*, q.ms, q.n % 2 = 1 AS coded, e.event_type AS event_name, sha256(concat('message|', b.uid)) AS m
           FROM batched b JOIN queue q USING (uid) JOIN events e ON e.event_id = q.n),
-    bodies AS (SELECT batch_id, ms, uid, {_body_sql("''", _K_DOCUMENT, _EVENT_TAIL)} AS body FROM m),
+    bodies AS (SELECT batch_id, ms, uid, {_body_sql("''", _K_DOCUMENT, _EVENT_TAIL, rate="0.8")} AS body FROM m),
     r AS (SELECT batch_id, count(*) AS n_events, concat('[', string_agg(body, ',' ORDER BY ms, uid), ']') AS request FROM bodies GROUP BY 1)
     SELECT batch_id, CAST(n_events AS INT) AS n_events, md5(request) AS request, length(request) >= 1024 AS gzip FROM r
     WHERE NOT (CAST(concat('0x', substr(md5(batch_id), 1, 8)) AS BIGINT) / 4294967295.0 > 0.8)""",

@@ -121,12 +121,12 @@ items AS (
   FROM lineitem),
 ord AS (
   SELECT o_orderkey, concat('o', o_orderkey) AS uid, o_orderstatus, o_orderpriority, o_totalprice, o_custkey
-  FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+  FROM orders)
 """
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One "Order Completed" event per order with its lines as a list of objects."""
+    """One "Order Completed" event per order with its lines, if any, as a list of objects."""
     item = F.concat(
         F.lit('{"part":'),
         F.col("l_partkey").cast("string"),
@@ -153,12 +153,12 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"priority":"'),
         F.col("o_orderpriority"),
         F.lit('"},"items":['),
-        F.array_join(F.col("lines.item"), ","),
+        F.coalesce(F.array_join(F.col("lines.item"), ","), F.lit("")),
         F.lit("]}"),
     )
     return (
         table(spark, sf_dir, "orders")
-        .join(lines, "o_orderkey")
+        .join(lines, "o_orderkey", "left")
         .select(
             F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("uid"),
             F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("client_id"),

@@ -108,7 +108,7 @@ docs AS (SELECT uid, concat('[{{"propertyName":"status","propertyType":"string"}
       CASE WHEN o_totalprice = floor(o_totalprice) THEN 'int' ELSE 'float' END,
       '"}},{{"propertyName":"customer","propertyType":"object","children":[{{"propertyName":"id","propertyType":"int"}},',
       '{{"propertyName":"priority","propertyType":"string"}}]}},{{"propertyName":"items","propertyType":"list","children":[',
-      list, ']}}]') AS document FROM ord JOIN lists ON l_orderkey = o_orderkey)
+      coalesce(list, ''), ']}}]') AS document FROM ord LEFT JOIN lists ON l_orderkey = o_orderkey)
 """
 
 

@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OPEN, CLOSE = "\u0001", "\u0002"
+# around a value that is still to be sealed
+VALUE, END = "\u0003", "\u0004"
 _INDEX_KEY = re.compile(r"^(0|[1-9][0-9]{0,9})$")
 _FENCE = re.compile(f"{OPEN}(.*?){CLOSE}", re.S)
 
@@ -44,9 +46,12 @@ def column_argument(column: Column) -> Column:
     return F.when(column.isNotNull(), column)
 
 
-def finish_documents(fenced: Column) -> Column:
-    """Replace each fenced JSON text in a document by its children document."""
-    return F.pandas_udf(_finish, T.StringType())(fenced)
+def finish_documents(fenced: Column, marked: bool = False) -> Column:
+    """Replace each fenced JSON text in a document by its children document.
+
+    ``marked`` leaves the JSON text of each scalar member between marks, as its encrypted value.
+    """
+    return F.pandas_udf(_finish_marked if marked else _finish, T.StringType())(fenced)
 
 
 def nodes_in(fenced: Column) -> Column:
@@ -54,6 +59,14 @@ def nodes_in(fenced: Column) -> Column:
     return F.pandas_udf(_nodes, DEEP_NODE)(column_argument(fenced))
 
 
+def declared_below(parents: Column) -> Column:
+    """Declared properties below each parent, at any depth, as JSON text.
+
+    ``parents`` is JSON text of an array of ``{path, event_ord, base_event_id, children}``.
+    """
+    return F.pandas_udf(_declared, T.StringType())(column_argument(parents))
+
+
 def number_text(value: float) -> str:
     """A double as JavaScript prints it."""
     if value == 0:
@@ -107,26 +120,82 @@ def _members(value: dict) -> list:
     return [(k, value[k]) for k in first] + [(k, v) for k, v in value.items() if not index(k)]
 
 
-def _children_text(value) -> str:
+def _children_text(value, marked: bool) -> str:
     if isinstance(value, dict):
-        return "[" + ",".join(_member_text(k, v) for k, v in _members(value)) + "]"
+        return "[" + ",".join(_member_text(k, v, marked) for k, v in _members(value)) + "]"
     if isinstance(value, list):
-        return "[" + ",".join(_children_text(v) for v in _kept(value)) + "]"
+        return "[" + ",".join(_children_text(v, marked) for v in _kept(value)) + "]"
     return "[]" if value is None else f'"{type_name(value)}"'
 
 
-def _member_text(name: str, value) -> str:
-    kids = f',"children":{_children_text(value)}' if isinstance(value, (dict, list)) else ""
-    return f'{{"propertyName":{json.dumps(name, ensure_ascii=False)},"propertyType":"{type_name(value)}"{kids}}}'
+def _scalar_text(value) -> str:
+    return number_text(value) if isinstance(value, float) else json.dumps(value, ensure_ascii=False)
 
 
-def _finish(fenced: pd.Series) -> pd.Series:
+def _member_text(name: str, value, marked: bool) -> str:
+    if isinstance(value, (dict, list)):
+        more = f',"children":{_children_text(value, marked)}'
+    else:
+        more = f',"encryptedPropertyValue":"{VALUE}{_scalar_text(value)}{END}"' if marked else ""
+    return f'{{"propertyName":{json.dumps(name, ensure_ascii=False)},"propertyType":"{type_name(value)}"{more}}}'
+
+
+def _finished(fenced: pd.Series, marked: bool) -> pd.Series:
     if fenced.isna().all():
         return fenced
-    replace = lambda text: _FENCE.sub(lambda m: _children_text(json.loads(m[1])), text)
+    replace = lambda text: _FENCE.sub(lambda m: _children_text(json.loads(m[1]), marked), text)
     return fenced.map(replace, na_action="ignore")
 
 
+def _finish(fenced: pd.Series) -> pd.Series:
+    return _finished(fenced, False)
+
+
+def _finish_marked(fenced: pd.Series) -> pd.Series:
+    return _finished(fenced, True)
+
+
+# fixed values: constraint kinds in checking order, with their wire names
+_KINDS = (("pinned", "p"), ("allowed", "v"), ("regex", "rx"), ("minmax", "minmax"))
+
+
+def _declared_checks(wire: dict, event_ord: int) -> list:
+    checks = []
+    for rank, (kind, name) in enumerate(_KINDS):
+        found = wire.get(name)
+        for i, (key, ids) in enumerate(found.items() if isinstance(found, dict) else ()):
+            order = int(key) - (1 << 34) if _INDEX_KEY.match(key) else i
+            ids = ids if isinstance(ids, list) else None
+            checks.append({"rank": rank, "event_ord": event_ord, "key_ord": order, "kind": kind, "key": key, "event_ids": ids})
+    return checks
+
+
+def _declared_in(text: str) -> str:
+    out, level = [], json.loads(text)
+    while level:
+        below = []
+        for parent in level:
+            children = parent["children"]
+            children = json.loads(children) if isinstance(children, str) else children
+            for i, (name, wire) in enumerate(children.items() if isinstance(children, dict) else ()):
+                wire = wire if isinstance(wire, dict) else {}
+                row = {"event_ord": parent["event_ord"], "base_event_id": parent.get("base_event_id"), "path": [*parent["path"], name], "prop_ord": i}
+                kids = wire.get("children")
+                out.append(
+                    row
+                    | {"type": wire.get("t"), "required": wire.get("r") is True, "is_list": wire.get("l") is True, "has_children": kids is not None}
+                    | {"checks": _declared_checks(wire, parent["event_ord"])}
+                )
+                if kids is not None:
+                    below.append(row | {"children": kids})
+        level = below
+    return json.dumps(out)
+
+
+def _declared(parents: pd.Series) -> pd.Series:
+    return parents.map(_declared_in, na_action="ignore")
+
+
 def _scalar_types(value) -> list | None:
     if not isinstance(value, list):
         return None

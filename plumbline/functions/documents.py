@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.deep import CLOSE, OPEN, finish_documents
+from plumbline.functions.deep import CLOSE, END, OPEN, VALUE, finish_documents
 from plumbline.functions.planning import pin
 from plumbline.functions.values import (
     MEMBERS,
@@ -85,13 +85,13 @@ def add_schema_document(
     results: str | None = None,
     seal: Callable[[str], str] | None = None,
     max_depth: int = DEFAULT_DEPTH,
-    deep: bool = True,
 ) -> DataFrame:
     """Nested schema document (B4) from opened levels.
 
     ``results`` names a column of per-member validation results to merge in
     (C16): they reach members and, under an object, its children.  ``seal``
-    turns the JSON text of a scalar member into an encrypted value.
+    turns the JSON text of a scalar member into an encrypted value; members below
+    the opened levels are sealed as well.
     """
 
     def result_of(node: str, at: tuple) -> str | None:
@@ -132,10 +132,15 @@ def add_schema_document(
         temporary.append(name)
     # pinned: built once, and a plain column for the Arrow function
     df = pin(df, out, F.expr(f"concat('[', array_join({below}, ','), ']')")).drop(*temporary)
-    if not deep:
-        return df
     fenced = F.expr(f"CASE WHEN contains({out}, '{OPEN}') THEN {out} END")
-    return df.withColumn(out, F.coalesce(finish_documents(fenced), F.col(out)))
+    finished = finish_documents(fenced, marked=seal is not None)
+    if seal is None:
+        return df.withColumn(out, F.coalesce(finished, F.col(out)))
+    # the helper leaves the values to seal between marks: every second part of the text
+    df = pin(df, "_finished", finished)
+    parts = f"split(_finished, '[{VALUE}{END}]')"
+    sealed = each(parts, lambda p, i: f"CASE WHEN {i} % 2 = 1 THEN {seal(p)} ELSE {p} END")
+    return df.withColumn(out, F.coalesce(F.expr(f"array_join({sealed}, '')"), F.col(out))).drop("_finished")
 
 
 def drop_levels(df: DataFrame, prefix: str = "_level") -> DataFrame:

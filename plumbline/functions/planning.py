@@ -8,6 +8,7 @@ both, and the outer forms derive nothing.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame
@@ -32,13 +33,18 @@ BROADCAST_ROWS = 1_000_000
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage, through the session's checkpoint folder.
 
-    The folder is the one named by ``spark.checkpoint.dir``; where none is set,
-    as in tests, a temporary one serves.
+    The folder is the one named by ``spark.checkpoint.dir``.  Where none is set, as in
+    tests, a temporary one serves a local session; a cluster must name one that its
+    executors share.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="plumbline-"))
+        if folder is None:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="plumbline-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

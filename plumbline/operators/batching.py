@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +16,18 @@ FLUSH_SECONDS = 30
 QUEUE_LIMIT = 1000
 
 _BLOCK_FLUSHES = 20
-_ROW = "struct<ms:bigint,uid:string>"
+_ROW = "struct<ms:bigint,uid:string,copy:int>"
 _STATE = f"struct<n:int,flushed:{_ROW}>"
+_HOUR_MS = 3_600_000
+#: a row of the queue: rows without a client or an id have a key as well, and repeated ids are told apart
+_KEY = ["_client", "_ms", "_uid", "_copy"]
+
+
+def _keyed(events: DataFrame) -> DataFrame:
+    """Add ``_client``, ``_ms``, ``_uid`` and ``_copy``; none is NULL, and together they are unique."""
+    mark = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    rows = events.withColumns({"_client": mark("client_id"), "_ms": F.unix_millis("ts"), "_uid": mark("uid")})
+    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_client", "_ms", "_uid").orderBy("_uid")))
 
 
 def _advance(n: Column, flushed_ms: Column, ms: Column, size: int, wait_ms: int) -> Column:
@@ -36,29 +49,41 @@ def _run(rows: Column, begin: Column, size: int, wait_ms: int) -> Column:
     return F.aggregate(rows, begin.cast(_STATE), step)
 
 
-def _trace(rows: Column, begin: Column, size: int, wait_ms: int) -> Column:
-    """Each row with the flush before it and whether it flushes."""
-    out = f"array<struct<uid:string,after:string,flush:boolean>>"
-    start = F.struct(begin["n"].alias("n"), begin["flushed"].alias("flushed"), F.array().cast(out).alias("out"))
-
-    def step(acc: Column, row: Column) -> Column:
-        n = acc["n"] + 1
-        flush = _advance(n, acc["flushed"]["ms"], row["ms"], size, wait_ms)
-        entry = F.struct(row["uid"].alias("uid"), acc["flushed"]["uid"].alias("after"), flush.alias("flush"))
-        return F.struct(
-            F.when(flush, 0).otherwise(n).cast("int").alias("n"),
-            F.when(flush, row).otherwise(acc["flushed"]).alias("flushed"),
-            F.concat(acc["out"], F.array(entry)).alias("out"),
-        )
-
-    return F.aggregate(rows, start.cast(f"struct<n:int,flushed:{_ROW},out:{out}>"), step, lambda acc: acc["out"])
+def _trace(size: int, wait_ms: int):
+    """Each row of a block with the flush before it and whether it flushes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, begin = batch.column("rows"), batch.column("begin")
+            offsets = rows.offsets.to_pylist()
+            fields = [rows.values.field(i).to_pylist() for i in range(3)]
+            out: list[list] = [[] for _ in range(7)]
+            for block, client in enumerate(batch.column("_client").to_pylist()):
+                state = begin[block].as_py()
+                n, last = state["n"], state["flushed"]
+                after = (last["ms"], last["uid"], last["copy"])
+                for i in range(offsets[block], offsets[block + 1]):
+                    row = tuple(f[i] for f in fields)
+                    n += 1
+                    flush = n % size == 0 or row[0] - after[0] >= wait_ms
+                    for column, value in zip(out, (client, *row, after[1], after[2], flush), strict=True):
+                        column.append(value)
+                    if flush:
+                        n, after = 0, row
+            types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.bool_()]
+            columns = [pa.array(values, t) for values, t in zip(out, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*_KEY, "_after", "_after_copy", "flush"])
+
+    return run
 
 
 def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLUSH_SECONDS) -> DataFrame:
     """Add ``batch_id`` and ``flush``: the queue is sent at every ``size`` rows or ``seconds`` after the last flush (G1).
 
     A batch is named after its client and the flush before it.  Rows behind a
-    client's last flush are still waiting: their batch has no flushing row.
+    client's last flush are still waiting: their batch has no flushing row.  Rows
+    without a client share the queue ``unknown``; rows that repeat an id are rows of
+    their own, the second one with ``#2`` behind its id, and so on.
 
     The replay is exact and split in time.  An arrival after a silence of
     ``seconds`` always flushes, so what follows it starts from a known state.
@@ -70,14 +95,16 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         raise ValueError("batch size must be at least 1")
     wait_ms = seconds * 1000
     width_ms = wait_ms * _BLOCK_FLUSHES
-    rows = events.select("client_id", "uid", F.unix_millis("ts").alias("ms"))
+    events = _keyed(events)
+    rows = events.select("_client", F.struct(F.col("_ms").alias("ms"), F.col("_uid").alias("uid"), F.col("_copy").alias("copy")).alias("row"))
+    rows = rows.withColumn("ms", F.col("row.ms"))
 
     # a bucket as wide as the wait has no silence inside: look between buckets only
     spans = (
-        rows.groupBy("client_id", bucket_of(F.col("ms"), wait_ms).alias("tick"))
-        .agg(F.min(F.struct("ms", "uid")).alias("head"), F.max("ms").alias("last_ms"))
+        rows.groupBy("_client", bucket_of(F.col("ms"), wait_ms).alias("tick"))
+        .agg(F.min("row").alias("head"), F.max("ms").alias("last_ms"))
     )
-    by_tick = Window.partitionBy("client_id").orderBy("tick")
+    by_tick = Window.partitionBy("_client").orderBy("tick")
     before = F.lag("last_ms").over(by_tick)
     spans = spans.withColumns(
         {
@@ -86,16 +113,15 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         }
     )
     # state that holds right after a breaker, or before a client's first row
-    known = F.when(F.col("breaker"), F.struct("head.ms", "head.uid")).when(
-        F.col("opening"), F.struct(F.col("head.ms"), F.lit(None).cast("string").alias("uid"))
-    )
+    nothing = F.struct(F.col("head.ms"), F.lit(None).cast("string").alias("uid"), F.lit(1).alias("copy"))
+    known = F.when(F.col("breaker"), F.col("head")).when(F.col("opening"), nothing)
     spans = spans.withColumn("known", known.cast(_ROW))
     running = by_tick.rowsBetween(Window.unboundedPreceding, 0)
     earlier = by_tick.rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.select(
-        "client_id",
+        "_client",
         "tick",
-        F.when(F.col("breaker"), F.col("head.uid")).alias("breaker_uid"),
+        F.when(F.col("breaker"), F.col("head")).alias("breaker_row"),
         F.last("known", ignorenulls=True).over(running).alias("stretch"),
         F.last("known", ignorenulls=True).over(earlier).alias("stretch_before"),
     )
@@ -103,16 +129,16 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
     # a breaker closes the stretch before it
     placed = (
         rows.withColumn("tick", bucket_of(F.col("ms"), wait_ms))
-        .join(spans, ["client_id", "tick"])
+        .join(spans, ["_client", "tick"])
         .withColumn(
             "stretch",
-            F.when(F.col("uid") == F.col("breaker_uid"), F.col("stretch_before")).otherwise(F.col("stretch")),
+            F.when(F.col("row") == F.col("breaker_row"), F.col("stretch_before")).otherwise(F.col("stretch")),
         )
     )
-    blocks = placed.groupBy("client_id", "stretch", bucket_of(F.col("ms"), width_ms).alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct("ms", "uid"))).alias("rows")
+    blocks = placed.groupBy("_client", "stretch", bucket_of(F.col("ms"), width_ms).alias("block")).agg(
+        F.array_sort(F.collect_list("row")).alias("rows")
     )
-    in_stretch = Window.partitionBy("client_id", "stretch").orderBy("block")
+    in_stretch = Window.partitionBy("_client", "stretch").orderBy("block")
     # the rows that can be the last flush before the next block, newest first; before the
     # first flush of a stretch that is the one that began it
     opening = F.when(F.lag("block").over(in_stretch).isNull(), F.array("stretch")).otherwise(F.array().cast(f"array<{_ROW}>"))
@@ -135,7 +161,7 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
     )
     blocks = blocks.withColumn("exits", F.coalesce(exits, first_exit))
     chain = (
-        blocks.groupBy("client_id", "stretch")
+        blocks.groupBy("_client", "stretch")
         .agg(F.array_sort(F.collect_list(F.struct("block", "exits"))).alias("chain"))
         .filter(F.size("chain") > 1)
     )
@@ -150,37 +176,48 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         ),
         lambda acc: acc["out"],
     )
-    entered = chain.select("client_id", "stretch", F.inline_outer(walk))
+    entered = chain.select("_client", "stretch", F.inline_outer(walk))
     begin = F.coalesce(
         F.col("entry"), F.struct(F.lit(0).alias("n"), F.col("stretch").alias("flushed")).cast(_STATE)
     )
     traced = (
         blocks.drop("recent", "tail", "exits")
-        .join(entered, ["client_id", "stretch", "block"], "left")
-        .select("client_id", F.inline_outer(_trace(F.col("rows"), begin, size, wait_ms)))
+        .join(entered, ["_client", "stretch", "block"], "left")
+        .select("_client", "rows", begin.alias("begin"))
+        .mapInArrow(_trace(size, wait_ms), "_client string, _ms long, _uid string, _copy int, _after string, _after_copy int, flush boolean")
     )
-    named = traced.select(
-        "uid",
-        F.concat_ws("|", "client_id", F.coalesce("after", F.lit("start"))).alias("batch_id"),
-        "flush",
-    )
-    return events.join(named, "uid")
+    # "=" stands before an id that is there
+    after = F.when(F.col("_after") == "", "null").otherwise(F.substr("_after", F.lit(2)))
+    after = F.concat(after, F.when(F.col("_after_copy") > 1, F.concat(F.lit("#"), "_after_copy")).otherwise(""))
+    client = F.coalesce(F.col("client_id"), F.lit("unknown"))
+    named = events.join(traced, _KEY).withColumn("batch_id", F.concat_ws("|", client, F.coalesce(after, F.lit("start"))))
+    return named.select(*[c for c in events.columns if c not in _KEY], "batch_id", "flush")
+
+
+def _ranked(events: DataFrame, newest_first: bool) -> DataFrame:
+    """Add ``_rank`` of each row within its client, without a task that holds a client.
+
+    Rows are numbered inside each hour; the rows of the hours before are a running sum of counts.
+    """
+    turn = (lambda c: F.desc(c)) if newest_first else (lambda c: F.asc(c))
+    rows = _keyed(events).withColumn("_hour", bucket_of(F.col("_ms"), _HOUR_MS))
+    counts = rows.groupBy("_client", "_hour").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_client").orderBy(turn("_hour")).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_client", "_hour", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_client", "_hour").orderBy(turn("ts"), turn("_uid"), turn("_copy")))
+    ranked = rows.join(before, ["_client", "_hour"]).withColumn("_rank", F.col("_before") + within)
+    return ranked.select(*events.columns, "_rank")
 
 
 def count_batches(events: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     """Add ``batch_no`` by arrival count alone (G1 without the time trigger)."""
-    arrival = F.row_number().over(Window.partitionBy("client_id").orderBy("ts", "uid"))
-    return events.withColumn("batch_no", F.floor((arrival - 1) / size).cast("long"))
+    ranked = _ranked(events, newest_first=False)
+    return ranked.withColumn("batch_no", F.floor((F.col("_rank") - 1) / size).cast("long")).drop("_rank")
 
 
 def retain_latest(events: DataFrame, n: int = QUEUE_LIMIT) -> DataFrame:
-    """Newest ``n`` rows per client.
-
-    Spark keeps ``n`` rows per client and task before the shuffle, so a hot
-    client never reaches one task whole.
-    """
-    newest = F.row_number().over(Window.partitionBy("client_id").orderBy(F.desc("ts"), F.desc("uid")))
-    return events.withColumn("_newest", newest).filter(F.col("_newest") <= n).drop("_newest")
+    """Newest ``n`` rows per client (G2), whatever ``n``; rows without a client are one queue."""
+    return _ranked(events, newest_first=True).filter(F.col("_rank") <= n).drop("_rank")
 
 
 def drop_null_events(df: DataFrame, body: str = "body") -> DataFrame:
@@ -229,12 +266,16 @@ def route(df: DataFrame, env: str = "dev", plan: str = "plan") -> DataFrame:
 def requeue_failed(rows: DataFrame, acks: DataFrame, arrivals: DataFrame) -> DataFrame:
     """Next queue: newer arrivals, then the rows of unacknowledged batches.
 
-    A failed immediate send is queued without metadata and branch.
+    A failed immediate send is queued without metadata and branch, also inside a ``body``
+    that was put together before.
     """
     failed = rows.join(acks.select("batch_id").distinct(), "batch_id", "left_anti")
     for name in ("metadata", "validated_branch_id"):
         if name in failed.columns:
             failed = failed.withColumn(name, F.lit(None).cast(dict(failed.dtypes)[name]))
+    if "body" in failed.columns:
+        # the last fields of a body; inside JSON text the quotes of the name would be escaped
+        failed = failed.withColumn("body", F.regexp_replace("body", r'(?s),"eventSpecMetadata":\{.*$', "}"))
     queued = arrivals.withColumn("queue_part", F.lit(0)).unionByName(
         failed.withColumn("queue_part", F.lit(1)), allowMissingColumns=True
     )

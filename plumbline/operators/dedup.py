@@ -53,17 +53,18 @@ def _narrow(df: DataFrame, schema: str | None) -> DataFrame:
 def _near(df: DataFrame, match: list[str], one: Column, other: Column) -> DataFrame:
     """Rows of one side with an equal row of the other side inside the window, before or after."""
     spread = with_context(df.filter(one | other), "ms", WINDOW_MS, _WIDTH_MS, both_sides=True)
-    order = Window.partitionBy(*match, "_bucket").orderBy("ms", "uid")
-    back = order.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = order.rowsBetween(1, Window.unboundedFollowing)
+    keys = Window.partitionBy(*match, "_bucket")
+    back = keys.orderBy("ms", "uid").rowsBetween(Window.unboundedPreceding, -1)
+    # looking ahead is looking back in the other order: both frames grow row by row
+    ahead = keys.orderBy(F.desc("ms"), F.desc("uid")).rowsBetween(Window.unboundedPreceding, -1)
     ones, others = F.when(one, F.col("ms")), F.when(other, F.col("ms"))
     close = lambda c, sign: F.coalesce((c - F.col("ms")) * sign <= WINDOW_MS, F.lit(False))
     marked = spread.select(
         "*",
         F.last(ones, True).over(back).alias("_one_back"),
         F.last(others, True).over(back).alias("_other_back"),
-        F.first(ones, True).over(ahead).alias("_one_ahead"),
-        F.first(others, True).over(ahead).alias("_other_ahead"),
+        F.last(ones, True).over(ahead).alias("_one_ahead"),
+        F.last(others, True).over(ahead).alias("_other_ahead"),
     )
     near_other = close(F.col("_other_back"), -1) | close(F.col("_other_ahead"), 1)
     near_one = close(F.col("_one_back"), -1) | close(F.col("_one_ahead"), 1)

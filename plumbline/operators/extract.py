@@ -53,11 +53,11 @@ def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth
 
 
 def extract_document(
-    df: DataFrame, raw: str = "props", out: str = "document", deep: bool = True, seal: Callable | None = None
+    df: DataFrame, raw: str = "props", out: str = "document", seal: Callable | None = None
 ) -> DataFrame:
     """Nested schema document per event."""
     opened = open_levels(df, raw)
-    return drop_levels(add_schema_document(opened, out, deep=deep, seal=seal))
+    return drop_levels(add_schema_document(opened, out, seal=seal))
 
 
 def sealer(key: str, env: str) -> Callable[[str], str] | None:

@@ -61,20 +61,21 @@ FRESH_MS = 60_000
 def spec_asof(events: DataFrame, snapshots: DataFrame, keys: list[str]) -> DataFrame:
     """Attach the newest snapshot of the key that is still fresh at event time (D3).
 
-    ``snapshots`` has the keys, ``fetched_ms``, ``invalid_ms`` and ``spec`` (NULL for a
-    known-absent answer).  Adds ``spec_state`` (``hit``, ``absent`` or ``miss``) and
+    ``snapshots`` has the keys, ``fetched_ms``, ``fetch_id`` (which orders fetches of one
+    millisecond), ``invalid_ms`` and ``spec`` (NULL for a known-absent answer).  Adds ``spec_state`` (``hit``, ``absent`` or ``miss``) and
     ``spec``.  Freshness bounds the look-back, so each minute of a key is a group.
     """
     told = snapshots.select(
         *keys,
         F.col("fetched_ms").alias("_ms"),
         F.lit(0).alias("_kind"),
+        F.col("fetch_id").alias("_fetch"),
         F.struct("fetched_ms", "invalid_ms", "spec").alias("_snapshot"),
     )
     asked = events.withColumns({"_ms": F.unix_millis("ts"), "_kind": F.lit(1)})
     both = with_context(asked.unionByName(told, allowMissingColumns=True), "_ms", FRESH_MS, FRESH_MS)
     both = both.filter("_kind = 0 or not _context")
-    order = Window.partitionBy(*keys, "_bucket").orderBy("_ms", "_kind")
+    order = Window.partitionBy(*keys, "_bucket").orderBy("_ms", "_kind", "_fetch")
     latest = F.last("_snapshot", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     found = both.withColumn("_found", latest).filter("_kind = 1")
     usable = (F.col("_ms") - F.col("_found.fetched_ms") <= FRESH_MS) & (
@@ -85,5 +86,5 @@ def spec_asof(events: DataFrame, snapshots: DataFrame, keys: list[str]) -> DataF
     return (
         found.withColumn("spec_state", state)
         .withColumn("spec", F.when(usable, F.col("_found.spec")))
-        .drop("_ms", "_kind", "_snapshot", "_bucket", "_context", "_found")
+        .drop("_ms", "_kind", "_fetch", "_snapshot", "_bucket", "_context", "_found")
     )

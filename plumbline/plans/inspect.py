@@ -20,22 +20,25 @@ from plumbline.operators.validate import add_results
 from plumbline.sources.specs import SpecTable
 
 
-def validate_documents(events: DataFrame, specs: SpecTable, env: str = "dev", deep: bool = True, seal=None) -> DataFrame:
+def validate_documents(events: DataFrame, specs: SpecTable, env: str = "dev", seal=None) -> DataFrame:
     """Stateless middle of an inspection, the same for tables and streams.
 
     Adds ``document`` (with validation ids), ``results``, ``metadata`` and ``route``.
     """
     opened = lookup_spec(open_levels(events, "props"), specs, env)
     checked = route(add_results(opened, patterns=specs.patterns), env)
-    documented = add_schema_document(checked, "document", results="results", seal=seal, deep=deep)
+    documented = add_schema_document(checked, "document", results="results", seal=seal)
     return drop_levels(documented).drop("all_ids", "plan")
 
 
-def inspect_events(events: DataFrame, specs: SpecTable, app: App, deep: bool = True, seal=None) -> DataFrame:
-    """Deduplicate, identify, extract, look up, validate, merge and wrap events."""
+def inspect_events(events: DataFrame, specs: SpecTable, app: App, seal=None, rate: float = 1.0) -> DataFrame:
+    """Deduplicate, identify, extract, look up, validate, merge and wrap events.
+
+    ``rate`` is the sampling rate in force, which bodies state and ``outgoing_requests`` applies.
+    """
     kept = assign_stream_id(dedup_events(events))
-    checked = validate_documents(kept, specs, app.env, deep, seal)
-    return checked.withColumn("body", event_body(app))
+    checked = validate_documents(kept, specs, app.env, seal)
+    return checked.withColumn("body", event_body(app, rate=f"{rate!r}D"))
 
 
 def outgoing_requests(inspected: DataFrame, rate: float = 1.0, size: int = 30, seconds: int = 30) -> DataFrame:
@@ -65,16 +68,16 @@ def inspect_schemas(schemas: DataFrame, events: DataFrame, app: App) -> DataFram
     return assign_stream_id(kept).withColumn("body", event_body(app, document="schema_json"))
 
 
-def extract_only(events: DataFrame, pending: DataFrame, deep: bool = True) -> DataFrame:
+def extract_only(events: DataFrame, pending: DataFrame) -> DataFrame:
     """Documents, with the warning flag that codegen just reported the same properties."""
-    return extract_document(seen_by_codegen(events, pending), deep=deep)
+    return extract_document(seen_by_codegen(events, pending))
 
 
 def production_profile(
-    events: DataFrame, app: App, rate: float = 1.0, size: int = 30, seconds: int = 30, deep: bool = True
+    events: DataFrame, app: App, rate: float = 1.0, size: int = 30, seconds: int = 30
 ) -> DataFrame:
     """Extraction, batching and sampling only; the stream id stays empty."""
-    documented = extract_document(events, deep=deep).withColumn("metadata", F.lit(None).cast("struct<branchId:string>"))
-    bodies = documented.withColumn("body", event_body(app, stream_id="''"))
+    documented = extract_document(events).withColumn("metadata", F.lit(None).cast("struct<branchId:string>"))
+    bodies = documented.withColumn("body", event_body(app, rate=f"{rate!r}D", stream_id="''"))
     queue = assign_batches(bodies.select("uid", "client_id", "ts", "body"), size, seconds)
     return encode_batches(sample_batches(queue, F.lit(rate)))

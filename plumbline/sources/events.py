@@ -22,11 +22,16 @@ def read_events(spark: SparkSession, path: str, format: str = "parquet", streami
 
 
 def accept_events(df: DataFrame, props: str = "props") -> DataFrame:
-    """Add ``accepted``: the property text is absent or holds one JSON object."""
-    kind = F.schema_of_variant(F.try_parse_json(props))
-    return df.withColumn(
-        "accepted", F.col(props).isNull() | F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-    )
+    """Add ``accepted``: the property text is absent or holds one JSON object and nothing else.
+
+    The parser stops where a value ends.  Text that goes on behind it breaks at least one of an
+    array and an object put around it, or gives the array a second element.
+    """
+    parsed = lambda text: F.try_parse_json(text)
+    is_object = F.schema_of_variant(parsed(F.col(props))).startswith("OBJECT")
+    listed = F.try_variant_get(parsed(F.concat(F.lit("["), props, F.lit("]"))), "$", "array<variant>")
+    alone = (F.size(listed) == 1) & parsed(F.concat(F.lit('{"x":'), props, F.lit("}"))).isNotNull()
+    return df.withColumn("accepted", F.col(props).isNull() | F.coalesce(is_object & alone, F.lit(False)))
 
 
 def split_rejects(df: DataFrame, props: str = "props") -> tuple[DataFrame, DataFrame]:

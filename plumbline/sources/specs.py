@@ -11,8 +11,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.deep import declared_below
 from plumbline.functions.patterns import compiled_only, translate
-from plumbline.functions.planning import settle, unnest
+from plumbline.functions.planning import pin, settle, unnest
 from plumbline.functions.values import each, keep, let, some
 
 # fixed values: constraint kinds in checking order, with their wire names
@@ -84,8 +85,19 @@ def _properties(json_map: str, path: str, event_ord: str, base_id: str) -> str:
     )
 
 
-def flatten_properties(specs: DataFrame, levels: int = 8) -> DataFrame:
-    """Add ``properties``: one struct per declared property of every entry, at every level."""
+_DECLARED = (
+    "array<struct<event_ord:int,base_event_id:string,path:array<string>,prop_ord:int,type:string,"
+    f"required:boolean,is_list:boolean,has_children:boolean,checks:array<{_CHECK}>,children:string>>"
+)
+
+
+def flatten_properties(specs: DataFrame, levels: int = 8, below: bool = True) -> DataFrame:
+    """Add ``properties``: one struct per declared property of every entry, at every level.
+
+    ``levels`` are opened by column expressions; children below them are followed by an Arrow
+    helper, which gets NULL for every document without any.  ``below=False`` is for callers
+    that use the opened levels only.
+    """
     root = "CAST(array() AS array<string>)"
     top = each("entries", lambda e, i: f"coalesce({_properties(e + '.p', root, i, e + '.id')}, array())")
     df = specs.withColumn("_p0", F.expr(f"flatten({top})"))
@@ -96,7 +108,17 @@ def flatten_properties(specs: DataFrame, levels: int = 8) -> DataFrame:
         )
         df = df.withColumn(f"_p{depth}", F.expr(f"flatten({below})"))
     names = [f"_p{d}" for d in range(levels)]
-    return df.withColumn("properties", F.concat(*names)).drop(*names)
+    if below:
+        parents = each(
+            keep(names[-1], lambda p, _: f"{p}.has_children"),
+            lambda p, _: f"named_struct('path', {p}.path, 'event_ord', {p}.event_ord, 'base_event_id', {p}.base_event_id, 'children', {p}.children)",
+        )
+        df = pin(df, "_parents", F.expr(f"CASE WHEN {some(names[-1], lambda p: f'{p}.has_children')} THEN to_json({parents}) END"))
+        df = pin(df, "_below", F.from_json(declared_below(F.col("_parents")), _DECLARED)).drop("_parents")
+        names.append("_below")
+    every = F.concat(*[F.coalesce(F.col(n).cast(_DECLARED), F.array().cast(_DECLARED)) for n in names])
+    # a document of the wrong shape declares nothing that is known
+    return df.withColumn("properties", F.when(F.col("_p0").isNotNull(), every)).drop(*names)
 
 
 def explode_constraints(specs: DataFrame, keys: list[str], levels: int = 8) -> DataFrame:
@@ -152,7 +174,7 @@ def merge_constraints(specs: DataFrame, keep_is_list: bool = False) -> DataFrame
                 'checks', {_merge_checks(f'flatten({g}.checks)')})""",
         )
 
-    df = flatten_properties(specs, levels=2).withColumn("merged", F.expr(each("array_distinct(properties.path)", merge)))
+    df = flatten_properties(specs, levels=2, below=False).withColumn("merged", F.expr(each("array_distinct(properties.path)", merge)))
     return df.drop("properties")
 
 
@@ -236,13 +258,20 @@ class SpecTable:
     patterns: list[str] = field(default_factory=list)
 
 
-def load_specs(df: DataFrame, keys: list[str], text: str = "spec_json", keep_is_list: bool = False) -> SpecTable:
+def load_specs(
+    df: DataFrame, keys: list[str], text: str = "spec_json", keep_is_list: bool = False, order: str | None = None
+) -> SpecTable:
     """Compile wire documents, and measure them to choose the join.
 
+    Of several documents of one key the last by ``order`` counts, and of equal ones (or
+    without an ``order``) the one that sorts last as text, so a lookup never multiplies rows.
+
     The measuring job reads the document texts only.  A table over
     ``BROADCAST_BYTES`` is joined by shuffle; beyond ``LITERAL_PATTERNS``
     distinct patterns the patterns stay a column.
     """
+    rank = F.struct(*([order] if order else []), text)
+    df = df.groupBy(*keys).agg(F.max(rank)[text].alias(text))
     size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
     compiled = compile_specs(read_specs(df, text), keys, keep_is_list)
     small = size <= BROADCAST_BYTES
