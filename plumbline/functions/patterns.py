@@ -60,6 +60,15 @@ def is_safe(pattern: str) -> bool:
     return len(inner) == 1 and count <= REPETITION_LIMIT
 
 
+def _class(token: str) -> str:
+    """A character class; its members are single characters and escapes."""
+    own = {r"\s": rf"\s{WIDE_SPACE}", r"\S": rf"[^\s{WIDE_SPACE}]", r"\0": r"\x00", "[": r"\["}
+    negated = token.startswith("[^")
+    members = re.findall(r"\\.|.", token[2 if negated else 1 : -1], re.S)
+    body = "".join(own.get(m, m) for m in members).replace("&&", r"&\&")
+    return ("[^" if negated else "[") + body + "]"
+
+
 def to_java(pattern: str) -> str:
     """The same pattern for java.util.regex."""
 
@@ -78,10 +87,7 @@ def to_java(pattern: str) -> str:
             return "(?!)"
         if token == "[^]":
             return r"[\s\S]"
-        if token.startswith("["):
-            body = re.sub(r"\\s", lambda m: r"\s" + WIDE_SPACE, token[1:-1])
-            return "[" + re.sub(r"(?<!\\)\[", r"\\[", body).replace("&&", r"&\&") + "]"
-        return token
+        return _class(token) if token.startswith("[") else token
 
     return "".join(one(t) for t in _TOKEN.findall(pattern))
 

@@ -27,7 +27,9 @@ def _keyed(events: DataFrame) -> DataFrame:
     """Add ``_client``, ``_ms``, ``_uid`` and ``_copy``; none is NULL, and together they are unique."""
     mark = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     rows = events.withColumns({"_client": mark("client_id"), "_ms": F.unix_millis("ts"), "_uid": mark("uid")})
-    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_client", "_ms", "_uid").orderBy("_uid")))
+    # an id names one row or few; rows without one are told apart inside their millisecond
+    same = Window.partitionBy("_client", "_uid", F.when(F.col("_uid") == "", F.col("_ms")))
+    return rows.withColumn("_copy", F.row_number().over(same.orderBy("_ms")))
 
 
 def _advance(n: Column, flushed_ms: Column, ms: Column, size: int, wait_ms: int) -> Column:
@@ -57,7 +59,7 @@ def _trace(size: int, wait_ms: int):
             rows, begin = batch.column("rows"), batch.column("begin")
             offsets = rows.offsets.to_pylist()
             fields = [rows.values.field(i).to_pylist() for i in range(3)]
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for block, client in enumerate(batch.column("_client").to_pylist()):
                 state = begin[block].as_py()
                 n, last = state["n"], state["flushed"]
@@ -66,13 +68,13 @@ def _trace(size: int, wait_ms: int):
                     row = tuple(f[i] for f in fields)
                     n += 1
                     flush = n % size == 0 or row[0] - after[0] >= wait_ms
-                    for column, value in zip(out, (client, *row, after[1], after[2], flush), strict=True):
+                    for column, value in zip(out, (client, *row, *after, flush), strict=True):
                         column.append(value)
                     if flush:
                         n, after = 0, row
-            types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.bool_()]
+            types = [pa.string(), *[pa.int64(), pa.string(), pa.int32()] * 2, pa.bool_()]
             columns = [pa.array(values, t) for values, t in zip(out, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*_KEY, "_after", "_after_copy", "flush"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*_KEY, "_after_ms", "_after", "_after_copy", "flush"])
 
     return run
 
@@ -184,11 +186,11 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         blocks.drop("recent", "tail", "exits")
         .join(entered, ["_client", "stretch", "block"], "left")
         .select("_client", "rows", begin.alias("begin"))
-        .mapInArrow(_trace(size, wait_ms), "_client string, _ms long, _uid string, _copy int, _after string, _after_copy int, flush boolean")
+        .mapInArrow(_trace(size, wait_ms), "_client string, _ms long, _uid string, _copy int, _after_ms long, _after string, _after_copy int, flush boolean")
     )
     # "=" stands before an id that is there
-    after = F.when(F.col("_after") == "", "null").otherwise(F.substr("_after", F.lit(2)))
-    after = F.concat(after, F.when(F.col("_after_copy") > 1, F.concat(F.lit("#"), "_after_copy")).otherwise(""))
+    after = F.when(F.col("_after") == "", F.concat(F.lit("null@"), F.col("_after_ms").cast("string"))).otherwise(F.substr("_after", F.lit(2)))
+    after = F.concat(after, F.when(F.col("_after_copy") > 1, F.concat(F.lit("#"), F.col("_after_copy").cast("string"))).otherwise(""))
     client = F.coalesce(F.col("client_id"), F.lit("unknown"))
     named = events.join(traced, _KEY).withColumn("batch_id", F.concat_ws("|", client, F.coalesce(after, F.lit("start"))))
     return named.select(*[c for c in events.columns if c not in _KEY], "batch_id", "flush")

@@ -6,7 +6,9 @@ Late rows (behind the watermark) are dropped by Spark; route them to a side
 table before these operators if they matter.
 
 Only rows between the watermark and now are held per key, which the watermark
-delay bounds.  The state store must be RocksDB:
+delay bounds.  What a key remembers is cleared when it can change nothing any more:
+300 ms after its last report, or when its identity would be renewed anyway.  A batch
+is named after the flush before it, so that name stays.  The state store must be RocksDB:
 ``spark.sql.streaming.stateStore.providerClass`` set to
 ``org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``.
 """
@@ -60,9 +62,19 @@ class _InOrder(StatefulProcessor):
             self.handle.registerTimer(rest[0][0] + 1)
         memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
         out, memory = self.replay(key, due, memory)
-        self.memory.update((json.dumps(memory),))
+        end = self.end_of(memory)
+        if end is not None and end < passed:
+            self.memory.clear()
+        else:
+            self.memory.update((json.dumps(memory),))
+            if end is not None:
+                self.handle.registerTimer(end + 1)
         yield pd.DataFrame(out, columns=self.columns, dtype=object)
 
+    def end_of(self, memory) -> int | None:
+        """Event time from which ``memory`` changes nothing any more; None if it always counts."""
+        return None
+
     def close(self) -> None:
         pass
 
@@ -83,6 +95,10 @@ class _Dedup(_InOrder):
         return out, pending
 
 
+    def end_of(self, memory):
+        return max((p[0] for p in memory), default=0) + WINDOW_MS
+
+
 class _Identity(_InOrder):
     columns = ["client_id", "uid", "created"]
 
@@ -94,7 +110,11 @@ class _Identity(_InOrder):
                 created = ms
             last = ms
             out.append((key[0], uid, created))
-        return out, (created, last)
+        return out, None if created is None else (created, last)
+
+    def end_of(self, memory):
+        # a later event renews the identity, whatever it was
+        return 0 if memory is None else max(memory[0] + MAX_AGE_MS, memory[1] + IDLE_MS)
 
 
 class _Batches(_InOrder):

@@ -36,12 +36,15 @@ def test_numbers(spark, number, kind, text):
 
 
 def test_all_types(spark):
-    raw = '{"p0":true,"p1":1,"p2":"str","p3":0.5,"p5":null,"p6":{"an":"object"},"p7":[1,"list",0.1,{"obj":1},["in","list"],[1,2]]}'
-    kids = ["int", "string", "float", [leaf("obj", "int")], ["string"], ["int"]]
+    raw = (
+        '{"rented":true,"minutes":42,"station":"Harbour","fee":2.75,"voucher":null,"rider":{"plan":"day"},'
+        '"stops":[{"dock":3},"pier",[8,9],7,["east","west"],1.25]}'
+    )
+    kids = [[leaf("dock", "int")], "string", ["int"], "int", ["string"], "float"]
     assert documents(spark, raw) == [
         [
-            leaf("p0", "boolean"), leaf("p1", "int"), leaf("p2", "string"), leaf("p3", "float"), leaf("p5", "null"),
-            leaf("p6", "object", children=[leaf("an", "string")]), leaf("p7", "list", children=kids),
+            leaf("rented", "boolean"), leaf("minutes", "int"), leaf("station", "string"), leaf("fee", "float"), leaf("voucher", "null"),
+            leaf("rider", "object", children=[leaf("plan", "string")]), leaf("stops", "list", children=kids),
         ]
     ]
 
@@ -49,15 +52,15 @@ def test_all_types(spark):
 def test_repeats_falsy_and_items(spark):
     repeated, falsy, items, absent = documents(
         spark,
-        '{"l":["true","false",true,10,"true",true,11,10,0.1,0.1]}',
-        '{"a":false,"b":0,"c":"","d":0.0,"e":null,"f":{},"g":[],"h":[null,null]}',
-        '{"items":[{"name":"x","count":1,"active":true}]}',
+        '{"codes":[4,"no",2.5,"no",false,"yes",4,5,false,2.5,"no"]}',
+        '{"note":"","zero":0.0,"off":false,"gap":null,"count":0,"bag":[],"box":{},"gaps":[null,null]}',
+        '{"legs":[{"open":false,"km":12,"to":"mill"}]}',
         None,
     )
-    assert repeated == [leaf("l", "list", children=["string", "boolean", "int", "float"])]
-    assert [p["propertyType"] for p in falsy] == ["boolean", "int", "string", "int", "null", "object", "list", "list"]
+    assert repeated == [leaf("codes", "list", children=["int", "string", "float", "boolean"])]
+    assert [p["propertyType"] for p in falsy] == ["string", "int", "boolean", "null", "int", "list", "object", "list"]
     assert falsy[7]["children"] == [[], []]
-    assert items == [leaf("items", "list", children=[[leaf("name", "string"), leaf("count", "int"), leaf("active", "boolean")]])]
+    assert items == [leaf("legs", "list", children=[[leaf("open", "boolean"), leaf("km", "int"), leaf("to", "string")]])]
     assert absent == []
 
 
@@ -100,8 +103,30 @@ def test_sealed_values(spark):
         sealer("short", "dev")
 
 
+def test_sealed_values_below_the_opened_levels(spark):
+    key = "0123456789abcdef"
+    raw = '{"a":{"b":{"c":{"d":{"e":{"f":"deep","g":{"h":-2.50,"i":null,"j":[{"k":true,"l":[1]}],"m":"\\"q\\" ü"}}}}}}}'
+    (document,) = documents(spark, raw, seal=sealer(key, "dev"))
+    found = {}
+
+    def walk(members):
+        for m in members:
+            if isinstance(m, list):
+                walk(m)
+            elif isinstance(m, dict):
+                if "children" in m:
+                    assert "encryptedPropertyValue" not in m
+                    walk(m["children"])
+                else:
+                    found[m["propertyName"]] = m["encryptedPropertyValue"]
+
+    walk(document)
+    opened = spark.createDataFrame(list(found.items()), "name string, s string").select("name", unseal(F.col("s"), key).alias("o"))
+    assert dict(map(tuple, opened.collect())) == {"f": '"deep"', "h": "-2.5", "i": "null", "k": "true", "m": '"\\"q\\" ü"'}
+
+
 def test_fingerprints(spark):
-    raws = ['{"0":"s","1":[1,2,3],"2":[["str",true]]}', '{"1":[1.0,2,3], "0":"s","2":[["str",true]]}', '{"0":"s","1":[2,1,3],"2":[["str",true]]}']
+    raws = ['{"lap":"third","split":[31,28],"sky":{"wet":[false]}}', '{"sky":{"wet":[false]},"split":[31.0,28], "lap":"third"}', '{"lap":"third","split":[28,31],"sky":{"wet":[false]}}']
     df = spark.createDataFrame([(r,) for r in raws], "props string")
     same, other, different = (r[0] for r in df.select(params_fingerprint(F.col("props"))).collect())
     assert same == other != different
@@ -111,10 +136,13 @@ def test_fingerprints(spark):
 
 
 def test_rejects_and_sources(spark, tmp_path):
-    df = spark.createDataFrame([(r,) for r in ('{"a":1}', "[1]", "bad", None, '"s"')], "props string")
-    assert [r["accepted"] for r in accept_events(df).collect()] == [True, False, False, True, False]
+    texts = {'{"a":1}': True, "[1]": False, "bad": False, None: True, '"s"': False, ' {"a":[{}]} \n': True, "": False}
+    behind = [" oops", "}", "]", ',{"b":2}', ',"y":1', "}} {", "]] [", "},{", "],[", " null"]
+    texts |= {'{"a":1}' + more: False for more in behind}
+    df = spark.createDataFrame([(r,) for r in texts], "props string").coalesce(1)
+    assert {r["props"]: r["accepted"] for r in accept_events(df).collect()} == texts
     good, bad = split_rejects(df)
-    assert (good.count(), bad.count()) == (2, 3)
+    assert (good.count(), bad.count()) == (3, len(texts) - 3)
     spark.createDataFrame([("u", "{}")], "uid string, props string").write.parquet(str(tmp_path / "e"))
     assert read_events(spark, str(tmp_path / "e")).first()["uid"] == "u"
     schemas = spark.createDataFrame([('[{"propertyName":"a","propertyType":"list","children":["int"]}]',)], "schema_json string")
