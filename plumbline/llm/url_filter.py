@@ -29,6 +29,10 @@ RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block"
 #: bytes that the filters of one list may take in a broadcast
 MAX_BYTES = 64 << 20
 HASHES = 8
+#: keys that one task of a level reads
+KEYS_PER_TASK = 1_000_000
+#: listed keys that are broadcast (8 bytes each) to take them out of the universe; more are joined by a shuffle
+BROADCAST_KEYS = 1_000_000
 _KEY = "host_part string, path_part string"
 
 
@@ -110,10 +114,8 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_B
     if n_listed == 0:
         cascade.levels.append(Level(1, 0.5, 1))
         return cascade
-    members, others = listed, universe.join(listed, "h", "left_anti") if n_listed > 100_000 else None
-    if others is None:
-        known = [r.h for r in listed.collect()]  # at most 100,000 numbers
-        others = universe.filter(~F.col("h").isin(known)) if len(known) <= 1000 else universe.join(F.broadcast(listed), "h", "left_anti")
+    members = listed
+    others = universe.join(F.broadcast(listed) if n_listed <= BROADCAST_KEYS else listed, "h", "left_anti")
     rate = min(0.5, n_listed / (math.sqrt(2) * max(1, n_others)))
     for depth in range(1, 200):
         side = members if depth % 2 else others
@@ -126,8 +128,8 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_B
         if cascade.n_bytes + 8 * level.n_words > max_bytes:
             raise ValueError(f"the cascade needs more than {max_bytes} bytes; split the list")
         merged = left.mapInPandas(_bits_of(level), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-        for row in merged.toLocalIterator():  # one row per word of the filter, whose size is checked above
-            level.words[row.word] = np.uint64(row.bits % (1 << 64))
+        table = merged.toArrow()  # one row per word of the filter, whose size is checked above
+        level.words[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
         cascade.levels.append(level)
     return cascade
 
@@ -178,9 +180,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     asked = pages.withColumn(at, F.struct(host.alias("host"), path.alias("path")))
     lengths = [r.n for r in rules.select(F.length(F.regexp_extract("rule", r"(/.*)?$", 0)).alias("n")).distinct().collect()]
     distinct = asked.select(F.col(f"{at}.host").alias("host"), F.col(f"{at}.path").alias("path"))
-    universe = settle(distinct.mapInPandas(_keys(lengths), "h long").distinct())
+    universe = _few_tasks(settle(distinct.mapInPandas(_keys(lengths), "h long").distinct()))
     ruled = rules.groupBy("rule").agg(F.max(F.when(F.col("verdict") == "block", 1).otherwise(0)).alias("blocks"))
-    hashed = settle(ruled.mapInPandas(_rule_hash, "h long, blocks long"))
+    hashed = _few_tasks(settle(ruled.mapInPandas(_rule_hash, "h long, blocks long")))
     cascades = {
         verdict: spark.sparkContext.broadcast(build_cascade(hashed.filter(f"blocks = {b}").select("h").distinct(), universe))
         for verdict, b in (("block", 1), ("allow", 0))
@@ -189,6 +191,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     return judged
 
 
+def _few_tasks(keys: DataFrame) -> DataFrame:
+    """A settled table of keys, in no more parts than its size needs; each level reads it again."""
+    return keys.coalesce(max(1, keys.count() // KEYS_PER_TASK))
+
+
 def _schema(asked: DataFrame, at: str) -> str:
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema if f.name != at]
     return ", ".join([*kept, "host string", "path string", "rule string", "verdict string"])
