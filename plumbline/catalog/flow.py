@@ -21,7 +21,7 @@ from plumbline.operators.envelope import App, encode_batches, event_body, sessio
 from plumbline.operators.extract import extract_document
 from plumbline.operators.identity import assign_stream_id, backfill_unknown_stream, session_started_rows
 from plumbline.operators.lookup import lookup_spec
-from plumbline.plans.inspect import extract_only, inspect_events, inspect_schemas, production_profile
+from plumbline.plans.inspect import extract_only, inspect_events, inspect_schemas, outgoing_requests, production_profile
 from plumbline.sources.specs import load_specs
 
 _START = 1704067200000
@@ -465,6 +465,67 @@ def inspect_events_query(spark, sf):
     return inspected.select("uid", "route", "document")
 
 
+# the same inspections with identities over what was kept, and with their bodies
+_INSPECTED_SQL = f"""{_REPORTS_SQL}, {_replay_sql('tagged')},
+kept AS (SELECT t.* FROM fold f JOIN tagged t ON t.uid = f.uid WHERE f.rn > 0 AND NOT dup),
+seen AS (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ms, uid) AS rn FROM kept),
+ids AS (
+  SELECT client_id, uid, rn, ms AS last_ms, ms AS created FROM seen WHERE rn = 1
+  UNION ALL
+  SELECT r.client_id, r.uid, r.rn, r.ms,
+         CASE WHEN r.ms - i.created > 14400000 AND r.ms - i.last_ms > 7200000 THEN r.ms ELSE i.created END
+  FROM ids i JOIN seen r ON r.client_id = i.client_id AND r.rn = i.rn + 1),
+documented AS (
+  SELECT s.*, s.source = 'codegen' AS coded, s.event_name IN ('click', 'view') AS spec, sha256(concat('message|', s.uid)) AS m,
+    sha256(concat(s.client_id, '|', i.created)) AS h,
+    CASE WHEN s.event_name NOT IN ('click', 'view') THEN '' WHEN str THEN ',"failedEventIds":["e","v1","v2"]'
+         WHEN k < 2 THEN ',"failedEventIds":["v2"]' ELSE '' END AS ids
+  FROM seen s JOIN ids i ON i.uid = s.uid),
+bodies AS (
+  SELECT uid, client_id, ms, spec, {_body_sql(
+      "concat(substr(h, 1, 8), '-', substr(h, 9, 4), '-', substr(h, 13, 4), '-', substr(h, 17, 4), '-', substr(h, 21, 12))",
+      "CASE WHEN uid LIKE '%a' THEN concat('[{\"propertyName\":\"k\",\"propertyType\":\"', shape, '\"', ids, '}},{\"propertyName\":\"j\",\"propertyType\":\"int\"}]') "
+      "ELSE concat('[{\"propertyName\":\"j\",\"propertyType\":\"int\"},{\"propertyName\":\"k\",\"propertyType\":\"', shape, '\"', ids, '}}]') END".replace("}}", "}"),
+      _EVENT_TAIL.removesuffix(", '}}'")
+      + ", CASE WHEN spec THEN ',\"eventSpecMetadata\":{{\"schemaId\":\"schema-1\",\"branchId\":\"main\",\"latestActionId\":\"a1\"}},"
+      "\"validatedBranchId\":\"main\"' ELSE '' END, '}}'",
+  )} AS body FROM documented)
+"""
+
+
+def _inspected(spark, sf):
+    reports = _reports(spark, sf)
+    spec = {"k": prop(minmax={"0,50": ["e", "v1"], "2,": ["v2"]})}
+    specs = same_spec(reports, wire(spec, ids=["e", "v1", "v2", "v3", "v4", "v5"])).filter("event_name IN ('click', 'view')")
+    return inspect_events(reports, load_specs(specs, ["event_name"]), App())
+
+
+@query("inspect_bodies", f"WITH RECURSIVE {_INSPECTED_SQL} SELECT uid, md5(body) AS body FROM bodies")
+def inspect_bodies(spark, sf):
+    """Whole bodies of an inspection: identities, documents with results, metadata of the specification."""
+    return _inspected(spark, sf).select("uid", F.md5("body").alias("body"))
+
+
+@query(
+    "outgoing_requests",
+    f"""WITH RECURSIVE {_INSPECTED_SQL},
+    waiting AS (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ms, uid) AS wn FROM bodies WHERE NOT spec),
+    queued AS (
+      SELECT client_id, 0::BIGINT AS wn, 0 AS n, ms AS flushed_ms, 'start' AS flushed, NULL::VARCHAR AS uid, NULL::VARCHAR AS after FROM waiting WHERE wn = 1
+      UNION ALL
+      SELECT client_id, wn, CASE WHEN f THEN 0 ELSE n + 1 END, CASE WHEN f THEN ms ELSE flushed_ms END, CASE WHEN f THEN uid ELSE flushed END, uid, flushed
+      FROM (SELECT r.*, o.n, o.flushed_ms, o.flushed, (o.n + 1) % {_SIZE} = 0 OR r.ms - o.flushed_ms >= {_SECONDS * 1000} AS f
+            FROM queued o JOIN waiting r ON r.client_id = o.client_id AND r.wn = o.wn + 1)),
+    batched AS (SELECT b.*, CASE WHEN b.spec THEN concat('event|', b.uid) ELSE concat(q.client_id, '|', q.after) END AS batch_id FROM bodies b LEFT JOIN queued q ON q.uid = b.uid),
+    r AS (SELECT batch_id, count(*) AS n_events, concat('[', string_agg(body, ',' ORDER BY ms, uid), ']') AS request FROM batched GROUP BY 1)
+    SELECT batch_id, CAST(n_events AS INT) AS n_events, md5(request) AS request, length(request) >= 1024 AS gzip FROM r""",
+)
+def outgoing_requests_query(spark, sf):
+    """The outgoing half: validated events one by one, the rest in batches."""
+    requests = outgoing_requests(_inspected(spark, sf), size=_SIZE, seconds=_SECONDS)
+    return requests.select("batch_id", "n_events", F.md5("request").alias("request"), "gzip")
+
+
 @query(
     "inspect_schemas",
     f"WITH RECURSIVE {_SHAPED_SQL}, {_replay_sql('mixed')} SELECT f.uid, a.shape FROM fold f JOIN asked a ON a.uid = f.uid WHERE NOT dup",

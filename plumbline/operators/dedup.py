@@ -7,6 +7,10 @@ Rows with equal ``ts`` are taken in order of ``uid``.
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,30 +87,30 @@ def _islands(rows: DataFrame) -> DataFrame:
     return carry_last(own, keys, "ms", ["ms", "uid"], "_start", "island")
 
 
-def _replay(rows: Column) -> Column:
-    """Uids of the duplicates in one burst, replayed in order."""
-    state = "struct<pending:array<struct<ms:bigint,uid:string,source:string,params:string,shape:string>>,found:array<string>>"
-    start = F.struct(F.array().alias("pending"), F.array().alias("found")).cast(state)
-
-    def step(acc: Column, row: Column) -> Column:
-        live = F.filter(acc["pending"], lambda p: row["ms"] - p["ms"] <= WINDOW_MS)
-        other = F.when(row["source"] == "manual", "codegen").otherwise("manual")
-        doubled = F.exists(live, lambda p: (p["source"] == other) & (p["params"] == row["params"]))
-        same_shape = F.filter(live, lambda p: (p["source"] == "codegen") & (p["shape"] == row["shape"]))
-        found = F.concat(acc["found"], F.array(row["uid"]))
-        after_schema = F.when(
-            F.size(same_shape) > 0,
-            F.struct(
-                F.filter(live, lambda p: p["uid"] != F.get(same_shape, F.lit(0))["uid"]).alias("pending"),
-                found.alias("found"),
-            ),
-        ).otherwise(F.struct(live.alias("pending"), acc["found"].alias("found")))
-        after_event = F.when(
-            doubled, F.struct(F.filter(live, lambda p: F.lit(False)).alias("pending"), found.alias("found"))
-        ).otherwise(F.struct(F.concat(live, F.array(row)).alias("pending"), acc["found"].alias("found")))
-        return F.when(row["source"] == "schema", after_schema).otherwise(after_event)
-
-    return F.aggregate(rows, start, step, lambda acc: acc["found"])
+def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Uids of the duplicates of each burst, replayed in order; rows older than the window leave at the front."""
+    for batch in batches:
+        rows = batch.column("rows")
+        offsets = rows.offsets.to_pylist()
+        fields = [rows.values.field(i).to_pylist() for i in range(5)]
+        found = []
+        for first, last in zip(offsets[:-1], offsets[1:], strict=True):
+            pending: deque = deque()
+            for i in range(first, last):
+                ms, uid, source, params, shape = (f[i] for f in fields)
+                while pending and ms - pending[0][0] > WINDOW_MS:
+                    pending.popleft()
+                if source == "schema":
+                    hit = next((p for p in pending if p[1] == "codegen" and p[3] == shape and shape is not None), None)
+                    if hit is not None:
+                        pending.remove(hit)
+                        found.append(uid)
+                elif any(p[1] != source and p[2] == params for p in pending):
+                    pending.clear()
+                    found.append(uid)
+                else:
+                    pending.append((ms, source, params, shape, uid))
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["uid"])
 
 
 def find_duplicates(df: DataFrame, schema: str | None = None) -> DataFrame:
@@ -129,8 +133,8 @@ def find_duplicates(df: DataFrame, schema: str | None = None) -> DataFrame:
         _islands(involved)
         .groupBy(*keys, "island")
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
-        .select(F.explode_outer(_replay(F.col("rows"))).alias("uid"))
-        .filter(F.col("uid").isNotNull())
+        .select("rows")
+        .mapInArrow(_replay, "uid string")
     )
 
 

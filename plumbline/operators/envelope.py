@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.planning import settle
 from plumbline.functions.values import literal, number_text, quoted
 
 # fixed value: shorter request bodies are sent uncompressed
@@ -129,9 +130,6 @@ def encode_batches(rows: DataFrame, batch: str = "batch_id", body: str = "body",
 
 def write_bodies(requests: DataFrame, path: str) -> None:
     """Write one request per line: long ones gzipped under ``gzip``, the rest under ``plain``."""
-    kept = requests.persist()
-    try:
-        kept.filter("gzip").select("request").write.mode("append").option("compression", "gzip").text(f"{path}/gzip")
-        kept.filter("not gzip").select("request").write.mode("append").text(f"{path}/plain")
-    finally:
-        kept.unpersist()
+    kept = settle(requests)
+    kept.filter("gzip").select("request").write.mode("append").option("compression", "gzip").text(f"{path}/gzip")
+    kept.filter("not gzip").select("request").write.mode("append").text(f"{path}/plain")

@@ -161,16 +161,12 @@ def batch_stream(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLUSH
 
 
 def write_routed(documents: DataFrame, path: str, checkpoint: str):
-    """Write the stateless middle of an inspection by route, one folder each.
+    """Write the stateless middle of an inspection, in one folder per micro-batch and route.
 
-    The batch id names the files of a micro-batch, so a repeated one overwrites itself.
+    A repeated micro-batch overwrites its own folder.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        for name in ("immediate", "batch"):
-            part = rows.filter(F.col("route") == name).drop("results")
-            part.write.mode("overwrite").parquet(f"{path}/{name}/micro_batch={batch_id}")
-        rows.unpersist()
+        batch.drop("results").write.mode("overwrite").partitionBy("route").parquet(f"{path}/micro_batch={batch_id}")
 
     return documents.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
