@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordered import carry_last, with_context
+from plumbline.operators.ordered import bucket_of, with_context
 from plumbline.sources.specs import SpecTable
 
 
@@ -43,15 +43,42 @@ def branch_epochs(fetches: DataFrame, stream: list[str]) -> DataFrame:
     current, ``invalid_ms`` when the next change takes it out of use.  A fetch
     that found nothing (NULL ``branch_id``) changes nothing.
     """
-    order = ["fetched_ms", "fetch_id"]
-    df = fetches.withColumn("fetched_ms", F.unix_millis("fetched_at"))
-    df = carry_last(df, stream, "fetched_ms", order, "branch_id", "_current", include_current=False)
-    df = df.withColumn(
-        "branch_changed", F.coalesce(F.col("branch_id") != F.col("_current"), F.lit(False))
-    ).withColumn("_change", F.when(F.col("branch_changed"), F.col("fetched_ms")))
-    df = carry_last(df, stream, "fetched_ms", order, "_change", "epoch_ms")
-    df = carry_last(df, stream, "fetched_ms", order, "_change", "invalid_ms", backward=True, include_current=False)
-    return df.drop("_current", "_change")
+    # hours of a stream: what is known inside one, then what enters it, then both together
+    keys, hour = [*stream, "_bucket"], 3_600_000
+    ms, branch = F.col("fetched_ms"), F.col("branch_id")
+    upwards, downwards = ["fetched_ms", "fetch_id"], [F.desc("fetched_ms"), F.desc("fetch_id")]
+    inside = Window.partitionBy(*keys).orderBy(*upwards)
+    first, one_before = Window.unboundedPreceding, -1
+    rows = fetches.withColumn("fetched_ms", F.unix_millis("fetched_at")).withColumn("_bucket", bucket_of(ms, hour))
+    rows = rows.withColumn("_prev", F.last("branch_id", True).over(inside.rowsBetween(first, one_before)))
+
+    rank = F.when(branch.isNotNull(), F.struct(*upwards))
+    within = F.when(branch != F.col("_prev"), ms)
+    hours = rows.groupBy(*keys).agg(
+        F.min_by(F.struct("fetched_ms", "branch_id"), rank).alias("_head"),
+        F.max_by("branch_id", rank).alias("_last"),
+        F.min(within).alias("_low"),
+        F.max(within).alias("_high"),
+    )
+    before = Window.partitionBy(*stream).orderBy("_bucket").rowsBetween(first, one_before)
+    behind = Window.partitionBy(*stream).orderBy(F.desc("_bucket")).rowsBetween(first, one_before)
+    hours = hours.withColumn("_in", F.last("_last", True).over(before))
+    head = F.when(F.col("_head.branch_id") != F.col("_in"), F.col("_head.fetched_ms"))
+    hours = hours.withColumns({"_first": F.coalesce(head, "_low"), "_latest": F.coalesce("_high", head)}).select(
+        *keys,
+        "_in",
+        F.last("_latest", True).over(before).alias("_epoch"),
+        F.last("_first", True).over(behind).alias("_next"),
+    )
+    changed = F.coalesce(branch != F.coalesce("_prev", "_in"), F.lit(False))
+    df = rows.join(hours, keys, "left").withColumn("branch_changed", changed).withColumn("_change", F.when(F.col("branch_changed"), ms))
+    later = Window.partitionBy(*keys).orderBy(*downwards).rowsBetween(first, one_before)
+    return df.withColumns(
+        {
+            "epoch_ms": F.coalesce(F.last("_change", True).over(inside.rowsBetween(first, 0)), "_epoch"),
+            "invalid_ms": F.coalesce(F.last("_change", True).over(later), "_next"),
+        }
+    ).drop("_bucket", "_prev", "_in", "_epoch", "_next", "_change")
 
 
 # fixed value: how long a fetched specification stays usable
