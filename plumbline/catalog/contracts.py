@@ -152,12 +152,14 @@ def lookup_spec_query(spark, sf):
 
 @query(
     "lookup_spec_prod",
-    "SELECT lpad(cast(event_id AS varchar), 12, '0') AS uid, false AS found FROM events",
+    "SELECT lpad(cast(event_id AS varchar), 12, '0') AS uid, event_type <> 'view' AS found, false AS found_in_prod FROM events",
 )
 def lookup_spec_prod(spark, sf):
+    """The same lookup in both environments."""
     events = rich_events(spark, sf)
-    found = lookup_spec(events, load_specs(same_spec(events, wire({})), ["event_name"]), env="prod")
-    return found.select("uid", F.col("plan").isNotNull().alias("found"))
+    specs = load_specs(same_spec(events.filter("event_name <> 'view'"), wire({})), ["event_name"])
+    found = lookup_spec(events, specs).withColumn("found", F.col("plan").isNotNull()).drop("metadata", "all_ids", "plan")
+    return lookup_spec(found, specs, env="prod").select("uid", "found", F.col("plan").isNotNull().alias("found_in_prod"))
 
 
 _KEYS_SQL = f"""WITH {EVENTS_SQL}, loaded AS (SELECT client_id, event_name FROM ev GROUP BY 1, 2 HAVING min(n) % 2 = 0),
@@ -434,14 +436,20 @@ def check_object(spark, sf):
     return _long(_validated(rich_events(spark, sf), wire(_OBJECT_SPEC)), "geo")
 
 
-@query(
-    "depth_limit",
-    f"WITH {EVENTS_SQL} SELECT uid, 'geo' AS property, NULL::VARCHAR AS child, NULL::VARCHAR AS failed, NULL::VARCHAR AS passed FROM ev",
+_DEPTH_SQL = " UNION ALL ".join(
+    [
+        "SELECT uid, 'geo' AS property, NULL::VARCHAR AS child, NULL::VARCHAR AS failed, NULL::VARCHAR AS passed FROM ev",
+        _geo_rows("zip", [(f"{_NO_GEO} OR {_ZIP} > 150000", ["v2"]), (f"{_NO_GEO} OR {_ZIP} > 120000", ["v1", "v3"])]),
+    ]
 )
+
+
+@query("depth_limit", f"WITH {EVENTS_SQL} {_DEPTH_SQL}")
 def depth_limit(spark, sf):
-    """Grandchildren are declared but never validated."""
-    spec = {"geo": prop(children={"in": prop(children={"x": prop(p={"never": ["e"]})})})}
-    return _long(_validated(rich_events(spark, sf), wire(spec)), "geo")
+    """Children are validated; grandchildren are declared, with values that never occur, but not validated."""
+    inner = prop(children={"x": prop(p={"never": ["e"]})})
+    zip_code = prop(minmax={"1000,150000": ["v2"], "1000,120000": ["v1", "v3"]})
+    return _long(_validated(rich_events(spark, sf), wire({"geo": prop(children={"in": inner, "zip": zip_code})})), "geo")
 
 
 _ITEMS_SPEC = {
