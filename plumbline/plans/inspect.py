@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.documents import add_schema_document, drop_levels, open_levels
+from plumbline.functions.planning import settle
 from plumbline.operators.batching import assign_batches, drop_null_events, route, sample_batches
 from plumbline.operators.dedup import dedup_events, schema_fingerprint, seen_by_codegen
 from plumbline.operators.envelope import App, encode_batches, event_body
@@ -44,7 +45,8 @@ def inspect_events(events: DataFrame, specs: SpecTable, app: App, seal=None, rat
 def outgoing_requests(inspected: DataFrame, rate: float = 1.0, size: int = 30, seconds: int = 30) -> DataFrame:
     """Requests of an inspection: validated events one by one, the rest in sampled batches."""
     columns = ["uid", "client_id", "ts", "body", "route"]
-    queue = drop_null_events(inspected.select(*columns))
+    # the queue is read several times: bodies are put together once
+    queue = settle(drop_null_events(inspected.select(*columns)))
     single = queue.filter("route = 'immediate'").withColumn("batch_id", F.concat(F.lit("event|"), "uid"))
     waiting = assign_batches(queue.filter("route = 'batch'"), size, seconds).drop("flush")
     sent = sample_batches(waiting, F.lit(rate))
@@ -77,7 +79,7 @@ def production_profile(
     events: DataFrame, app: App, rate: float = 1.0, size: int = 30, seconds: int = 30
 ) -> DataFrame:
     """Extraction, batching and sampling only; the stream id stays empty."""
-    documented = extract_document(events).withColumn("metadata", F.lit(None).cast("struct<branchId:string>"))
-    bodies = documented.withColumn("body", event_body(app, rate=f"{rate!r}D", stream_id="''"))
-    queue = assign_batches(bodies.select("uid", "client_id", "ts", "body"), size, seconds)
-    return encode_batches(sample_batches(queue, F.lit(rate)))
+    # sampled batches first, so that each event is opened once, and only if it is sent
+    queue = sample_batches(assign_batches(events, size, seconds).drop("flush"), F.lit(rate))
+    documented = extract_document(queue).withColumn("metadata", F.lit(None).cast("struct<branchId:string>"))
+    return encode_batches(documented.withColumn("body", event_body(app, rate=f"{rate!r}D", stream_id="''")))
