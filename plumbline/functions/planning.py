@@ -27,7 +27,7 @@ def unnest(df: DataFrame, keys: list[str], array: Column, name: str) -> DataFram
     return rows.filter(F.col(f"_{name}_pos").isNotNull()).drop(f"_{name}_pos")
 
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 16 << 20
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -48,6 +48,10 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(settled: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a settled table of few, narrow rows; leave any other to a shuffle join."""
-    return F.broadcast(settled) if settled.count() <= rows else settled
+def broadcast_if_small(settled: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a settled table whose values take few bytes; leave any other to a shuffle join."""
+    width = F.lit(0)
+    for name in settled.columns:
+        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16
+    size = settled.agg(F.sum(width).alias("n")).first()["n"] or 0
+    return F.broadcast(settled) if size <= most else settled

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.deep import declared_below
 from plumbline.functions.patterns import compiled_only, translate
-from plumbline.functions.planning import pin, settle, unnest
+from plumbline.functions.planning import BROADCAST_BYTES, pin, settle, unnest
 from plumbline.functions.values import each, keep, let, some
 
 # fixed values: constraint kinds in checking order, with their wire names
@@ -28,7 +28,6 @@ _WIRE = (
 # fixed value: a key JavaScript lists first
 _INDEX_KEY = "r'^(0|[1-9][0-9]{0,9})$'"
 
-BROADCAST_BYTES = 16 << 20
 LITERAL_PATTERNS = 64
 
 
@@ -266,7 +265,7 @@ def load_specs(
     Of several documents of one key the last by ``order`` counts, and of equal ones (or
     without an ``order``) the one that sorts last as text, so a lookup never multiplies rows.
 
-    The measuring job reads the document texts only.  A table over
+    The first measuring job reads the document texts only, a second one the compiled table.  A table over
     ``BROADCAST_BYTES`` is joined by shuffle; beyond ``LITERAL_PATTERNS``
     distinct patterns the patterns stay a column.
     """
@@ -277,8 +276,11 @@ def load_specs(
     small = size <= BROADCAST_BYTES
     patterns = []
     if small:
-        # small enough to compute once and keep
+        # small enough to compute once and keep; what is sent is the compiled form
         compiled = settle(compiled)
+        sent = compiled.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("n")).first()["n"] or 0
+        small = sent <= BROADCAST_BYTES
+    if small:
         found = unnest(compiled, [], F.col("patterns"), "p").distinct().limit(LITERAL_PATTERNS + 1).collect()
         patterns = sorted(r["p"] for r in found) if len(found) <= LITERAL_PATTERNS else []
     return SpecTable(compiled, keys, small, patterns)
