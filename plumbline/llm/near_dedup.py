@@ -9,16 +9,20 @@ similar pair agrees on more parts than either set leaves empty, so it shares the
 (hash of the shingles there) of a part that isn't empty.  Sets for which that count does not
 hold also sign their empty parts.
 
-Candidates come from equal signatures and are verified on their texts:
+Candidates come from equal signatures:
 
-* A signature of up to ``SMALL`` sets gives all its pairs.
+* A signature of up to ``SMALL`` sets gives all its pairs, a larger one the pairs of one of its
+  sets with the others.  Parity sketches rule most of them out: the bits in which two sketches
+  differ are at most as many as the sets' differences.
 * For larger ones, each set counts how many of its parts are in large groups.  If a similar pair
-  must agree on more parts than that, the pair has met in a small group.  Only the other sets
-  go on, into rounds over large groups: sets are compared with leaders of their group, groups
-  that became one component are done, and every set outside the main component leads in turn.
+  must agree on more parts than that, the pair has met in a small group.  The other sets are
+  open.  Those that signatures connect form a family, and a family that is not one component
+  yet is compared inside tasks, block of sets by block of sets, on the sketches.
 
-So no link is lost, and no group is expanded into all its pairs unless its sets really are
-unlike each other.  Texts with one set are one node.  Rows travel as (signature, node).
+Pairs that the sketches leave are verified on the texts.
+
+No link is lost, and no group is expanded into rows of pairs.  Texts with one set are one
+node.  Rows travel as (signature, node).
 """
 
 from __future__ import annotations
@@ -31,15 +35,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import connected_components
-from plumbline.llm.shared import ID, Slice, fresh, grams, mix, range_hash, settle, slices
+from plumbline.llm.shared import ID, Slice, few_tasks, fresh, grams, mix, range_hash, settle, slices
 
 SHINGLE = 5
 #: sets of a signature that are paired directly
 SMALL = 6
 #: sets of one signature and batch that are sent by themselves, not through the group
 CROWD = 64
-#: leaders of a large group in one round
-LEADERS = 8
+#: sets of a block, in expectation
+BLOCK = 256
 #: candidate sets whose ids are broadcast (16 bytes each); more are joined by a shuffle
 BROADCAST_NODES = 500_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -201,25 +205,29 @@ def _signature_rows(k: int, scheme: Scheme):
 
 
 def set_table(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """id, twin, n_shingles, node, check of every row; ``node`` names the set."""
+    """id, twin, n_shingles, node, check, sketch of every row; ``node`` names the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(2)):
-                size, key, check, _, _ = sizes_and_keys(part, k)
+                size, key, check, rows, values = sizes_and_keys(part, k)
                 columns = [batch.column(i).slice(part.first, part.rows) for i in range(2)]
                 columns += [pa.array(size.astype(np.int64)), pa.array(key.view(np.int64)), pa.array(check.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "twin", "n_shingles", "node", "check"])
+                columns.append(pa.array(parity_sketches(size, rows, values), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "twin", "n_shingles", "node", "check", "sketch"])
 
-    return _texts(docs).mapInArrow(run, "id long, twin long, n_shingles long, node long, check long")
+    return _texts(docs).mapInArrow(run, "id long, twin long, n_shingles long, node long, check long, sketch binary")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col(ID).cast("long").alias("id"), F.xxhash64("text").alias("twin"), "text")
 
 
-def candidate_pairs(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of small groups, and the rows (sig, node, margin) of large groups."""
+def grouped_rows(signed: DataFrame) -> DataFrame:
+    """sig, node, margin, others of all rows that share a signature.
+
+    ``others`` are the nodes before it in a small group, and null in a large one.
+    """
     group = Window.partitionBy("key")
     met = (
         signed.repartition("key")
@@ -229,21 +237,42 @@ def candidate_pairs(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     large = (F.col("n") > SMALL) | F.col("marked") | (F.col("sig") != 0)
     earlier = Window.partitionBy("key").orderBy("node").rowsBetween(-SMALL, -1)
-    rows = met.withColumn("large", large).withColumn("others", F.when(~F.col("large"), F.collect_list("node").over(earlier)))
-    pairs = rows.filter("NOT large").select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a <> b")
-    crowded = rows.filter("large").select(
-        F.when(F.col("sig") != 0, F.col("sig")).otherwise(F.col("key")).alias("sig"), "node", F.floor(F.col("info") / 2).cast("int").alias("margin")
+    return met.withColumn("before", F.collect_list("node").over(earlier)).select(
+        F.when(F.col("sig") != 0, F.col("sig")).otherwise(F.col("key")).alias("sig"),
+        "node",
+        F.floor(F.col("info") / 2).cast("int").alias("margin"),
+        F.when(~large, F.col("before")).alias("others"),
     )
-    return pairs, crowded
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, from the texts of one document of each node."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = settle(wanted.join(nodes, "node").select("node", "id", "twin"))
+def sketch_pairs(pairs: DataFrame, sketched: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches don't rule out."""
+    side = lambda c: sketched.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_a, size_b = (batch.column(c).to_numpy() for c in (2, 3))
+            fits = scheme.percent * np.maximum(size_a, size_b) <= 100 * np.minimum(size_a, size_b)
+            rows = np.flatnonzero(fits)
+            most = scheme.differences(size_a + size_b)
+            one, other = (batch.column(c).take(pa.array(rows)).to_pylist() for c in (4, 5))
+            fits[rows] = [int(least_differences([x], [y])[0, 0]) <= most[r] for r, x, y in zip(rows, one, other, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(fits))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text: one document's text for each wanted node."""
+    wanted = few_tasks(settle(wanted.distinct().join(nodes, "node").select("node", "id", "twin")))
     few = wanted.count() <= BROADCAST_NODES
     texts = _texts(docs).join(F.broadcast(wanted) if few else wanted, ["id", "twin"]).select("node", "text")
-    texts = settle(texts.dropDuplicates(["node"]))
+    return settle(texts.dropDuplicates(["node"]))
+
+
+def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar."""
     both = (
         pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -272,53 +301,151 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def _tested(pairs: DataFrame) -> DataFrame:
-    return settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+
+
+# ------------------------------------------------------------------- sketches
+
+
+def parity_sketches(size: np.ndarray, rows: np.ndarray, values: np.ndarray) -> list[bytes]:
+    """Sketch of every set: which bits an odd number of its shingles falls on.
+
+    A sketch has two to four bits for each shingle; halves of a longer one, laid over each
+    other, are the shorter one.
+    """
+    bits = 4 << np.frexp(np.maximum(size, 16))[1].astype(np.int64) - 1
+    start = np.concatenate([[0], np.cumsum(bits)])
+    at = start[rows] + (mix(values + _GOLD) % bits[rows].astype(np.uint64)).astype(np.int64)
+    odd = np.packbits((np.bincount(at, minlength=start[-1]) & 1).astype(np.uint8))
+    return [odd[a // 8 : b // 8].tobytes() for a, b in zip(start[:-1], start[1:], strict=True)]
+
+
+def least_differences(sketches: list[bytes], others: list[bytes]) -> np.ndarray:
+    """For each pair, bits in which the sketches differ, at the length of the shorter one."""
+    out = np.zeros((len(sketches), len(others)), np.int64)
+    lengths = [np.array([len(s) for s in of]) for of in (sketches, others)]
+    packed: list[dict[int, np.ndarray]] = []
+    for of, length in zip((sketches, others), lengths, strict=True):
+        by_length = {}
+        for n in np.unique(length):
+            raw = b"".join(s for s in of if len(s) == n)
+            by_length[int(n)] = np.frombuffer(raw, np.uint64).reshape(-1, n // 8)
+        packed.append(by_length)
+    for n, a in packed[0].items():
+        for m, b in packed[1].items():
+            x, y = _fold(a, min(n, m) // 8), _fold(b, min(n, m) // 8)
+            rows = np.flatnonzero(lengths[0] == n)
+            columns = np.flatnonzero(lengths[1] == m)
+            for i, r in enumerate(rows):
+                out[r, columns] = np.bitwise_count(y ^ x[i]).sum(axis=1)
+    return out
+
+
+def _fold(sketch: np.ndarray, words: int) -> np.ndarray:
+    while sketch.shape[1] > words:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
+
+
+def _block_pairs(scheme: Scheme, every: bool):
+    """Pairs of two blocks (or of one with itself) that the sketches don't rule out.
+
+    Only sets of different components count.  Unless ``every``, of each two components the
+    pair with the fewest differing bits is enough.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"].to_numpy()
+        first = np.flatnonzero(block == block.min())
+        second = np.flatnonzero(block == block.max())
+        size, node, label = (table[c].to_numpy() for c in ("size", "node", "label"))
+        sketch = table["sketch"].to_pylist()
+        total = size[first][:, None] + size[second][None, :]
+        fits = label[first][:, None] != label[second][None, :]
+        fits &= scheme.percent * np.maximum(size[first][:, None], size[second][None, :]) <= 100 * np.minimum(size[first][:, None], size[second][None, :])
+        if block.min() == block.max():
+            fits &= node[first][:, None] < node[second][None, :]
+        pairs = np.zeros((0, 2), np.int64)
+        if fits.any():
+            apart = least_differences([sketch[i] for i in first], [sketch[i] for i in second])
+            fits &= apart <= scheme.differences(total)
+            i, j = np.nonzero(fits)
+            i_label, j_label, gap = label[first[i]], label[second[j]], apart[i, j]
+            if not every and len(i):
+                order = np.lexsort((gap, np.maximum(i_label, j_label), np.minimum(i_label, j_label)))
+                lo, hi = np.minimum(i_label, j_label)[order], np.maximum(i_label, j_label)[order]
+                order = order[np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))]
+                i, j = i[order], j[order]
+            pairs = np.stack([node[first[i]], node[second[j]]], axis=1)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return run
+
+
+def family_pairs(sketched: DataFrame, families: DataFrame, labels: DataFrame, scheme: Scheme, every: bool) -> DataFrame:
+    """Candidate pairs (a, b) of different components within families that have several.
+
+    Blocks are drawn by a hash of the node; each set goes to every pair of blocks that holds
+    its own, so a task holds two blocks whatever the size of the family.
+    """
+    rows = families.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = rows.groupBy("family").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = (
+        rows.join(mixed.select("family", blocks.alias("blocks")), "family")
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .join(sketched, "node")
+    )
+    keys = [F.col("family"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    return placed.select(*keys, "block", "node", "label", "size", "sketch").groupBy("family", "low", "high").applyInArrow(_block_pairs(scheme, every), "a long, b long")
 
 
 def link_sets(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """node, label: components of all nodes that have a link to another."""
+    """node, label: components of all nodes that have a link to another.
+
+    ``nodes`` has node, id, twin, size and sketch.
+    """
     scheme = Scheme(percent)
+    sketched = nodes.select("node", "size", "sketch")
     signed = docs.select("text").mapInArrow(_signature_rows(k, scheme), "key long, node long, sig long, info int")
-    pairs, crowded = candidate_pairs(signed)
-    # one pass over the signatures serves both
-    kept = settle(
-        pairs.groupBy("a", "b").agg(F.lit(1).alias("margin")).select(F.lit(None).cast("long").alias("sig"), "a", "b", "margin")
-        .unionByName(crowded.select("sig", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "margin"))
-    )
-    links = verify(_tested(kept.filter("sig IS NULL").select("a", "b")), nodes, docs, k, percent)
-    labels = settle(connected_components(links))
-    crowded = kept.filter("sig IS NOT NULL").select("sig", F.col("a").alias("node"), "margin").distinct()
+    grouped = settle(grouped_rows(signed))
+    pairs = _ordered(grouped.filter("size(others) > 0").select(F.explode("others").alias("a"), F.col("node").alias("b")))
+    crowded = grouped.filter("others IS NULL").select("sig", "node", "margin").distinct()
     # a set whose similar partners must also meet it in a small group has met them
     met_all = crowded.groupBy("node").agg(F.count("*").alias("crowds"), F.min("margin").alias("margin")).filter("margin > crowds")
-    open_ = settle(crowded.join(met_all.select("node"), "node", "left_anti").select("sig", "node"))
-    first = True
-    led = None
-    while True:
-        rows = open_.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("node", "label")).alias("lead"))
-        mixed = mixed.filter("lo <> hi").select("sig", F.col("lead.node").alias("head"), F.col("lead.label").alias("main"))
-        rows = rows.join(mixed, "sig")
-        if first:
-            leaders = mixed.select("sig", F.col("head").alias("leader"), F.col("main").alias("leader_label"))
-        else:
-            # of the sets outside the main component, those that have not led yet
-            outside = rows.filter("label <> main")
-            outside = outside.join(led, [outside["sig"] == led["led_sig"], outside["node"] == led["led_node"]], "left_anti")
-            by_hash = Window.partitionBy("sig").orderBy(F.xxhash64("node"), "node")
-            leaders = outside.withColumn("turn", F.row_number().over(by_hash)).filter(F.col("turn") <= LEADERS)
-            leaders = leaders.select("sig", F.col("node").alias("leader"), F.col("label").alias("leader_label"))
-        leaders = settle(leaders)
-        if leaders.isEmpty():
-            return labels
-        asked = rows.join(leaders, "sig").filter("label <> leader_label AND node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        found = verify(_tested(asked), nodes, docs, k, percent)
-        links = links.unionByName(found)
-        labels = settle(connected_components(links))
-        now = leaders.select(F.col("sig").alias("led_sig"), F.col("leader").alias("led_node"))
-        led = settle(now if led is None else led.unionByName(now))
-        open_ = settle(rows.select("sig", "node"))
-        first = False
+    open_ = crowded.join(met_all.select("node"), "node", "left_anti").select("sig", "node")
+    heads = open_.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).getField("node").alias("head"))
+    stars = few_tasks(settle(_ordered(open_.join(heads, "sig").select(F.col("head").alias("a"), F.col("node").alias("b")))))
+
+    def similar(candidates: DataFrame) -> DataFrame:
+        candidates = few_tasks(settle(candidates))
+        ends = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
+        return few_tasks(verify(candidates, texts_of(ends, nodes, docs), k, percent))
+
+    links = similar(sketch_pairs(pairs.unionByName(stars).distinct(), sketched, scheme))
+    labels = few_tasks(settle(connected_components(links)))
+    if stars.isEmpty():
+        return labels
+    families = few_tasks(settle(connected_components(stars).withColumnRenamed("label", "family")))
+    for every in (False, True):
+        links = similar(_ordered(family_pairs(sketched, families, labels, scheme, every)))
+        if not links.isEmpty():
+            labels = few_tasks(settle(_merged(labels, links)))
+    return labels
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links, which are few: components of the components they join."""
+    name = lambda c: F.coalesce(F.col(f"label_{c}"), F.col(c)).alias(c)
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(name("a"), name("b"))
+    joined = settle(connected_components(between)).select(F.col("node").alias("label"), F.col("label").alias("into"))
+    known = labels.join(joined, "label", "left").select("node", F.coalesce("into", "label").alias("label"))
+    fresh_nodes = joined.join(labels, joined["label"] == labels["node"], "left_anti").select(F.col("label").alias("node"), F.col("into").alias("label"))
+    return known.unionByName(fresh_nodes)
 
 
 def labelled_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -326,12 +453,19 @@ def labelled_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Dat
     named = docs.select(ID, "text").filter(F.col(ID).isNotNull())
     table = settle(set_table(docs.select(ID, "text"), k))
     present = table.filter("id IS NOT NULL AND n_shingles > 0")
-    nodes = present.groupBy("node").agg(F.min(F.struct("id", "twin")).alias("least"), F.min("check").alias("lo"), F.max("check").alias("hi"))
-    nodes = settle(nodes.select("node", F.col("least.id").alias("id"), F.col("least.twin").alias("twin"), (F.col("lo") != F.col("hi")).alias("clash")))
+    nodes = present.groupBy("node").agg(
+        F.min(F.struct("id", "twin")).alias("least"),
+        F.min("check").alias("lo"),
+        F.max("check").alias("hi"),
+        F.first("n_shingles").alias("size"),
+        F.first("sketch").alias("sketch"),
+    )
+    clash = F.col("lo") != F.col("hi")
+    nodes = settle(nodes.select("node", F.col("least.id").alias("id"), F.col("least.twin").alias("twin"), "size", "sketch", clash.alias("clash")))
     if not nodes.filter("clash").isEmpty():
         raise ValueError("two sets share a 64-bit name; choose another hash base in shared.py")
     labels = link_sets(named, nodes.drop("clash"), k, percent)
-    of_node = nodes.drop("clash").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    of_node = nodes.select("node", "id", "twin").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     return table, of_node
 
 

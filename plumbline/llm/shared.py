@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.session import ship
+
 #: bytes of text that are hashed at once inside a task
 SLICE_BYTES = 1 << 20
 #: ids may be missing: such rows are kept, but never name a group
@@ -31,7 +33,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }.items():
         spark.conf.set(name, value)
-    return spark
+    return ship(spark)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +71,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def few_tasks(settled: DataFrame, rows: int = 250_000) -> DataFrame:
+    """A settled table of narrow rows, read in no more tasks than its size needs.
+
+    A stage writes a shuffle file for each of its tasks, so many tasks of a few rows cost more
+    than their rows.
+    """
+    return settled.coalesce(max(1, settled.count() // rows))
+
+
 # ------------------------------------------------------------------ hashing
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
