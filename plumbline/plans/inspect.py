@@ -1,7 +1,7 @@
 """What a user calls: inspect events, inspect schemas, extract only, production profile.
 
-Events are accepted ones: ``sources.events.split_rejects`` takes out those
-whose property text is not one JSON object.
+Events are accepted ones: ``inspect_raw`` and ``sources.events.split_rejects`` take
+out those whose property text is not one JSON object.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from plumbline.operators.extract import extract_document
 from plumbline.operators.identity import assign_stream_id
 from plumbline.operators.lookup import lookup_spec
 from plumbline.operators.validate import add_results
+from plumbline.sources.events import split_rejects
 from plumbline.sources.specs import SpecTable
 
 
@@ -42,6 +43,12 @@ def inspect_events(events: DataFrame, specs: SpecTable, app: App, seal=None, rat
     return checked.withColumn("body", event_body(app, rate=f"{rate!r}D"))
 
 
+def inspect_raw(events: DataFrame, specs: SpecTable, app: App, seal=None, rate: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Inspections of the accepted events, and the rejects whose property text is not one JSON object."""
+    accepted, rejects = split_rejects(events)
+    return inspect_events(accepted, specs, app, seal, rate), rejects
+
+
 def outgoing_requests(inspected: DataFrame, rate: float = 1.0, size: int = 30, seconds: int = 30) -> DataFrame:
     """Requests of an inspection: validated events one by one, the rest in sampled batches."""
     columns = ["uid", "client_id", "ts", "body", "route"]

@@ -13,7 +13,7 @@ from plumbline.operators.batching import assign_batches, count_batches, requeue_
 from plumbline.operators.dedup import dedup_events
 from plumbline.operators.envelope import App
 from plumbline.operators.lookup import lookup_spec, spec_asof
-from plumbline.plans.inspect import production_profile
+from plumbline.plans.inspect import inspect_raw, production_profile
 from plumbline.sources.specs import explode_constraints, load_specs, read_specs
 
 START = 1704067200000
@@ -67,6 +67,15 @@ def test_production_profile_sends_clientless_events_and_the_rate(spark):
     assert len(bodies) == 20 and {b["samplingRate"] for b in bodies} == {0.999}
 
 
+def test_rejects_go_to_their_own_table(spark):
+    rows = [("u1", "c", START), ("u2", "c", START + 1), ("u3", "c", START + 2)]
+    props = F.when(F.col("uid") == "u2", '{"a":1} oops').when(F.col("uid") == "u3", "[").otherwise('{"a":1}')
+    events = queue(spark, rows).withColumns({"props": props, "event_name": F.lit("x"), "source": F.lit("manual"), "event_id": F.lit(None).cast("string"), "event_hash": F.lit(None).cast("string")})
+    specs = load_specs(spark.createDataFrame([], "event_name string, spec_json string"), ["event_name"])
+    inspected, rejects = inspect_raw(events, specs, App())
+    assert [r.uid for r in inspected.collect()] == ["u1"] and {r.uid for r in rejects.collect()} == {"u2", "u3"}
+
+
 def test_several_documents_of_one_key_are_one_lookup(spark):
     documents = [("click", wire({}, schema_id=s), at) for s, at in (("old", 1), ("zzz", 2), ("new", 3))]
     specs = spark.createDataFrame(documents, "event_name string, spec_json string, at int")
