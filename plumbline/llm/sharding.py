@@ -24,8 +24,8 @@ from plumbline.llm.shared import ID, settle
 PROBES = 32
 #: bytes of one interval, of which a shard has one or more; an interval is one task's sort
 INTERVAL_BYTES = 128 << 20
-#: a shard may miss its share by this part of an interval, or by the bytes of one key if more
-TOLERANCE = 0.01
+#: a shard may miss its share by this part of an interval, or by the bytes of one row if more
+TOLERANCE = 0.001
 
 
 class Line:
@@ -62,35 +62,37 @@ def _count(keys: list[tuple[int, int]]):
 def find_splitters(rows: DataFrame, line: Line, total: int, parts: int, tolerance: float) -> list[tuple[int, int]]:
     """Keys that cut ``rows`` (h, i, size) into ``parts`` intervals of near equal bytes."""
     wanted = [total * p // parts for p in range(1, parts)]
-    # (lowest key with at most so many bytes below, those bytes, highest key, its bytes)
-    span = [(0, 0, line.end, total) for _ in wanted]
+    # highest known place with at most the wanted bytes below it, and lowest one with more: place, bytes and rows below
+    ends = (0, 0, 0), (line.end, total, None)
+    span = [ends for _ in wanted]
     done: list[int | None] = [None] * len(wanted)
     slack = max(1, int(tolerance * total / parts))
     while None in done:
         keys = sorted(
-            {lo + (hi - lo) * j // (PROBES + 1) for (lo, _, hi, _), d in zip(span, done, strict=True) if d is None for j in range(1, PROBES + 1)}
+            {lo + (hi - lo) * j // (PROBES + 1) for ((lo, _, _), (hi, _, _)), d in zip(span, done, strict=True) if d is None for j in range(1, PROBES + 1)}
         )
-        counted = rows.mapInPandas(_count([line.key(k) for k in keys]), "place long, bytes long, n long").groupBy("place").agg(F.sum("bytes").alias("bytes"))
-        below = np.zeros(len(keys) + 1, np.int64)
+        counted = rows.mapInPandas(_count([line.key(k) for k in keys]), "place long, bytes long, n long").groupBy("place").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
+        below = np.zeros((len(keys) + 1, 2), np.int64)
         for r in counted.collect():  # at most one row per probe
-            below[r.place] += r.bytes
-        below = np.cumsum(below)
+            below[r.place] += (r.bytes, r.n)
+        below = np.cumsum(below, axis=0)
         for s, goal in enumerate(wanted):
             if done[s] is not None:
                 continue
-            lo, lo_bytes, hi, hi_bytes = span[s]
+            low, high = span[s]
             for j, key in enumerate(keys):
-                if lo < key < hi:
-                    if below[j] <= goal:
-                        lo, lo_bytes = key, int(below[j])
+                if low[0] < key < high[0]:
+                    found = (key, int(below[j, 0]), int(below[j, 1]))
+                    if found[1] <= goal:
+                        low = found
                     else:
-                        hi, hi_bytes = key, int(below[j])
+                        high = found
                         break
-            span[s] = (lo, lo_bytes, hi, hi_bytes)
-            if goal - lo_bytes <= slack:
-                done[s] = lo
-            elif hi_bytes - goal <= slack or hi - lo <= 1:
-                done[s] = hi if hi_bytes - goal < goal - lo_bytes else lo
+            span[s] = low, high
+            short, over = goal - low[1], high[1] - goal
+            one_row = high[2] is not None and high[2] - low[2] <= 1
+            if min(short, over) <= slack or one_row or high[0] - low[0] <= 1:
+                done[s] = low[0] if short <= over else high[0]
     return [line.key(k) for k in sorted(done)]
 
 
