@@ -203,6 +203,20 @@ def allowed_values(key: str) -> str:
     return let(f"try_parse_json({key})", strings)
 
 
+def _gated(merged: DataFrame) -> DataFrame:
+    """Add ``_regexes``, the distinct patterns of a document, and ``_gated``, their usable forms or NULL."""
+    regexes = each("merged", lambda p, _: let(keep(f"{p}.checks", lambda c, _: f"{c}.kind = 'regex'"), lambda c: f"{c}.key"))
+    # the gate is a Python helper: it runs before, and apart from, the array expressions
+    df = merged.withColumn("_regexes", F.expr(f"array_distinct(flatten({regexes}))"))
+    return df.withColumn("_java", translate(F.col("_regexes"))).withColumn("_gated", F.expr(compiled_only("_java")))
+
+
+def skipped_patterns(df: DataFrame, keys: list[str], text: str = "spec_json") -> DataFrame:
+    """The keys' patterns that validation skips, as unsafe or as ones that do not compile."""
+    skipped = F.expr("filter(_regexes, (r, i) -> get(_gated, i) IS NULL)")
+    return unnest(_gated(merge_constraints(read_specs(df, text))), keys, skipped, "pattern")
+
+
 def compile_specs(specs: DataFrame, keys: list[str], keep_is_list: bool = False) -> DataFrame:
     """One row per lookup key, ready for the validator.
 
@@ -210,11 +224,7 @@ def compile_specs(specs: DataFrame, keys: list[str], keep_is_list: bool = False)
     map from top-level property name to its checks and its children's checks.
     ``plan`` is NULL for a known-absent specification.
     """
-    df = merge_constraints(specs, keep_is_list)
-    regexes = each("merged", lambda p, _: let(keep(f"{p}.checks", lambda c, _: f"{c}.kind = 'regex'"), lambda c: f"{c}.key"))
-    # the gate is a Python helper: it runs before, and apart from, the array expressions
-    df = df.withColumn("_regexes", F.expr(f"array_distinct(flatten({regexes}))"))
-    df = df.withColumn("_java", translate(F.col("_regexes"))).withColumn("_gated", F.expr(compiled_only("_java")))
+    df = _gated(merge_constraints(specs, keep_is_list))
 
     def ready(c: str, _: str) -> str:
         low, high = _bound(f"{c}.key", 0, "-Infinity"), _bound(f"{c}.key", 1, "Infinity")

@@ -14,7 +14,7 @@ from plumbline.operators.dedup import dedup_events
 from plumbline.operators.envelope import App
 from plumbline.operators.lookup import lookup_spec, spec_asof
 from plumbline.plans.inspect import inspect_raw, production_profile
-from plumbline.sources.specs import explode_constraints, load_specs, read_specs
+from plumbline.sources.specs import explode_constraints, load_specs, read_specs, skipped_patterns
 
 START = 1704067200000
 
@@ -84,6 +84,12 @@ def test_several_documents_of_one_key_are_one_lookup(spark):
     assert sorted(map(tuple, found), key=str) == [("u1", "new"), ("u2", None)]
 
 
+def test_skipped_patterns_are_listed(spark):
+    document = wire({"a": prop(rx={"^[a-z]+$": ["e"], "(x+)+y": ["v1"]}), "b": prop(rx={"[": ["e"]})})
+    specs = spark.createDataFrame([("click", document), ("view", wire({}))], "event_name string, spec_json string")
+    assert {tuple(r) for r in skipped_patterns(specs, ["event_name"]).collect()} == {("click", "(x+)+y"), ("click", "[")}
+
+
 def test_fetches_of_one_millisecond_are_ordered(spark):
     snapshots = spark.createDataFrame([("c", START, 2, None, "second"), ("c", START, 1, None, "first")], "client_id string, fetched_ms long, fetch_id long, invalid_ms long, spec string")
     found = spec_asof(queue(spark, [("u", "c", START + 5)]), snapshots.repartition(2), ["client_id"]).collect()
