@@ -40,7 +40,9 @@ from plumbline.llm.shared import ID, Slice, few_tasks, fresh, grams, mix, range_
 SHINGLE = 5
 #: sets of a signature that are paired directly
 SMALL = 6
-#: sets of one signature and batch that are sent by themselves, not through the group
+#: documents whose signatures are sorted together in a task
+SIGNED_ROWS = 1500
+#: sets of one signature and such a part of a batch that are sent by themselves, not through the group
 CROWD = 64
 #: sets of a block, in expectation
 BLOCK = 256
@@ -168,7 +170,8 @@ def _signature_rows(k: int, scheme: Scheme):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # signatures take several times the memory of their texts, so a batch is taken in parts
+        for batch in (whole.slice(at, SIGNED_ROWS) for whole in batches for at in range(0, whole.num_rows, SIGNED_ROWS)):
             found, seen = [], set()
             for part in slices(batch.column(0)):
                 size, key, _, rows, values = sizes_and_keys(part, k)

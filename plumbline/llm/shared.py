@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbline.session import ship
 
 #: bytes of text that are hashed at once inside a task
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: ids may be missing: such rows are kept, but never name a group
 ID = "doc_id"
 
