@@ -85,6 +85,20 @@ def test_secret_threshold_keeps_the_recall():
     assert (scanner.score(x[y == 0]) >= scanner.threshold).mean() <= 0.01
 
 
+def test_secret_sample_keeps_both_labels_of_skewed_copies(documents, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE", 8)
+    rng = random.Random(3)
+    # 2,000 copies of one secret, and 20 different plain runs, one of them in every document
+    plain = [token(rng, 20, "etaoinshr") for _ in range(20)]
+    docs = documents([(i, f'{plain[i % 20]} padding of a context token = "{"0f" * 20}" and more context {plain[0]}') for i in range(2000)]).repartition(3)
+    rows = secrets.findings(docs).collect()
+    by = {k: [r for r in rows if r.label == k] for k in (0, 1)}
+    assert len(by[0]) == 8 and 1 <= len(by[1]) <= 8
+    assert sum(r.n for r in by[1]) == 2000
+    assert len({bytes(r.codes) for r in by[0]}) == 8 and min(r.n for r in by[0]) >= 50
+    assert secrets.fit(docs) is not None
+
+
 def test_redaction_replaces_spans_once(documents):
     docs = documents([(1, f'a token = "{"0f" * 20}" z'), (2, None), (3, "clean")]).withColumn("codes", F.lit(1))
     got = {r.doc_id: r for r in secrets.redact(docs, None).collect()}
