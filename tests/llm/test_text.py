@@ -99,6 +99,47 @@ def test_secret_threshold_keeps_the_recall_of_overlapping_classes():
     assert abs(scanner.precision - y[scanner.score(x) >= scanner.threshold].mean()) < 0.1
 
 
+def short_and_long_rows():
+    rng, of = random.Random(6), "ABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    rows = []
+    for i in range(600):
+        words = " ".join(token(rng, rng.randrange(3, 12), "etaoinshr") for _ in range(30))
+        rows.append((i, f'{words} password: {token(rng, rng.choice([8, 9, 12, 24]), of)} {words} /{token(rng, 9, "etaoinshr")}/{token(rng, 30, "etaoinshr")}/x {words}'))
+    return rows
+
+
+def test_secret_behind_a_long_head_and_short_secrets(documents):
+    scanner = secrets.fit(documents(short_and_long_rows()))
+    rng, of = random.Random(7), "ABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    head = "/".join(token(rng, 9, "etaoinshr") for _ in range(20))
+    long_ = [(i, f"see {head}/{token(rng, 24, of)}/{head} there") for i in range(50)]
+    short = [(100 + i, f"hit pwd: {token(rng, 8, of)} there") for i in range(50)]
+    plain = [(200 + i, f"see {head[i:]} there isthe toaster") for i in range(50)]
+    got = {r.doc_id: r for r in secrets.scan(documents(long_ + short + plain), scanner).collect()}
+    assert sum(f"learned:4:{len(t) - 6}" == got[i].spans for i, t in long_) >= 45
+    assert sum("learned:9:17" == got[i].spans for i, _ in short) >= 45
+    assert sum(got[i].n_learned for i, _ in plain) <= 5
+
+
+def test_secret_windows_read_every_candidate_whole():
+    rng = random.Random(8)
+    texts = ["", "x" * 5, "y" * 6, "é a_long/run=" + token(rng, 500) + " b", "token=a.b.c.d " + "z" * 57, "q" * 90_000 + " end\x00 ending"]
+    spans, values = zip(*map(secrets.marked_spans, texts), strict=True)
+    of = secrets.windows(texts, spans, values)
+    assert [texts[i][a:b] for i, a, b in zip(of.text, of.start, of.end)] == ["y" * 6, "a_long/run=", texts[3][13:513], "a.b.c.d", "z" * 57, "q" * 90_000, "ending"]
+    codes = of.codes(np.arange(len(of.owner)))
+    for k in range(len(of.start)):
+        rows = np.flatnonzero(of.owner == k)
+        read = np.unique(np.concatenate([np.arange(a, b) for a, b in zip(of.left[rows], of.right[rows])]))
+        assert len(read) == of.end[k] - of.start[k]
+        text, a = texts[of.text[k]], of.start[k]
+        assert bytes(codes[rows[0]]).replace(b"\0", b"") == (text[max(0, a - 16) : a] + text[a : min(a + 40, of.end[k])] + text[min(a + 40, of.end[k]) :][:16]).encode("latin-1").replace(b"\0", b"")
+    y = np.arange(200) % 2
+    x = np.random.default_rng(3).integers(48, 123, (200, secrets.LENGTH)).astype(np.uint8)
+    scanner = secrets.train(x, y)
+    assert np.allclose(scanner.score_windows(of), scanner.score(codes), atol=1e-5)
+
+
 def test_secret_sample_keeps_both_labels_of_skewed_copies(documents, monkeypatch):
     monkeypatch.setattr(secrets, "SAMPLE", 8)
     rng = random.Random(3)
