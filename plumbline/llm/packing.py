@@ -35,13 +35,16 @@ _COMMON = re.compile("[^\t-\r\x20-\x7e\xa1-ɏ]")
 
 @lru_cache(maxsize=2)
 def tokenizer(json_path: str | None):
-    """The tokenizer of ``byte_bpe_50k.json``; special strings in a text are ordinary text."""
+    """The tokenizer of ``byte_bpe_50k.json`` with its own settings: an added token in a text has one id."""
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(json_path or public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(json_path or public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@lru_cache(maxsize=2)
+def added_tokens(json_path: str | None) -> tuple[str, ...]:
+    return tuple(t.content for t in tokenizer(json_path).get_added_tokens_decoder().values())
 
 
 @lru_cache(maxsize=2)
@@ -58,12 +61,13 @@ def fast_tokenizer(rank_path: str | None):
 
 
 def token_ids(text: str, json_path: str | None = None, rank_path: str | None = None) -> list[int]:
-    """Ids of a text without special tokens.
+    """Ids of a text; no special tokens are added to those it has.
 
     Both libraries give the same ids; they may know different versions of the character
-    classes, so texts beyond Latin letters go to the one that the contract names.
+    classes, so texts beyond Latin letters go to the one that the contract names, and so do
+    texts with an added token, which the other one doesn't know.
     """
-    if _COMMON.search(text):
+    if _COMMON.search(text) or any(t in text for t in added_tokens(json_path)):
         return tokenizer(json_path).encode(text, add_special_tokens=False).ids
     return fast_tokenizer(rank_path).encode_ordinary(text)
 

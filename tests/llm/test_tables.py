@@ -149,6 +149,16 @@ def test_token_ids_equal_the_tokenizer():
         assert packing.token_ids(text) == packing.tokenizer(None).encode(text, add_special_tokens=False).ids
 
 
+def test_token_ids_of_texts_with_added_tokens():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.token_ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+    for text in [t or "" for t in TEXTS] + ["<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|EndOfText|>", "日本<|endoftext|>語"]:
+        assert packing.token_ids(text) == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_round_trip(documents):
     rng = random.Random(10)
     rows = list(enumerate(TEXTS)) + [(100 + i, " ".join(rng.choice(["the", "of", "zyx", "qqq"]) for _ in range(rng.choice([1, 7, 300, 1023, 2500, rng.randrange(900)])))) for i in range(60)]
