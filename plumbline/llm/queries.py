@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.llm import divergence, language_id, secrets
 from plumbline.llm.exact_dedup import LOWER, UPPER, exact_groups
+from plumbline.llm.line_dedup import line_dedup
 from plumbline.llm.near_dedup import near_components
 from plumbline.llm.packing import pack
 from plumbline.llm.sampled_pieces import sample_encode
 from plumbline.llm.shared import read
 from plumbline.llm.sharding import shard_rows
+from plumbline.llm.spelling import spelling_variants
 from plumbline.llm.substring_dedup import substring_dedup
 from plumbline.llm.url_filter import RULES, filter_urls
+from plumbline.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +113,29 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sampled_pieces")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_encode(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_line_dedup",
+    f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+     l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d),
+     k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM l),
+     g AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN g USING (key) GROUP BY doc_id
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(read(spark, sf_dir, "documents")).drop("keep")
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
