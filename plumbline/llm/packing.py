@@ -26,8 +26,8 @@ CAPACITY = 1024
 END = 2
 #: rows of one length that are numbered in one task
 RANK_ROWS = 100_000
-#: texts of other characters are left to the tokenizer itself
-_COMMON = re.compile("[^\t-\r\x20-\x7e\xa1-ɏ]")
+#: texts of other characters, or with long white space, are left to the tokenizer itself
+_UNCOMMON = re.compile("[^\t-\r\x20-\x7e\xa1-ɏ]|[\t-\r\x20]{2000}")
 
 
 # --------------------------------------------------------------------- tokens
@@ -65,9 +65,10 @@ def token_ids(text: str, json_path: str | None = None, rank_path: str | None = N
 
     Both libraries give the same ids; they may know different versions of the character
     classes, so texts beyond Latin letters go to the one that the contract names, and so do
-    texts with an added token, which the other one doesn't know.
+    texts with an added token, which the other one doesn't know, and texts with long white
+    space, on which the other one's pattern overflows its stack.
     """
-    if _COMMON.search(text) or any(t in text for t in added_tokens(json_path)):
+    if _UNCOMMON.search(text) or any(t in text for t in added_tokens(json_path)):
         return tokenizer(json_path).encode(text, add_special_tokens=False).ids
     return fast_tokenizer(rank_path).encode_ordinary(text)
 
