@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.shared import ID, Slice, bytes_hash, grams, settle, slices
+from plumbline.llm.shared import ID, Slice, grams, settle, slices
 
 #: fixed values of the contract
 SYMBOLS = "#*$%&|<>"
@@ -100,12 +100,13 @@ def _repeated_lines(part: Slice) -> np.ndarray:
     words_before = np.searchsorted(part.starts, np.concatenate([starts, ends]))
     wordy = words_before[: len(starts)] < words_before[len(starts) :]
     starts, ends, row = starts[wordy], ends[wordy], row[wordy]
-    if not len(starts):
-        return np.zeros(part.rows, np.int64)
-    order = np.lexsort((bytes_hash(part.data, starts, ends), row))
-    h = bytes_hash(part.data, starts, ends)[order]
-    same = np.append(False, (h[1:] == h[:-1]) & (row[order][1:] == row[order][:-1]))
-    return np.bincount(row[order][same], minlength=part.rows)
+    out = np.zeros(part.rows, np.int64)
+    raw = part.data.tobytes()
+    of_row = np.searchsorted(row, np.arange(part.rows + 1))
+    for r in np.flatnonzero(np.diff(of_row) > 1):
+        lines = [raw[a:b] for a, b in zip(starts[of_row[r] : of_row[r + 1]].tolist(), ends[of_row[r] : of_row[r + 1]].tolist(), strict=True)]
+        out[r] = len(lines) - len(set(lines))
+    return out
 
 
 def _repeated_words(part: Slice, hashes: np.ndarray) -> np.ndarray:

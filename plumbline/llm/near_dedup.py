@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import connected_components
-from plumbline.llm.shared import ID, Slice, few_tasks, fresh, grams, mix, range_hash, settle, slices
+from plumbline.llm.shared import ID, Slice, few_tasks, fresh, grams, mix, sequence_hash, settle, slices
 
 SHINGLE = 5
 #: sets of a signature that are paired directly
@@ -48,7 +48,10 @@ CROWD = 64
 BLOCK = 256
 #: candidate sets whose ids are broadcast (16 bytes each); more are joined by a shuffle
 BROADCAST_NODES = 500_000
+#: bits of a set's name that are not used; shorter names clash more often
+UNUSED_BITS = np.uint64(0)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+_NONE = np.zeros(0, np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -56,16 +59,16 @@ _LOWER[65:91] += 32
 # ----------------------------------------------------------------------- sets
 
 
-def shingles(part: Slice, k: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(part: Slice, k: int, key: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct shingles of a slice, sorted by row and hash."""
     part.data = _LOWER[part.data]
-    hashes = part.hashes()
+    hashes = part.hashes(key)
     gram, inside = grams(hashes, part.row, k)
     rows, values = part.row[: len(gram)][inside], gram[inside]
     count = np.diff(part.words)
     short = np.flatnonzero((count > 0) & (count < k))
     if len(short):
-        whole = mix(range_hash(hashes, part.words[short], part.words[short + 1]) ^ _GOLD)
+        whole = mix(sequence_hash(hashes, part.words[short], part.words[short + 1], key) ^ _GOLD)
         rows, values = np.concatenate([rows, short]), np.concatenate([values, whole])
     order = np.lexsort((values, rows))
     rows, values = rows[order], values[order]
@@ -73,16 +76,29 @@ def shingles(part: Slice, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[new], values[new]
 
 
-def sizes_and_keys(part: Slice, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Set sizes, two 64-bit hashes of each set, and the sets themselves."""
+def sizes_and_keys(part: Slice, k: int, clashing: np.ndarray = _NONE, checked: bool = True) -> tuple[np.ndarray, ...]:
+    """Set sizes, name and check of each set (two unrelated 64-bit hashes), and the sets themselves.
+
+    A set whose name is one of the ``clashing`` ones, which several sets have, takes a name made
+    of both.  Without ``checked`` the check is left out where no name clashes.
+    """
     rows, values = shingles(part, k)
     size = np.bincount(rows, minlength=part.rows)
-    key, check = np.zeros(part.rows, np.uint64), np.zeros(part.rows, np.uint64)
+    key = _sums(part, rows, mix(values ^ _GOLD)) >> UNUSED_BITS
+    check = _sums(part, *shingles(part, k, 1)) if checked or len(clashing) else np.zeros_like(key)
+    again = np.isin(key, clashing)
+    while again.any():
+        key[again] = mix(key[again] ^ mix(check[again] + _GOLD))
+        again = again & np.isin(key, clashing)
+    return size, key, check, rows, values
+
+
+def _sums(part: Slice, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.zeros(part.rows, np.uint64)
     if len(rows):
         heads = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        key[rows[heads]] = mix(np.add.reduceat(mix(values ^ _GOLD), heads))
-        check[rows[heads]] = mix(np.add.reduceat(mix(values + _GOLD), heads))
-    return size, key, check, rows, values
+        out[rows[heads]] = mix(np.add.reduceat(mix(values), heads))
+    return out
 
 
 # ----------------------------------------------------------------- signatures
@@ -162,7 +178,7 @@ def _sign(content: np.ndarray, number: np.ndarray, part: np.ndarray) -> np.ndarr
     return mix(mix(content) ^ mix((number.astype(np.uint64) << np.uint64(32)) + part.astype(np.uint64) + np.uint64(1)))
 
 
-def _signature_rows(k: int, scheme: Scheme):
+def _signature_rows(k: int, scheme: Scheme, clashing: np.ndarray):
     """key, node, sig, info rows.  ``info`` is twice the margin.
 
     Signatures of more than ``CROWD`` sets of a batch are marked (info odd) by one of them; the
@@ -174,7 +190,7 @@ def _signature_rows(k: int, scheme: Scheme):
         for batch in (whole.slice(at, SIGNED_ROWS) for whole in batches for at in range(0, whole.num_rows, SIGNED_ROWS)):
             found, seen = [], set()
             for part in slices(batch.column(0)):
-                size, key, _, rows, values = sizes_and_keys(part, k)
+                size, key, _, rows, values = sizes_and_keys(part, k, clashing, checked=False)
                 # equal sets of a batch sign once
                 fresh = np.zeros(part.rows, bool)
                 for row, node in enumerate(key.tolist()):
@@ -207,13 +223,13 @@ def _signature_rows(k: int, scheme: Scheme):
 # ----------------------------------------------------------------------- join
 
 
-def set_table(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+def set_table(docs: DataFrame, k: int = SHINGLE, clashing: np.ndarray = _NONE) -> DataFrame:
     """id, twin, n_shingles, node, check, sketch of every row; ``node`` names the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(2)):
-                size, key, check, rows, values = sizes_and_keys(part, k)
+                size, key, check, rows, values = sizes_and_keys(part, k, clashing)
                 columns = [batch.column(i).slice(part.first, part.rows) for i in range(2)]
                 columns += [pa.array(size.astype(np.int64)), pa.array(key.view(np.int64)), pa.array(check.view(np.int64))]
                 columns.append(pa.array(parity_sketches(size, rows, values), pa.binary()))
@@ -275,7 +291,7 @@ def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+    """The pairs (a, b) whose sets are similar, by hashes that have nothing to do with those that made the pairs."""
     both = (
         pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -288,7 +304,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
             for column in (2, 3):
                 of: list[np.ndarray] = []
                 for part in slices(batch.column(column)):
-                    rows, values = shingles(part, k)
+                    rows, values = shingles(part, k, 2)
                     of += np.split(values, np.searchsorted(rows, np.arange(1, part.rows)))
                 sets.append(of)
             linked = [_similar(a, b, percent) for a, b in zip(*sets, strict=True)]
@@ -406,14 +422,14 @@ def family_pairs(sketched: DataFrame, families: DataFrame, labels: DataFrame, sc
     return placed.select(*keys, "block", "node", "label", "size", "sketch").groupBy("family", "low", "high").applyInArrow(_block_pairs(scheme, every), "a long, b long")
 
 
-def link_sets(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+def link_sets(docs: DataFrame, nodes: DataFrame, k: int, percent: int, clashing: np.ndarray = _NONE) -> DataFrame:
     """node, label: components of all nodes that have a link to another.
 
     ``nodes`` has node, id, twin, size and sketch.
     """
     scheme = Scheme(percent)
     sketched = nodes.select("node", "size", "sketch")
-    signed = docs.select("text").mapInArrow(_signature_rows(k, scheme), "key long, node long, sig long, info int")
+    signed = docs.select("text").mapInArrow(_signature_rows(k, scheme, clashing), "key long, node long, sig long, info int")
     grouped = settle(grouped_rows(signed))
     pairs = _ordered(grouped.filter("size(others) > 0").select(F.explode("others").alias("a"), F.col("node").alias("b")))
     crowded = grouped.filter("others IS NULL").select("sig", "node", "margin").distinct()
@@ -454,20 +470,25 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 def labelled_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every row's id, twin, n_shingles and node; and for each node its least row, and its component."""
     named = docs.select(ID, "text").filter(F.col(ID).isNotNull())
-    table = settle(set_table(docs.select(ID, "text"), k))
-    present = table.filter("id IS NOT NULL AND n_shingles > 0")
-    nodes = present.groupBy("node").agg(
-        F.min(F.struct("id", "twin")).alias("least"),
-        F.min("check").alias("lo"),
-        F.max("check").alias("hi"),
-        F.first("n_shingles").alias("size"),
-        F.first("sketch").alias("sketch"),
-    )
-    clash = F.col("lo") != F.col("hi")
-    nodes = settle(nodes.select("node", F.col("least.id").alias("id"), F.col("least.twin").alias("twin"), "size", "sketch", clash.alias("clash")))
-    if not nodes.filter("clash").isEmpty():
-        raise ValueError("two sets share a 64-bit name; choose another hash base in shared.py")
-    labels = link_sets(named, nodes.drop("clash"), k, percent)
+    clashing = _NONE
+    while True:
+        table = settle(set_table(docs.select(ID, "text"), k, clashing))
+        present = table.filter("id IS NOT NULL AND n_shingles > 0")
+        nodes = present.groupBy("node").agg(
+            F.min(F.struct("id", "twin")).alias("least"),
+            F.min("check").alias("lo"),
+            F.max("check").alias("hi"),
+            F.first("n_shingles").alias("size"),
+            F.first("sketch").alias("sketch"),
+        )
+        clash = F.col("lo") != F.col("hi")
+        nodes = settle(nodes.select("node", F.col("least.id").alias("id"), F.col("least.twin").alias("twin"), "size", "sketch", clash.alias("clash")))
+        # names that chance gave to two sets: of 10^11 sets a few hundred
+        more = [r.node % (1 << 64) for r in nodes.filter("clash").select("node").collect()]
+        if not more:
+            break
+        clashing = np.unique(np.concatenate([clashing, np.array(more, np.uint64)]))
+    labels = link_sets(named, nodes.drop("clash"), k, percent, clashing)
     of_node = nodes.select("node", "id", "twin").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     return table, of_node
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from plumbline.llm.shared import _BYTE, ID, mix, powers, text_buffers
+from plumbline.llm.shared import ID, bytes_hash, mix, text_buffers
 
 ALPHA = 1.0
 SLICE = 1 << 20
@@ -32,6 +32,10 @@ KEPT_NODES = 2_000_000
 #: log weight of a byte that stands for a character without a piece
 _BYTE_WEIGHT = -16.0
 _GLUE = np.uint64(0x2545F4914F6CDD1D)
+_rng = np.random.Generator(np.random.PCG64(20240607))
+_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = int(_rng.integers(1 << 32, 1 << 62)) | 5
+_powers: list[np.ndarray] = []
 
 
 class Pieces:
@@ -99,8 +103,20 @@ class Pieces:
         return out
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n-1 of an odd base and of its inverse, modulo 2**64."""
+    if not _powers or len(_powers[0]) < n:
+        m = 1 << max(16, (n - 1).bit_length())
+        _powers.clear()
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+            column = np.full(m, b, np.uint64)
+            column[0] = 1
+            _powers.append(np.multiply.accumulate(column))
+    return _powers[0][:n], _powers[1][:n]
+
+
 class range_sums:  # noqa: N801
-    """Prefix sums from which the hash of any byte range follows."""
+    """Prefix sums from which a hash of any byte range follows; what it finds is compared byte by byte."""
 
     def __init__(self, data: np.ndarray):
         self.up, self.down = powers(len(data) + 1)
@@ -111,6 +127,36 @@ class range_sums:  # noqa: N801
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Whether each range of ``data`` holds the bytes of its range of ``other``."""
+    sizes = ends - starts
+    same = sizes == to - at
+    rows = np.flatnonzero(same & (sizes > 0))
+    n = sizes[rows]
+    first = np.cumsum(n) - n
+    step = np.arange(int(n.sum())) - np.repeat(first, n)
+    unlike = data[np.repeat(starts[rows], n) + step] != other[np.repeat(at[rows], n) + step]
+    if len(rows):
+        same[rows] = ~np.logical_or.reduceat(unlike, first)
+    return same
+
+
+def distinct_units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and first place of each distinct unit, and which one every unit is; equal means equal bytes."""
+    hashes = bytes_hash(data, starts, ends)
+    distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+    odd = np.flatnonzero(~same_bytes(data, starts, ends, data, starts[sample[which]], ends[sample[which]]))
+    if len(odd):  # units that share a hash with an unlike one
+        named: dict[bytes, int] = {}
+        for unit in odd.tolist():
+            named.setdefault(data[starts[unit] : ends[unit]].tobytes(), unit)
+        numbers = {raw: len(distinct) + k for k, raw in enumerate(named)}
+        which[odd] = [numbers[data[starts[unit] : ends[unit]].tobytes()] for unit in odd.tolist()]
+        sample = np.concatenate([sample, list(named.values())])
+        distinct = np.concatenate([distinct, hashes[list(named.values())]])
+    return distinct, sample, which
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str | None = None, alpha: float = ALPHA) -> Pieces:
     return Pieces(path, alpha)
@@ -146,6 +192,8 @@ class Lattice:
                 s, room = s[fits], room[fits]
             found = pieces.find(sums.of(s, s + n))
             hit = np.flatnonzero(found >= 0)
+            at = pieces.at[found[hit]]
+            hit = hit[same_bytes(flat, s[hit], s[hit] + n, pieces.flat, at, pieces.at[found[hit] + 1])]
             froms.append(s[hit])
             tos.append(s[hit] + n)
             ids.append(found[hit])
@@ -210,6 +258,7 @@ class Lattice:
         self.last_node = base[1:] + np.arange(len(sizes))
 
         self.hashes = hashes
+        self.flat, self.start, self.end = flat, base[:-1], base[1:]
 
     def joined(self, other: Lattice) -> Lattice:
         """Both sets of units in one lattice; ``hashes`` stay sorted."""
@@ -224,6 +273,9 @@ class Lattice:
         out.hashes = hashes[order]
         out.first_node = np.concatenate([self.first_node, other.first_node + nodes])[order]
         out.last_node = np.concatenate([self.last_node, other.last_node + nodes])[order]
+        out.flat = np.concatenate([self.flat, other.flat])
+        out.start = np.concatenate([self.start, other.start + len(self.flat)])[order]
+        out.end = np.concatenate([self.end, other.end + len(self.flat)])[order]
         return out
 
     def step(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -245,16 +297,19 @@ def lattices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.
     """
     kept = pieces.kept
     if kept is None:
-        pieces.kept = Lattice(data, starts, ends, hashes, pieces)
-        return [(pieces.kept, np.arange(len(hashes)), np.arange(len(hashes)))]
+        alone = np.unique(hashes, return_index=True)[1]  # sorted, one unit of each hash
+        pieces.kept = Lattice(data, starts[alone], ends[alone], hashes[alone], pieces)
+        kept = pieces.kept
     at = np.minimum(np.searchsorted(kept.hashes, hashes), len(kept.hashes) - 1)
     known = kept.hashes[at] == hashes
+    known[known] = same_bytes(data, starts[known], ends[known], kept.flat, kept.start[at[known]], kept.end[at[known]])
     found = [(kept, np.flatnonzero(known), at[known])]
     new = np.flatnonzero(~known)
     if len(new):
         lattice = Lattice(data, starts[new], ends[new], hashes[new], pieces)
         found.append((lattice, new, np.arange(len(new))))
-        if len(kept.edge_at) < KEPT_NODES:
+        # a clash of two hashes is left to its slice
+        if len(kept.edge_at) < KEPT_NODES and not np.isin(hashes[new], kept.hashes).any() and len(np.unique(hashes[new])) == len(new):
             pieces.kept = kept.joined(lattice)
     return found
 
@@ -276,8 +331,7 @@ def encode_slice(data: np.ndarray, bounds: np.ndarray, seeds: np.ndarray, pieces
     ends = np.append(starts[1:], len(grown))
     row = np.searchsorted(new_bounds, starts, "right") - 1
     row = np.maximum.accumulate(row)
-    hashes = range_sums(grown).of(starts, ends)
-    distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+    distinct, sample, which = distinct_units(grown, starts, ends)
     took = np.zeros(len(starts), np.int64)
     steps = []
     seeds = seeds[row]

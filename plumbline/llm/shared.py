@@ -82,26 +82,10 @@ def few_tasks(settled: DataFrame, rows: int = 250_000) -> DataFrame:
 
 # ------------------------------------------------------------------ hashing
 
-_rng = np.random.Generator(np.random.PCG64(20240607))
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = int(_rng.integers(1 << 32, 1 << 62)) | 5
+#: hashes of different keys have nothing to do with each other
+_KEYS = np.random.Generator(np.random.PCG64(20240607)).integers(1 << 62, 1 << 63, (4, 3), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of an odd base and of its inverse, modulo 2**64."""
-    if base not in _powers or len(_powers[base][0]) < n:
-        m = 1 << max(16, (n - 1).bit_length())
-        columns = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            column = np.full(m, b, np.uint64)
-            column[0] = 1
-            columns.append(np.multiply.accumulate(column))
-        _powers[base] = tuple(columns)
-    a, b = _powers[base]
-    return a[:n], b[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -113,17 +97,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
-    """Hash of ``values[start:end]`` for each range; equal ranges hash alike wherever they stand."""
-    up, down = powers(len(values) + 1, base)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def bytes_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int = 0) -> np.ndarray:
+    """64-bit hash of each byte range.
 
-
-def bytes_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range."""
-    return range_hash(_BYTE[data], starts, ends)
+    Every eight bytes are mixed with their place in the range before they are added up, so no
+    arrangement of equal parts cancels out, as it does in polynomials modulo a power of two.
+    """
+    seed, place, size = _KEYS[key]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # eight bytes from every byte on
+    sizes = ends - starts
+    value = _block(eights, starts, sizes)
+    value = mix(mix(value + seed) + place)
+    long = np.flatnonzero(sizes > 8)
+    if len(long):
+        more = (sizes[long] - 1) >> 3  # blocks behind the first one
+        first = np.cumsum(more) - more
+        number = np.arange(int(more.sum())) - np.repeat(first, more) + 1
+        at = np.repeat(starts[long], more) + 8 * number
+        blocks = _block(eights, at, np.repeat(ends[long], more) - at)
+        value[long] += np.add.reduceat(mix(mix(blocks + seed) + place * (number + 1).astype(np.uint64)), first)
+    return mix(value + sizes.astype(np.uint64) * size)
+
+
+def _block(eights: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on, zeros where fewer are left."""
+    unused = (8 * (8 - np.clip(left, 0, 8))).astype(np.uint64)
+    value = eights[at] << (unused & np.uint64(63))
+    value[unused == 64] = 0
+    return value
+
+
+def sequence_hash(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int = 0) -> np.ndarray:
+    """Hash of the words ``start`` to ``end`` of each range, which are few: each word is mixed into all before it."""
+    count = ends - starts
+    out = mix(count.astype(np.uint64) * _KEYS[key, 2] + _KEYS[key, 0])
+    for j in range(int(count.max()) if len(count) else 0):
+        on = slice(None) if (count > j).all() else np.flatnonzero(count > j)
+        out[on] = mix((out[on] ^ hashes[starts[on] + j]) + _KEYS[key, 1])
+    return out
 
 
 # -------------------------------------------------------------------- words
@@ -142,8 +156,8 @@ class Slice:
     row: np.ndarray  # of each word, counted from ``first``
     words: np.ndarray  # rows + 1 offsets into the words
 
-    def hashes(self) -> np.ndarray:
-        return bytes_hash(self.data, self.starts, self.ends)
+    def hashes(self, key: int = 0) -> np.ndarray:
+        return bytes_hash(self.data, self.starts, self.ends, key)
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +203,7 @@ def _slice(first: int, data: np.ndarray, bounds: np.ndarray) -> Slice:
 def grams(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every ``k`` consecutive words, and which of them lie in one row."""
     n = max(0, len(hashes) - k + 1)
-    out = np.zeros(n, np.uint64)
+    out = np.full(n, _KEYS[0, 0])
     for j in range(k):
-        out = out * np.uint64(_BASE) + hashes[j : j + n]
-    return mix(out), row[:n] == row[k - 1 : k - 1 + n]
+        out = mix((out ^ hashes[j : j + n]) + _KEYS[0, 1])
+    return out, row[:n] == row[k - 1 : k - 1 + n]

@@ -185,6 +185,12 @@ def test_packing_round_trip(documents):
     assert packing.pack(documents([])).collect() == []
 
 
+@pytest.mark.parametrize("run", [" ", "\n", " \n", "x", "#", "7"])
+def test_token_ids_of_long_runs(run):
+    text = "a" + run * (1_000_000 // len(run)) + "b"
+    assert packing.token_ids(text) == packing.tokenizer(None).encode(text, add_special_tokens=False).ids
+
+
 # --------------------------------------------------------------- sampled pieces
 
 ODD = [None, "", " ", "a", "hello world", " lead  trail  ", "▁ x▁y", "\0\n\t\r", "日本語 é 𝔘𐍈", "a" * 5000, "é" * 700 + "\u2028", "��", "x  y\n\n  z"]
@@ -271,3 +277,9 @@ def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
     kept = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/secret_scan").collect()}
     assert "0f3b" not in kept[204] and "[secret]" in kept[204]
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == ids["best_fit_packing"]
+
+
+def test_pipeline_keeps_documents_where_nothing_is_labelled(documents, spark):
+    docs = documents([(i, f"text number {i} of some words") for i in range(20)])
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and kept.count() == 20
