@@ -22,9 +22,12 @@ MIN_SCORE = 0.35
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a learned language; ``und`` and unsure ones go."""
+    """Documents of a learned language; ``und`` and unsure ones go.  All stay where nothing is labelled."""
     prepare(spark)
-    judged = language_id.predict_languages(docs, language_id.fit(docs))
+    net = language_id.fit(docs)
+    if net is None:
+        return docs
+    judged = language_id.predict_languages(docs, net)
     return judged.filter((F.col("lang_pred") != language_id.UNDECIDED) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
 
 
