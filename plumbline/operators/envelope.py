@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.planning import settle
 from plumbline.functions.values import literal, number_text, quoted
+from plumbline.sources.commit import write_once
 
 # fixed value: shorter request bodies are sent uncompressed
 GZIP_MIN_LENGTH = 1024
@@ -128,8 +129,15 @@ def encode_batches(rows: DataFrame, batch: str = "batch_id", body: str = "body",
     )
 
 
-def write_bodies(requests: DataFrame, path: str) -> None:
-    """Write one request per line: long ones gzipped under ``gzip``, the rest under ``plain``."""
+def write_bodies(requests: DataFrame, path: str, batch: str | None = None) -> None:
+    """Write one request per line: long ones gzipped under ``gzip``, the rest under ``plain``.
+
+    With the name of a ``batch`` both go to folders of that name, once: a job or micro-batch that
+    runs again under the same name writes nothing.  Without one they are appended.
+    """
     kept = settle(requests)
-    kept.filter("gzip").select("request").write.mode("append").option("compression", "gzip").text(f"{path}/gzip")
-    kept.filter("not gzip").select("request").write.mode("append").text(f"{path}/plain")
+    for folder, rows, compression in (("gzip", kept.filter("gzip"), "gzip"), ("plain", kept.filter("not gzip"), "none")):
+        if batch is None:
+            rows.select("request").write.mode("append").option("compression", compression).text(f"{path}/{folder}")
+        else:
+            write_once(rows.select("request"), f"{path}/{folder}", batch, lambda df, to, c=compression: df.write.mode("overwrite").option("compression", c).text(to))

@@ -33,42 +33,54 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WATERMARK = "10 minutes"
 
-_ROW = T.StructType([T.StructField("ms", T.LongType()), T.StructField("uid", T.StringType()), T.StructField("data", T.StringType())])
+_SECOND = T.StructType([T.StructField("second", T.LongType())])
+_ROWS = T.StructType([T.StructField("json", T.StringType())])
 _MEMORY = T.StructType([T.StructField("json", T.StringType())])
 
 
 class _InOrder(StatefulProcessor):
-    """Holds rows until the watermark passes them, then hands them to ``replay`` in order."""
+    """Holds rows until the watermark passes them, then hands them to ``replay`` in order.
+
+    Rows wait in a map by second of event time, so a timer reads and clears the seconds that
+    are due and leaves the others alone.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _ROW)
+        self.waiting = handle.getMapState("waiting", _SECOND, _ROWS)
         self.memory = handle.getValueState("memory", _MEMORY)
 
+    def _held(self, second: int) -> list:
+        found = self.waiting.getValue((second,))
+        return json.loads(found[0]) if found is not None else []
+
     def handleInputRows(self, key, rows, timerValues):
-        new = [(int(m), u, d) for pdf in rows for m, u, d in zip(pdf["ms"], pdf["uid"], pdf["data"])]
-        if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(min(m for m, _, _ in new) + 1)
+        new: dict[int, list] = {}
+        for pdf in rows:
+            for m, u, d in zip(pdf["ms"], pdf["uid"], pdf["data"]):
+                new.setdefault(int(m) // 1000, []).append((int(m), u, d))
+        for second, of in new.items():
+            self.waiting.updateValue((second,), (json.dumps(self._held(second) + of),))
+            self.handle.registerTimer(second * 1000 + 1000)
         yield pd.DataFrame([], columns=self.columns, dtype=object)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = timerValues.getCurrentWatermarkInMs()
-        rows = sorted((int(r[0]), r[1], r[2]) for r in self.waiting.get())
-        due = [r for r in rows if r[0] < passed]
-        rest = rows[len(due) :]
-        self.waiting.put(rest) if rest else self.waiting.clear()
-        if rest:
-            self.handle.registerTimer(rest[0][0] + 1)
+        # whole seconds: of one that has begun, rows still wait
+        passed = timerValues.getCurrentWatermarkInMs() // 1000 * 1000
+        due = []
+        for second in sorted(int(k[0]) for k in self.waiting.keys()):
+            if second * 1000 + 1000 <= passed:
+                due += self._held(second)
+                self.waiting.removeKey((second,))
         memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
-        out, memory = self.replay(key, due, memory)
+        out, memory = self.replay(key, sorted(map(tuple, due), key=lambda r: (r[0], r[1] or "")), memory)
         end = self.end_of(memory)
         if end is not None and end < passed:
             self.memory.clear()
         else:
             self.memory.update((json.dumps(memory),))
             if end is not None:
-                self.handle.registerTimer(end + 1)
+                self.handle.registerTimer((end // 1000 + 1) * 1000)
         yield pd.DataFrame(out, columns=self.columns, dtype=object)
 
     def end_of(self, memory) -> int | None:
