@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,21 +30,26 @@ def unnest(df: DataFrame, keys: list[str], array: Column, name: str) -> DataFram
 BROADCAST_BYTES = 16 << 20
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage, through the session's checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    The folder is the one named by ``spark.checkpoint.dir``.  Where none is set, as in
-    tests, a temporary one serves a local session; a cluster must name one that its
-    executors share.
+    Where none is set, as in tests, a temporary one serves a local session; a cluster must name
+    one that its executors share.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="plumbline-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage, through the session's checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
