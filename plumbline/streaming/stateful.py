@@ -33,7 +33,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WATERMARK = "10 minutes"
 
-_SECOND = T.StructType([T.StructField("second", T.LongType())])
+_MINUTE = T.StructType([T.StructField("minute", T.LongType())])
+_MINUTE_MS = 60_000
 _ROWS = T.StructType([T.StructField("json", T.StringType())])
 _MEMORY = T.StructType([T.StructField("json", T.StringType())])
 
@@ -41,37 +42,43 @@ _MEMORY = T.StructType([T.StructField("json", T.StringType())])
 class _InOrder(StatefulProcessor):
     """Holds rows until the watermark passes them, then hands them to ``replay`` in order.
 
-    Rows wait in a map by second of event time, so a timer reads and clears the seconds that
-    are due and leaves the others alone.
+    Rows wait in a map by minute of event time, so a timer reads the minutes that are due, rewrites
+    the one that has only begun to be, and leaves the others alone.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", _SECOND, _ROWS)
+        self.waiting = handle.getMapState("waiting", _MINUTE, _ROWS)
         self.memory = handle.getValueState("memory", _MEMORY)
 
-    def _held(self, second: int) -> list:
-        found = self.waiting.getValue((second,))
+    def _held(self, minute: int) -> list:
+        found = self.waiting.getValue((minute,))
         return json.loads(found[0]) if found is not None else []
 
     def handleInputRows(self, key, rows, timerValues):
         new: dict[int, list] = {}
         for pdf in rows:
             for m, u, d in zip(pdf["ms"], pdf["uid"], pdf["data"]):
-                new.setdefault(int(m) // 1000, []).append((int(m), u, d))
-        for second, of in new.items():
-            self.waiting.updateValue((second,), (json.dumps(self._held(second) + of),))
-            self.handle.registerTimer(second * 1000 + 1000)
+                new.setdefault(int(m) // _MINUTE_MS, []).append((int(m), u, d))
+        for minute, of in new.items():
+            self.waiting.updateValue((minute,), (json.dumps(self._held(minute) + of),))
+            self.handle.registerTimer(min(m for m, _, _ in of) + 1)
         yield pd.DataFrame([], columns=self.columns, dtype=object)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        # whole seconds: of one that has begun, rows still wait
-        passed = timerValues.getCurrentWatermarkInMs() // 1000 * 1000
+        passed = timerValues.getCurrentWatermarkInMs()
         due = []
-        for second in sorted(int(k[0]) for k in self.waiting.keys()):
-            if second * 1000 + 1000 <= passed:
-                due += self._held(second)
-                self.waiting.removeKey((second,))
+        for minute in sorted(int(k[0]) for k in self.waiting.keys()):
+            if minute * _MINUTE_MS >= passed:
+                break
+            held = self._held(minute)
+            rest = [r for r in held if r[0] >= passed]
+            due += [r for r in held if r[0] < passed]
+            if not rest:
+                self.waiting.removeKey((minute,))
+            elif len(rest) < len(held):
+                self.waiting.updateValue((minute,), (json.dumps(rest),))
+                self.handle.registerTimer(min(r[0] for r in rest) + 1)
         memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
         out, memory = self.replay(key, sorted(map(tuple, due), key=lambda r: (r[0], r[1] or "")), memory)
         end = self.end_of(memory)
@@ -80,7 +87,7 @@ class _InOrder(StatefulProcessor):
         else:
             self.memory.update((json.dumps(memory),))
             if end is not None:
-                self.handle.registerTimer((end // 1000 + 1) * 1000)
+                self.handle.registerTimer(end + 1)
         yield pd.DataFrame(out, columns=self.columns, dtype=object)
 
     def end_of(self, memory) -> int | None:
