@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.planning import settle
 from plumbline.operators.ordered import bucket_of, carry_last
 
 # fixed values: defaults of the queue
@@ -16,6 +17,8 @@ FLUSH_SECONDS = 30
 QUEUE_LIMIT = 1000
 
 _BLOCK_FLUSHES = 20
+#: blocks, or groups of them, that are put together in one step
+_FAN = 64
 _ROW = "struct<ms:bigint,uid:string,copy:int>"
 _STATE = f"struct<n:int,flushed:{_ROW}>"
 _HOUR_MS = 3_600_000
@@ -24,12 +27,17 @@ _KEY = ["_client", "_ms", "_uid", "_copy"]
 
 
 def _keyed(events: DataFrame) -> DataFrame:
-    """Add ``_client``, ``_ms``, ``_uid`` and ``_copy``; none is NULL, and together they are unique."""
+    """Add ``_client``, ``_ms``, ``_uid`` and ``_copy``; none is NULL, and together they are unique.
+
+    Only where an id names several rows are whole rows moved to number them.
+    """
     mark = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     rows = events.withColumns({"_client": mark("client_id"), "_ms": F.unix_millis("ts"), "_uid": mark("uid")})
     # an id names one row or few; rows without one are told apart inside their millisecond
-    same = Window.partitionBy("_client", "_uid", F.when(F.col("_uid") == "", F.col("_ms")))
-    return rows.withColumn("_copy", F.row_number().over(same.orderBy("_ms")))
+    same = ["_client", "_uid", F.when(F.col("_uid") == "", F.col("_ms"))]
+    if rows.groupBy(*same).count().filter("count > 1").isEmpty():
+        return rows.withColumn("_copy", F.lit(1))
+    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy(*same).orderBy("_ms")))
 
 
 def _advance(n: Column, flushed_ms: Column, ms: Column, size: int, wait_ms: int) -> Column:
@@ -79,6 +87,37 @@ def _trace(size: int, wait_ms: int):
     return run
 
 
+def _entries(steps: DataFrame) -> DataFrame:
+    """_client, stretch, block (from 0 on), entry from ``exits``: for each way to enter a block, the way to enter the next one.
+
+    ``_FAN`` neighbours become one step of the level above, until a stretch is
+    one row; its entry is known, and each level hands down those of the level below.
+    """
+    owner = ["_client", "stretch"]
+    children = lambda level: level.groupBy(*owner, F.floor(F.col("block") / _FAN).cast("long").alias("above")).agg(
+        F.array_sort(F.collect_list(F.struct("block", "exits"))).alias("children")
+    )
+    through = lambda first, step: F.transform(first, lambda i: F.get(step, i))
+    levels = [steps]
+    while not levels[-1].groupBy(*owner).count().filter("count > 1").isEmpty():
+        joined = F.aggregate(
+            F.slice(F.col("children"), 2, _FAN), F.get(F.col("children"), F.lit(0))["exits"], lambda all_, child: through(all_, child["exits"])
+        )
+        levels.append(settle(children(levels[-1]).select(*owner, F.col("above").alias("block"), joined.alias("exits"))))
+    entries = levels[-1].select(*owner, "block", F.lit(0).alias("entry"))
+    kind = "struct<at:int,out:array<struct<block:bigint,entry:int>>>"
+
+    def walk(acc: Column, child: Column) -> Column:
+        out = F.concat(acc["out"], F.array(F.struct(child["block"].alias("block"), acc["at"].alias("entry"))))
+        return F.struct(F.get(child["exits"], acc["at"]).alias("at"), out.alias("out"))
+
+    for level in reversed(levels[:-1]):
+        start = F.struct(F.col("entry").alias("at"), F.array().alias("out")).cast(kind)
+        down = children(level).join(entries.withColumnRenamed("block", "above"), [*owner, "above"])
+        entries = down.select(*owner, F.inline(F.aggregate("children", start, walk, lambda acc: acc["out"])))
+    return entries
+
+
 def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLUSH_SECONDS) -> DataFrame:
     """Add ``batch_id`` and ``flush``: the queue is sent at every ``size`` rows or ``seconds`` after the last flush (G1).
 
@@ -90,8 +129,9 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
     The replay is exact and split in time.  An arrival after a silence of
     ``seconds`` always flushes, so what follows it starts from a known state.
     Longer busy stretches are cut into blocks: each block works out its exit for
-    every state it could be entered in (at most ``size``), and one short pass
-    over the blocks picks the real one.
+    every state it could be entered in (at most ``size``).  Exits of neighbours are
+    put together as a tree, and the real entries are handed down it, so a client
+    that never pauses is no single task either.
     """
     if size < 1:
         raise ValueError("batch size must be at least 1")
@@ -112,6 +152,7 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         {
             "breaker": F.coalesce(F.col("head.ms") - before >= wait_ms, F.lit(False)),
             "opening": before.isNull(),
+            "before_ms": before,
         }
     )
     # state that holds right after a breaker, or before a client's first row
@@ -124,68 +165,44 @@ def assign_batches(events: DataFrame, size: int = BATCH_SIZE, seconds: int = FLU
         "_client",
         "tick",
         F.when(F.col("breaker"), F.col("head")).alias("breaker_row"),
+        "before_ms",
         F.last("known", ignorenulls=True).over(running).alias("stretch"),
         F.last("known", ignorenulls=True).over(earlier).alias("stretch_before"),
     )
 
-    # a breaker closes the stretch before it
+    # a breaker closes the stretch before it, in the block that the silence began in
+    breaks = F.coalesce(F.col("row") == F.col("breaker_row"), F.lit(False))
     placed = (
         rows.withColumn("tick", bucket_of(F.col("ms"), wait_ms))
         .join(spans, ["_client", "tick"])
-        .withColumn(
-            "stretch",
-            F.when(F.col("row") == F.col("breaker_row"), F.col("stretch_before")).otherwise(F.col("stretch")),
-        )
-    )
-    blocks = placed.groupBy("_client", "stretch", bucket_of(F.col("ms"), width_ms).alias("block")).agg(
-        F.array_sort(F.collect_list("row")).alias("rows")
-    )
-    in_stretch = Window.partitionBy("_client", "stretch").orderBy("block")
-    # the rows that can be the last flush before the next block, newest first; before the
-    # first flush of a stretch that is the one that began it
-    opening = F.when(F.lag("block").over(in_stretch).isNull(), F.array("stretch")).otherwise(F.array().cast(f"array<{_ROW}>"))
-    blocks = blocks.withColumn("recent", F.slice(F.concat(F.reverse("rows"), opening), 1, size))
-    blocks = blocks.withColumn("tail", F.lag("recent").over(in_stretch))
-
-    # entry n: the last flush was n rows before the block
-    exits = F.when(
-        F.col("tail").isNotNull(),
-        F.transform(
-            F.col("tail"),
-            lambda flushed, n: _run(
-                F.col("rows"), F.struct(n.cast("int").alias("n"), flushed.alias("flushed")), size, wait_ms
-            ),
-        ),
-    )
-    first_exit = F.when(
-        F.col("tail").isNull(),
-        F.array(_run(F.col("rows"), F.struct(F.lit(0).alias("n"), F.col("stretch").alias("flushed")), size, wait_ms)),
-    )
-    blocks = blocks.withColumn("exits", F.coalesce(exits, first_exit))
-    chain = (
-        blocks.groupBy("_client", "stretch")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "exits"))).alias("chain"))
-        .filter(F.size("chain") > 1)
-    )
-    entries = f"array<struct<block:bigint,entry:{_STATE}>>"
-    start = F.struct(F.lit(None).cast(_STATE).alias("at"), F.array().cast(entries).alias("out"))
-    walk = F.aggregate(
-        "chain",
-        start,
-        lambda acc, b: F.struct(
-            F.get(b["exits"], F.coalesce(acc["at"]["n"], F.lit(0))).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(b["block"].alias("block"), acc["at"].alias("entry")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    entered = chain.select("_client", "stretch", F.inline_outer(walk))
-    begin = F.coalesce(
-        F.col("entry"), F.struct(F.lit(0).alias("n"), F.col("stretch").alias("flushed")).cast(_STATE)
+        .withColumn("block", bucket_of(F.when(breaks, F.col("before_ms")).otherwise(F.col("ms")), width_ms))
+        .withColumn("stretch", F.when(breaks, F.col("stretch_before")).otherwise(F.col("stretch")))
     )
+    blocks = placed.groupBy("_client", "stretch", "block").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    # a stretch has rows in each of its blocks, as none of its silences is as long as a block
+    blocks = settle(blocks)
+    place = ["_client", "stretch", "block"]
+    spans = blocks.groupBy("_client", "stretch").agg(F.min("block").alias("first"), F.max("block").alias("last"))
+    longest = spans.agg(F.max(F.col("last") - F.col("first"))).first()[0] or 0
+    begin = F.struct(F.lit(0).alias("n"), F.col("stretch").alias("flushed")).cast(_STATE)
+    if longest:
+        # the rows that can be the last flush before the next block, newest first; before the
+        # first flush of a stretch that is the one that began it
+        marked = blocks.join(spans, ["_client", "stretch"])
+        opening = F.when(F.col("block") == F.col("first"), F.array("stretch")).otherwise(F.array().cast(f"array<{_ROW}>"))
+        recent = F.slice(F.concat(F.reverse("rows"), opening), 1, size)
+        before = marked.filter("block < last").select("_client", "stretch", (F.col("block") + 1).alias("block"), recent.alias("tail"))
+        blocks = marked.join(before, place, "left")
+        # entry n: the last flush was n rows before the block
+        entered = F.transform(F.col("tail"), lambda flushed, n: F.struct(n.cast("int").alias("n"), flushed.alias("flushed")))
+        states = F.coalesce(entered.cast(f"array<{_STATE}>"), F.array(begin))
+        exits = F.transform(states, lambda state: _run(F.col("rows"), state, size, wait_ms)["n"])
+        steps = settle(blocks.filter("first < last").select(*place, exits.alias("exits")))
+        blocks = blocks.join(_entries(settle(steps)), place, "left")
+        known = F.struct(F.col("entry").alias("n"), F.get("tail", F.col("entry")).alias("flushed")).cast(_STATE)
+        begin = F.when(F.col("tail").isNotNull(), known).otherwise(begin)
     traced = (
-        blocks.drop("recent", "tail", "exits")
-        .join(entered, ["_client", "stretch", "block"], "left")
-        .select("_client", "rows", begin.alias("begin"))
+        blocks.select("_client", "rows", begin.alias("begin"))
         .mapInArrow(_trace(size, wait_ms), "_client string, _ms long, _uid string, _copy int, _after_ms long, _after string, _after_copy int, flush boolean")
     )
     # "=" stands before an id that is there

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators.batching import assign_batches, retain_latest, sample_batches
+from plumbline.operators.batching import _entries, assign_batches, retain_latest, sample_batches
 from plumbline.operators.dedup import find_duplicates
 from plumbline.operators.envelope import encode_batches, write_bodies
 from plumbline.operators.identity import assign_stream_id, backfill_unknown_stream
@@ -135,3 +135,36 @@ def test_carry_last_both_ways(spark):
         for k, _, i, v in rows[::-1] if backward else rows:
             assert out[i] == seen.get(k)
             seen[k] = v if v is not None else seen.get(k)
+
+
+def test_batches_of_a_client_that_never_pauses(spark):
+    """Two thousand blocks of one client, which are put together in two levels, then a silence of an hour and more."""
+    draw, ms, rows = random.Random(6), START, []
+    for i in range(40_000):
+        ms += draw.choice([100, 500, 900, 999]) if i != 30_000 else 3_600_000
+        rows.append((f"u{i:06d}", "c", ms))
+    df = spark.createDataFrame(rows, "uid string, client_id string, ms long").withColumn("ts", F.timestamp_millis("ms"))
+    waiting, flushed_ms, flushed, want = 0, rows[0][2], "start", {}
+    for uid, _, at in rows:
+        waiting += 1
+        flush = waiting % 7 == 0 or at - flushed_ms >= 1000
+        want[uid] = (f"c|{flushed}", flush)
+        if flush:
+            waiting, flushed_ms, flushed = 0, at, uid
+    got = {r.uid: (r.batch_id, r.flush) for r in assign_batches(df, 7, 1).collect()}
+    assert got == want
+
+
+def test_entries_of_a_long_chain(spark):
+    """A hundred thousand blocks: each group of 64 is one row, so no task reads them all."""
+    draw = random.Random(9)
+    steps = [("c", k, [draw.randrange(5) for _ in range(5 if k else 1)]) for k in range(100_000)]
+    at, want = 0, []
+    for _, _, exits in steps:
+        want.append(at)
+        at = exits[at]
+    df = spark.createDataFrame(steps + [("d", 0, [3]), ("d", 1, [0, 1, 2, 4])], "_client string, block long, exits array<int>")
+    df = df.withColumn("stretch", F.struct(F.lit(1).alias("ms"), F.lit(None).cast("string").alias("uid"), F.lit(1).alias("copy")))
+    got = _entries(df).collect()
+    assert [r.entry for r in sorted((r for r in got if r._client == "c"), key=lambda r: r.block)] == want
+    assert sorted((r.block, r.entry) for r in got if r._client == "d") == [(0, 0), (1, 3)]
