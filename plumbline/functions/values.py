@@ -19,6 +19,8 @@ MEMBERS = "array<struct<name:string,type:string,v:variant,raw:string>>"
 # fixed values: an object key that JavaScript treats as an array index and lists first
 _INDEX_KEY = "r'^(0|[1-9][0-9]{0,9})$'"
 _INDEX_LIMIT = 4294967295
+# such a name, or one that may be written with escapes, in the text of an object
+_INDEX_NAME = r"""r'"([0-9]{1,10}|[^"]*\\u[^"]*)"\s*:'"""
 
 _names = count()
 
@@ -120,8 +122,11 @@ def _position(name: str) -> str:
     return f"try_to_number({name}, '9999999999')"
 
 
-def _js_order(entries: str) -> str:
-    """Last duplicate wins at the first position; index-like names come first."""
+def _js_order(entries: str, raw: str) -> str:
+    """Last duplicate wins at the first position; index-like names come first.
+
+    ``raw`` is the object's text: without a name of digits in it no member is looked at.
+    """
     index_like = lambda x: f"({x}.name RLIKE {_INDEX_KEY} AND {_position(x + '.name')} < {_INDEX_LIMIT})"
 
     def unique(e: str) -> str:
@@ -135,7 +140,7 @@ def _js_order(entries: str) -> str:
         ordered = f"""array_sort({keep(e, lambda x, _: index_like(x))},
             ({a}, {b}) -> CASE WHEN {pa} < {pb} THEN -1 WHEN {pa} > {pb} THEN 1 ELSE 0 END)"""
         rest = keep(e, lambda x, _: f"NOT {index_like(x)}")
-        return f"CASE WHEN {some(e, index_like)} THEN concat({ordered}, {rest}) ELSE {e} END"
+        return f"CASE WHEN {raw} RLIKE {_INDEX_NAME} AND {some(e, index_like)} THEN concat({ordered}, {rest}) ELSE {e} END"
 
     return let(let(entries, unique), indexed_first)
 
@@ -150,7 +155,7 @@ def members(raw: str) -> str:
             lambda e, i: _member(f"{e}.key", f"{e}.value", f"get({text}, {i})"),
         ),
     )
-    return _js_order(opened)
+    return _js_order(opened, raw)
 
 
 def items(raw: str) -> str:
@@ -165,6 +170,26 @@ def items(raw: str) -> str:
     )
 
 
+def flat_member(fields: str, name: str) -> str:
+    """Scalar member of an object that is a map of variants, as ``members`` gives it; NULL if it is missing."""
+    return let(f"try_element_at({fields}, {name})", lambda v: f"CASE WHEN {v} IS NOT NULL THEN {_member(name, v, 'CAST(NULL AS string)')} END")
+
+
+def flat_fields(v: str) -> str:
+    """A variant object as a map of variants, without parsing its text again; NULL for anything else."""
+    return f"try_variant_get({v}, '$', 'map<string,variant>')"
+
+
+def has_nested_fields(raw: str) -> str:
+    """May a member of the object, or of an object in the list, be nested itself?  ``raw`` is compact."""
+    return f"(contains({raw}, ':{{') OR contains({raw}, ':['))"
+
+
+def scalar_text(node: str) -> str:
+    """``value_text`` of a value that isn't nested."""
+    return _scalar_text(node)
+
+
 def children_of(node: str) -> str:
     """Opened children of a nested member; NULL for a scalar."""
     return f"CASE WHEN {node}.type = 'object' THEN {members(node + '.raw')} WHEN {node}.type = 'list' THEN {items(node + '.raw')} END"

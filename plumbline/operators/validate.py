@@ -14,11 +14,15 @@ from plumbline.functions.patterns import matches
 from plumbline.functions.planning import pin, unnest
 from plumbline.functions.values import (
     each,
+    flat_fields,
+    flat_member,
+    has_nested_fields,
     items_of,
     keep,
     let,
     members,
     number_of,
+    scalar_text,
     some,
     value_text,
 )
@@ -26,10 +30,15 @@ from plumbline.functions.values import (
 _NONE = "CAST(array() AS array<string>)"
 
 
-def comparable(node: str) -> str:
+def comparable(node: str, text=value_text) -> str:
     """Type, text and number of a value; a missing one has type and text ``undefined``."""
     return f"""named_struct('type', coalesce({node}.type, 'undefined'),
-        'text', coalesce({value_text(node)}, 'undefined'), 'number', {number_of(node)})"""
+        'text', coalesce({text(node)}, 'undefined'), 'number', {number_of(node)})"""
+
+
+def measured(node: str) -> str:
+    """``comparable`` where only ranges are checked, which need no text."""
+    return f"named_struct('type', coalesce({node}.type, 'undefined'), 'text', CAST(NULL AS string), 'number', {number_of(node)})"
 
 
 def violates(x: str, check: str, patterns: list[str]) -> str:
@@ -62,13 +71,13 @@ def compact(failed: str) -> str:
     return f"CASE WHEN size({failed}) > 0 THEN {shorter} END"
 
 
-def _failures(node: str, checks: str, patterns: list[str]) -> str:
+def _failures(node: str, checks: str, patterns: list[str], text=value_text) -> str:
     """Ids that fail for one value, in checking order."""
-    broken = let(
-        comparable(node),
-        lambda x: let(keep(checks, lambda c, _: violates(x, c, patterns)), lambda k: f"{k}.event_ids"),
-    )
-    return f"CASE WHEN size({checks}) > 0 THEN array_distinct(flatten({broken})) ELSE {_NONE} END"
+    only_ranges = f"NOT {some(checks, lambda c: f'{c}.kind <> \'minmax\'')}"
+    value = f"CASE WHEN {only_ranges} THEN {measured(node)} ELSE {comparable(node, text)} END"
+    broken = let(value, lambda x: keep(checks, lambda c, _: violates(x, c, patterns)))
+    ids = let(broken, lambda k: f"CASE WHEN size({k}) > 0 THEN array_distinct(flatten({k}.event_ids)) ELSE {_NONE} END")
+    return f"CASE WHEN size({checks}) > 0 THEN {ids} ELSE {_NONE} END"
 
 
 def _union(lists: str) -> str:
@@ -94,6 +103,12 @@ def _child_failures(node: str, rule: str, patterns: list[str]) -> str:
         ELSE {_failures(node, f"{rule}.checks", patterns)} END, {_NONE})"""
 
 
+def _flat_failures(node: str, rule: str, patterns: list[str]) -> str:
+    """``_child_failures`` of a child that isn't nested."""
+    return f"""coalesce(CASE WHEN {rule}.has_children OR {rule}.is_list OR {_skipped(node, rule)} THEN {_NONE}
+        ELSE {_failures(node, f"{rule}.checks", patterns, scalar_text)} END, {_NONE})"""
+
+
 def _named(nodes: str, name: str) -> str:
     return f"get({keep(nodes, lambda n, _: f'{n}.name = {name}')}, 0)"
 
@@ -117,26 +132,41 @@ def add_results(df: DataFrame, out: str = "results", prefix: str = "_level", pat
     """
     patterns = list(patterns)
 
+    # children are read from the variant that is there already; only where one is nested itself is
+    # the text opened, which keeps the order of its members
+
     def object_kids(m: str, rule: str) -> str:  # C11
-        def child(kids: str):
+        def opened(kids: str):
             return lambda r: let(_named(kids, f"{r}.name"), lambda n: _child_failures(n, r, patterns))
 
-        opened = f"CASE WHEN {m}.type = 'object' THEN {members(f'{m}.raw')} END"
-        return let(opened, lambda kids: _child_results(f"{rule}.kids", child(kids)))
+        def flat(fields: str):
+            return lambda r: let(flat_member(fields, f"{r}.name"), lambda n: _flat_failures(n, r, patterns))
 
-    def item_failures(kids: str, rule: str) -> str:
-        failed = let(_named(kids, f"{rule}.name"), lambda n: _child_failures(n, rule, patterns))
+        is_object = lambda value: f"CASE WHEN {m}.type = 'object' THEN {value} END"
+        nested = let(is_object(members(f"{m}.raw")), lambda kids: _child_results(f"{rule}.kids", opened(kids)))
+        plain = let(is_object(flat_fields(f"{m}.v")), lambda fields: _child_results(f"{rule}.kids", flat(fields)))
+        return f"CASE WHEN {has_nested_fields(f'{m}.raw')} THEN {nested} ELSE {plain} END"
+
+    def item_failures(failures: str) -> str:
         # an item whose shorter list is the passed one stands for the rest of all ids
         known = lambda f: keep("all_ids", lambda i, _: f"array_contains({f}, {i})")
         prefers = lambda f: let(_passed(f), lambda p: _prefers_passed(f, p))
-        return let(failed, lambda f: f"CASE WHEN {prefers(f)} THEN {known(f)} ELSE {f} END")
+        return let(failures, lambda f: f"CASE WHEN size({f}) = 0 THEN {f} WHEN {prefers(f)} THEN {known(f)} ELSE {f} END")
 
     def item_kids(m: str, rule: str) -> str:  # C10
-        def child(opened: str):
-            return lambda r: _union(each(opened, lambda kids, _: item_failures(kids, r)))
-
-        opened = each(items_of(m), lambda i, _: members(f"{i}.raw"))
-        return let(opened, lambda o: _child_results(f"{rule}.kids", child(o)))
+        def opened(items: str):
+            failed = lambda r, kids: let(_named(kids, f"{r}.name"), lambda n: _child_failures(n, r, patterns))
+            return lambda r: _union(each(items, lambda kids, _: item_failures(failed(r, kids))))
+
+        def flat(items: str):
+            failed = lambda r, fields: let(flat_member(fields, f"{r}.name"), lambda n: _flat_failures(n, r, patterns))
+            return lambda r: _union(each(items, lambda fields, _: item_failures(failed(r, fields))))
+
+        texts = each(items_of(m), lambda i, _: members(f"{i}.raw"))
+        nested = let(texts, lambda o: _child_results(f"{rule}.kids", opened(o)))
+        listed = f"CASE WHEN {m}.type = 'list' THEN try_variant_get({m}.v, '$', 'array<variant>') END"
+        plain = let(each(listed, lambda i, _: flat_fields(i)), lambda o: _child_results(f"{rule}.kids", flat(o)))
+        return f"CASE WHEN {has_nested_fields(f'{m}.raw')} THEN {nested} ELSE {plain} END"
 
     def own(m: str, rule: str) -> str:
         return f"""coalesce(CASE WHEN {rule}.has_children THEN {_NONE}
