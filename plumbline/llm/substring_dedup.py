@@ -15,8 +15,8 @@ Covered windows that touch or overlap are one maximal repeat.  Inside a batch of
 smallest id of equal seeds is sent on; the others are settled there, so a passage that a third
 of all documents share brings one row per batch into a task, not one per document.
 
-Words count as equal if the hash of their anchor and two more 64-bit hashes of all of them are,
-which start from unrelated hashes of every word.
+Words count as equal if two 64-bit hashes agree, that of their anchor and that of all of them, which
+start from unrelated hashes of every word.
 """
 
 from __future__ import annotations
@@ -33,23 +33,23 @@ from plumbline.llm.shared import ID, Slice, grams, mix, sequence_hash, settle, s
 
 WINDOW = 13
 GRAM = 5
-_KEYS = "anchor long, content long, check long, id long, twin long, start int, n int"
-_NAMES = ["anchor", "content", "check", "id", "twin", "start", "n"]
+_KEYS = "anchor long, content long, id long, twin long, start int, n int"
+_NAMES = ["anchor", "content", "id", "twin", "start", "n"]
 
 
-def _contents(part: Slice, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each range of words, from two unrelated hashes of every word."""
-    return sequence_hash(hashes, starts, ends), sequence_hash(part.hashes(1), starts, ends, 1)
+def _contents(part: Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each range of words, from hashes of the words that have nothing to do with those of the anchors."""
+    return sequence_hash(part.hashes(1), starts, ends, 1)
 
 
 def seeds(part: Slice, window: int, k: int) -> tuple[np.ndarray, ...]:
-    """anchor, content, check, row, first window, windows of every seed of a slice."""
+    """anchor, content, row, first window, windows of every seed of a slice."""
     hashes = part.hashes()
     gram, _ = grams(hashes, part.row, k)
     n = len(hashes) - window + 1
     if n <= 0:
         empty = np.zeros(0, np.int64)
-        return empty.view(np.uint64), empty.view(np.uint64), empty.view(np.uint64), empty, empty, empty
+        return empty.view(np.uint64), empty.view(np.uint64), empty, empty, empty
     inside = part.row[:n] == part.row[window - 1 :]
     at = np.lib.stride_tricks.sliding_window_view(gram, window - k + 1)[:n].argmin(axis=1) + np.arange(n)
     first = inside.copy()
@@ -59,13 +59,12 @@ def seeds(part: Slice, window: int, k: int) -> tuple[np.ndarray, ...]:
     # reduceat runs to the next start, over windows that cross rows, which count nothing
     count = count.astype(np.int64)
     reach = starts + count - 1 + window
-    content, check = _contents(part, hashes, starts, reach)
-    content ^= mix((at[starts] - starts).astype(np.uint64))
-    return gram[at[starts]], content, check, part.row[starts], starts - part.words[part.row[starts]], count
+    content = _contents(part, starts, reach) ^ mix((at[starts] - starts).astype(np.uint64))
+    return gram[at[starts]], content, part.row[starts], starts - part.words[part.row[starts]], count
 
 
 def windows(part: Slice, row: np.ndarray, start: np.ndarray, count: np.ndarray, window: int, k: int):
-    """anchor, content, check, row and place of the given windows, one by one."""
+    """anchor, content, row and place of the given windows, one by one."""
     hashes = part.hashes()
     gram, _ = grams(hashes, part.row, k)
     total = int(count.sum())
@@ -74,24 +73,23 @@ def windows(part: Slice, row: np.ndarray, start: np.ndarray, count: np.ndarray,
     place = np.repeat(start, count) + step
     at = part.words[rows] + place
     picked = np.lib.stride_tricks.sliding_window_view(gram, window - k + 1)[at].argmin(axis=1) + at if total else at
-    return gram[picked], *_contents(part, hashes, at, at + window), rows, place
+    return gram[picked], _contents(part, at, at + window), rows, place
 
 
-def _settle_inside(anchor, content, check, ids, twin, start, n) -> pa.RecordBatch:
-    """Rows to send: for equal (anchor, content, check) those of the smallest id; others are covered here.
+def _settle_inside(anchor, content, ids, twin, start, n) -> pa.RecordBatch:
+    """Rows to send: for equal (anchor, content) those of the smallest id; others are covered here.
 
     Covered rows travel under a key of their own document (``n`` below zero marks them).
     """
-    order = np.lexsort((ids, check, content, anchor))
-    a, c, d, i = anchor[order], content[order], check[order], ids[order]
-    new = np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1])) if len(order) else np.zeros(0, bool)
+    order = np.lexsort((ids, content, anchor))
+    a, c, i = anchor[order], content[order], ids[order]
+    new = np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])) if len(order) else np.zeros(0, bool)
     least = i[new][np.cumsum(new) - 1] if len(order) else i
     done = np.zeros(len(order), bool)
     done[order] = i > least
     own = mix(ids.view(np.uint64) ^ twin.view(np.uint64))
     key = np.where(done, own, anchor)
-    hashes = [h.view(np.int64) for h in (key, content, check)]
-    columns = [*hashes, ids, twin, start.astype(np.int32), np.where(done, -n, n).astype(np.int32)]
+    columns = [key.view(np.int64), content.view(np.int64), ids, twin, start.astype(np.int32), np.where(done, -n, n).astype(np.int32)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_NAMES)
 
 
@@ -106,8 +104,8 @@ def _seed_rows(window: int, k: int):
             ids, twins = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             found = []
             for part in slices(batch.column(2)):
-                anchor, content, check, row, start, n = seeds(part, window, k)
-                found.append((anchor, content, check, ids[part.first + row], twins[part.first + row], start, n))
+                anchor, content, row, start, n = seeds(part, window, k)
+                found.append((anchor, content, ids[part.first + row], twins[part.first + row], start, n))
             if found:
                 yield _settle_inside(*[np.concatenate(c) for c in zip(*found, strict=True)])
 
@@ -124,8 +122,8 @@ def _window_rows(window: int, k: int):
             for part in slices(batch.column(2)):
                 lo, hi = offsets[part.first], offsets[part.first + part.rows]
                 row = np.repeat(np.arange(part.rows), np.diff(offsets[part.first : part.first + part.rows + 1]))
-                anchor, content, check, rows, place = windows(part, row, start[lo:hi].astype(np.int64), count[lo:hi].astype(np.int64), window, k)
-                found.append((anchor, content, check, ids[part.first + rows], twins[part.first + rows], place, np.ones(len(rows), np.int64)))
+                anchor, content, rows, place = windows(part, row, start[lo:hi].astype(np.int64), count[lo:hi].astype(np.int64), window, k)
+                found.append((anchor, content, ids[part.first + rows], twins[part.first + rows], place, np.ones(len(rows), np.int64)))
             if found:
                 yield _settle_inside(*[np.concatenate(c) for c in zip(*found, strict=True)])
 
@@ -135,13 +133,12 @@ def _window_rows(window: int, k: int):
 def covered_windows(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
     """id, twin, start, n: runs of windows whose words also start in a document with a smaller id."""
     texts = _texts(docs)
-    same, of_anchor = Window.partitionBy("anchor", "content", "check"), Window.partitionBy("anchor")
-    unlike = lambda c: F.min(c).over(of_anchor) != F.max(c).over(of_anchor)
+    same, of_anchor = Window.partitionBy("anchor", "content"), Window.partitionBy("anchor")
     met = (
         texts.mapInArrow(_seed_rows(window, k), _KEYS)
         .repartition("anchor")
         .withColumn("least", F.min("id").over(same))
-        .withColumn("mixed", unlike("content") | unlike("check"))
+        .withColumn("mixed", F.min("content").over(of_anchor) != F.max("content").over(of_anchor))
     )
     covered = (F.col("n") < 0) | (F.col("least") < F.col("id"))
     # of equal seeds only those of the smallest id can still lend or lose windows
