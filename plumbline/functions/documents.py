@@ -33,6 +33,8 @@ from plumbline.functions.values import (
 )
 
 DEFAULT_DEPTH = 5
+#: column that holds the key of sealed values while a document is put together
+SEAL_KEY = "_seal_key"
 
 
 def _each_deep(array: str, depth: int, body: Callable[[str, tuple], str], at: tuple = ()) -> str:
@@ -123,6 +125,8 @@ def add_schema_document(
 
         return one
 
+    if hasattr(seal, "attach"):
+        df = seal.attach(df)
     below = None
     temporary = []
     for depth in range(max_depth - 1, -1, -1):
@@ -140,7 +144,7 @@ def add_schema_document(
     df = pin(df, "_finished", finished)
     parts = f"split(_finished, '[{VALUE}{END}]')"
     sealed = each(parts, lambda p, i: f"CASE WHEN {i} % 2 = 1 THEN {seal(p)} ELSE {p} END")
-    return df.withColumn(out, F.coalesce(F.expr(f"array_join({sealed}, '')"), F.col(out))).drop("_finished")
+    return df.withColumn(out, F.coalesce(F.expr(f"array_join({sealed}, '')"), F.col(out))).drop("_finished", SEAL_KEY)
 
 
 def drop_levels(df: DataFrame, prefix: str = "_level") -> DataFrame:

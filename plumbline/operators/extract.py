@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.deep import nodes_in
 from plumbline.functions.documents import (
     DEFAULT_DEPTH,
+    SEAL_KEY,
     add_schema_document,
     drop_levels,
     is_scalar,
@@ -18,7 +17,7 @@ from plumbline.functions.documents import (
 )
 
 from plumbline.functions.planning import unnest
-from plumbline.functions.values import each, items, keep, let, literal
+from plumbline.functions.values import each, items, keep, let
 
 
 def property_types(df: DataFrame, keys: list[str], raw: str = "props") -> DataFrame:
@@ -53,14 +52,34 @@ def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth
 
 
 def extract_document(
-    df: DataFrame, raw: str = "props", out: str = "document", seal: Callable | None = None
+    df: DataFrame, raw: str = "props", out: str = "document", seal: Sealer | None = None
 ) -> DataFrame:
     """Nested schema document per event."""
     opened = open_levels(df, raw)
     return drop_levels(add_schema_document(opened, out, seal=seal))
 
 
-def sealer(key: str, env: str) -> Callable[[str], str] | None:
+class Sealer:
+    """Encryption of scalar values (B5) with a key that no plan shows.
+
+    The key is the only row of a table that executors get as data, so neither the plan nor the
+    event log holds it; the expressions name its column.
+    """
+
+    def __init__(self, key: str):
+        self._key = key
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Add the key's column: one row, sent to all tasks."""
+        spark = df.sparkSession
+        key = spark.createDataFrame(spark.sparkContext.parallelize([(self._key,)], 1), f"{SEAL_KEY} string")
+        return df.join(F.broadcast(key))
+
+    def __call__(self, text: str) -> str:
+        return f"base64(aes_encrypt({text}, {SEAL_KEY}, 'GCM', 'DEFAULT'))"
+
+
+def sealer(key: str, env: str) -> Sealer | None:
     """Encryption of scalar values (B5): only in dev and staging, and only with a key.
 
     Values are sealed with AES-GCM as base64 text and never leave in the clear.
@@ -69,7 +88,7 @@ def sealer(key: str, env: str) -> Callable[[str], str] | None:
         return None
     if len(key.encode()) not in (16, 24, 32):
         raise ValueError("the key must have 16, 24 or 32 bytes")
-    return lambda text: f"base64(aes_encrypt({text}, {literal(key)}, 'GCM', 'DEFAULT'))"
+    return Sealer(key)
 
 
 def unseal(value: Column, key: str) -> Column:

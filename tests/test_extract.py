@@ -147,3 +147,11 @@ def test_rejects_and_sources(spark, tmp_path):
     assert read_events(spark, str(tmp_path / "e")).first()["uid"] == "u"
     schemas = spark.createDataFrame([('[{"propertyName":"a","propertyType":"list","children":["int"]}]',)], "schema_json string")
     assert read_schemas(schemas).select("schema.propertyName").first()[0] == ["a"]
+
+
+def test_the_plan_does_not_show_the_key(spark):
+    key = "0123456789abcdef"
+    df = extract_document(spark.createDataFrame([('{"a":"x","o":{"b":2}}',)], "props string"), seal=sealer(key, "dev"))
+    assert df.columns == ["props", "document"] and df.count() == 1
+    shown = df._jdf.queryExecution().toString() + repr(df.schema)
+    assert "aes_encrypt" in shown and key not in shown and key.encode().hex() not in shown.lower()
