@@ -20,6 +20,8 @@ from plumbline.operators.ordered import carry_last, with_context
 # fixed value: how long a report waits for its double
 WINDOW_MS = 300
 _WIDTH_MS = 60_000
+# rows in front of a block from which its first entry is worked out
+_RUN_UP_MS = 3_000
 
 
 def params_fingerprint(props: Column) -> Column:
@@ -87,30 +89,83 @@ def _islands(rows: DataFrame) -> DataFrame:
     return carry_last(own, keys, "ms", ["ms", "uid"], "_start", "island")
 
 
+def _replay_rows(rows: Iterator[tuple], pending: deque) -> list[str]:
+    """Uids of the duplicates among ordered rows; ``pending`` is what they find, and then what they leave."""
+    found = []
+    for ms, uid, source, params, shape in rows:
+        while pending and ms - pending[0][0] > WINDOW_MS:
+            pending.popleft()
+        if source == "schema":
+            hit = next((p for p in pending if p[2] == "codegen" and p[4] == shape and shape is not None), None)
+            if hit is not None:
+                pending.remove(hit)
+                found.append(uid)
+        elif any(p[2] != source and p[3] == params for p in pending):
+            pending.clear()
+            found.append(uid)
+        else:
+            pending.append((ms, uid, source, params, shape))
+    return found
+
+
+_PENDING = "array<struct<ms:bigint,uid:string,source:string,params:string,shape:string>>"
+_BURST = "struct<client_id:string,event_name:string,island:bigint>"
+_FIELDS = ["ms", "uid", "source", "params", "shape"]
+
+
 def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Uids of the duplicates of each burst, replayed in order; rows older than the window leave at the front."""
+    """Replays blocks of bursts: what each was entered with, what it leaves, and its duplicates.
+
+    Without an ``entry`` the rows just before the block, replayed from nothing, stand in for it.
+    """
+    entry_type = pa.list_(pa.struct([(f, pa.int64() if f == "ms" else pa.string()) for f in _FIELDS]))
     for batch in batches:
-        rows = batch.column("rows")
-        offsets = rows.offsets.to_pylist()
-        fields = [rows.values.field(i).to_pylist() for i in range(5)]
-        found = []
-        for first, last in zip(offsets[:-1], offsets[1:], strict=True):
-            pending: deque = deque()
-            for i in range(first, last):
-                ms, uid, source, params, shape = (f[i] for f in fields)
-                while pending and ms - pending[0][0] > WINDOW_MS:
-                    pending.popleft()
-                if source == "schema":
-                    hit = next((p for p in pending if p[1] == "codegen" and p[3] == shape and shape is not None), None)
-                    if hit is not None:
-                        pending.remove(hit)
-                        found.append(uid)
-                elif any(p[1] != source and p[2] == params for p in pending):
-                    pending.clear()
-                    found.append(uid)
-                else:
-                    pending.append((ms, source, params, shape, uid))
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["uid"])
+        out: dict[str, list] = {"first_ms": [], "entered": [], "left": [], "doubles": []}
+        for entry, rows in zip(batch.column("entry").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+            own = [tuple(r[f] for f in _FIELDS) for r in rows if not r["_context"]]
+            first_ms = own[0][0]
+            if entry is None:
+                pending: deque = deque()
+                _replay_rows((tuple(r[f] for f in _FIELDS) for r in rows if r["_context"]), pending)
+            else:
+                pending = deque(tuple(p[f] for f in _FIELDS) for p in entry)
+            live = [p for p in pending if first_ms - p[0] <= WINDOW_MS]
+            pending = deque(live)
+            doubles = _replay_rows(iter(own), pending)
+            named = lambda of: [dict(zip(_FIELDS, p, strict=True)) for p in of]
+            for column, value in zip(out.values(), (first_ms, named(live), named(pending), doubles), strict=True):
+                column.append(value)
+        types = [pa.int64(), entry_type, entry_type, pa.list_(pa.string())]
+        columns = [batch.column("burst"), batch.column("block"), *(pa.array(v, t) for v, t in zip(out.values(), types, strict=True))]
+        yield pa.RecordBatch.from_arrays(columns, names=["burst", "block", *out])
+
+
+def _doubles(rows: DataFrame) -> DataFrame:
+    """Uids of the duplicates of bursts, replayed block by block; ``rows`` have their ``island``.
+
+    A block is first entered with what a short run-up leaves.  Where the block before it left
+    something else it is replayed with that, until all blocks agree with the ones before them;
+    as a double empties what waits, run-ups hardly ever differ.
+    """
+    spread = with_context(rows, "ms", _RUN_UP_MS, _WIDTH_MS).withColumn("burst", F.struct("client_id", "event_name", "island").cast(_BURST))
+    blocks = (
+        spread.groupBy("burst", F.col("_bucket").alias("block"))
+        .agg(F.array_sort(F.collect_list(F.struct(*_FIELDS, "_context"))).alias("rows"), F.min("_context").alias("empty"))
+        .filter("NOT empty")
+        .drop("empty")
+    )
+    shape = f"burst {_BURST}, block long, first_ms long, entered {_PENDING}, left {_PENDING}, doubles array<string>"
+    state = settle(blocks.withColumn("entry", F.lit(None).cast(_PENDING)).mapInArrow(_replay, shape))
+    place = ["burst", "block"]
+    while True:
+        before = state.select("burst", (F.col("block") + 1).alias("block"), F.col("left").alias("before"))
+        entry = F.filter("before", lambda p: F.col("first_ms") - p["ms"] <= WINDOW_MS)
+        wrong = state.join(before, place).select(*place, "entered", entry.alias("entry")).filter("entry <> entered")
+        wrong = settle(wrong.select(*place, "entry"))
+        if wrong.isEmpty():
+            return state.select(F.explode("doubles").alias("uid"))
+        again = blocks.join(wrong, place).select("burst", "block", "rows", "entry").mapInArrow(_replay, shape)
+        state = settle(state.join(wrong.select(*place), place, "left_anti").unionByName(again))
 
 
 def find_duplicates(df: DataFrame, schema: str | None = None) -> DataFrame:
@@ -128,14 +183,7 @@ def find_duplicates(df: DataFrame, schema: str | None = None) -> DataFrame:
         involved = involved.unionByName(by_shape).dropDuplicates(["uid"])
     # few rows, used twice from here on
     involved = settle(involved)
-    row = F.struct("ms", "uid", "source", "params", "shape")
-    return (
-        _islands(involved)
-        .groupBy(*keys, "island")
-        .agg(F.array_sort(F.collect_list(row)).alias("rows"))
-        .select("rows")
-        .mapInArrow(_replay, "uid string")
-    )
+    return _doubles(_islands(involved))
 
 
 def dedup_events(df: DataFrame, schema: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators.batching import _entries, assign_batches, retain_latest, sample_batches
+from plumbline.operators import dedup
 from plumbline.operators.dedup import find_duplicates
 from plumbline.operators.envelope import encode_batches, write_bodies
 from plumbline.operators.identity import assign_stream_id, backfill_unknown_stream
@@ -168,3 +169,15 @@ def test_entries_of_a_long_chain(spark):
     got = _entries(df).collect()
     assert [r.entry for r in sorted((r for r in got if r._client == "c"), key=lambda r: r.block)] == want
     assert sorted((r.block, r.entry) for r in got if r._client == "d") == [(0, 0), (1, 3)]
+
+
+@pytest.mark.parametrize("run_up", [3000, 1])
+def test_a_burst_that_never_pauses(spark, monkeypatch, run_up):
+    """Five minutes without a pause, in blocks; with hardly a run-up many blocks are entered wrongly at first."""
+    monkeypatch.setattr(dedup, "_RUN_UP_MS", run_up)
+    draw, ms, rows = random.Random(12), START + 59_000, []
+    for i in range(4000):
+        ms += draw.choice([0, 20, 90, 180])
+        rows.append((f"{i:05d}", "c", ms, draw.choice(["manual", "codegen", "schema"]), draw.choice("1123")))
+    found = {r[0] for r in find_duplicates(events(spark, rows), schema="shape").collect()}
+    assert found == replay_dedup(rows) and len(found) > 500
