@@ -3,10 +3,14 @@
 Two histograms describe a text: its characters by class, and its words by the common words of
 a language (all others share one bin).  References are the same histograms over all texts of a
 language that pass the base rules; a word is common if at least ``COMMON`` of the language's
-words are it, so a list holds at most ``1 / COMMON`` words however large the corpus.  A text
-fails if, for every language, its Jensen-Shannon distance (base 2) exceeds the limit for
-characters or for words.  Texts with fewer words than the guard are not judged by it, as short
-histograms are far from any reference by chance.
+words are it, so a list holds at most ``1 / COMMON`` words however large the corpus.  Every
+language is a reference, however little text it has: its shares are mixed with those of all
+languages as if ``PRIOR`` more words had been seen, so one with a handful of texts is near the mixture.
+A text fails if, for every language, its Jensen-Shannon distance (base 2) exceeds the limit for
+characters or for words.
+
+Short histograms are far from any reference by chance, by an amount that falls with the root of
+their length.  So texts below ``FULL_LENGTH`` words are guarded: their limits are wider by that much.
 """
 
 from __future__ import annotations
@@ -26,12 +30,14 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: share of a language's words from which a word is common
 COMMON = 0.001
-#: words a language needs to serve as a reference
-LANGUAGE_WORDS = 10_000
-#: words a text needs to be judged by its histograms
-CHARACTER_GUARD, WORD_GUARD = 50, 50
-#: distances beyond which a text is unlike a language
-CHARACTER_LIMIT, WORD_LIMIT = 0.30, 0.52
+#: words, and characters for each of them, of all languages that every language is taken to have seen besides its own
+PRIOR, PRIOR_CHARACTERS = 100, 6
+#: languages that serve as references, those with the most words; the others only count for the mixture
+LANGUAGES = 100
+#: distances beyond which a text of ``FULL_LENGTH`` words or more is unlike a language
+CHARACTER_LIMIT, WORD_LIMIT, FULL_LENGTH = 0.30, 0.52, 200
+#: how much wider the limits of shorter texts are, for each 1 / root of their length
+CHARACTER_GUARD, WORD_GUARD = 0.2, 0.2
 
 CLASSES = ("lower", "upper", "digit", "space", "sentence mark", "other mark", "symbol", "letter beyond ASCII", "control")
 
@@ -180,28 +186,42 @@ def reference_counts(docs: DataFrame) -> DataFrame:
 
 
 def fit_references(docs: DataFrame) -> References | None:
-    """References of all languages with enough words; None if there are none."""
-    counts = reference_counts(docs)
-    summed = settle(
-        counts.groupBy("lang", "is_word").agg(F.sum("n").alias("total")).filter(~F.col("is_word") | (F.col("total") >= LANGUAGE_WORDS))
-    )
-    totals = {r.lang: r.total for r in summed.filter("is_word").collect()}  # one row per language
+    """References of the languages; None if no labelled text passes the base rules."""
+    counts = settle(reference_counts(docs))
+    words = counts.filter("is_word")
+    sums = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = {r.lang: r.total for r in sums.orderBy(F.desc("total"), "lang").limit(LANGUAGES).collect()}
     if not totals:
         return None
-    bound = F.create_map(*[F.lit(v) for lang, total in totals.items() for v in (lang, COMMON * total)])
-    # at most 1 / COMMON words and the classes, for each language
-    kept = counts.filter(F.col("lang").isin(list(totals)) & (~F.col("is_word") | (F.col("n") >= F.element_at(bound, F.col("lang"))))).collect()
     languages = sorted(totals)
-    words = np.unique(np.array([r.key for r in kept if r.is_word], np.int64).view(np.uint64))
-    classes, shares = np.zeros((len(languages), len(CLASSES))), np.zeros((len(languages), len(words) + 1))
-    for r in kept:
-        k = languages.index(r.lang)
-        if r.is_word:
-            shares[k, np.searchsorted(words, np.uint64(r.key % (1 << 64)))] = r.n / totals[r.lang]
-        else:
-            classes[k, r.key] = r.n
-    shares[:, -1] = 1 - shares.sum(axis=1)
-    return References(languages, classes / np.maximum(1, classes.sum(axis=1, keepdims=True)), words, shares)
+    everything = sums.agg(F.sum("total")).first()[0]
+    bound = F.create_map(*[F.lit(v) for lang, total in totals.items() for v in (lang, COMMON * total)])
+    # at most 1 / COMMON words and the classes, for each language and for all together
+    own = counts.filter(F.col("lang").isin(languages) & (~F.col("is_word") | (F.col("n") >= F.element_at(bound, F.col("lang"))))).collect()
+    mixed = counts.groupBy("is_word", "key").agg(F.sum("n").alias("n"))
+    mixed = mixed.filter(~F.col("is_word") | (F.col("n") >= COMMON * everything)).collect()
+    keys = np.unique(np.array([r.key for r in [*own, *mixed] if r.is_word], np.int64).view(np.uint64))
+
+    def histogram(rows: list, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """Characters by class, and shares of the words, the last of which is all others."""
+        classes, shares = np.zeros(len(CLASSES)), np.zeros(len(keys) + 1)
+        for r in rows:
+            if r.is_word:
+                shares[np.searchsorted(keys, np.uint64(r.key % (1 << 64)))] = r.n / total
+            else:
+                classes[r.key] = r.n
+        shares[-1] = 1 - shares.sum()
+        return classes, shares
+
+    all_classes, all_shares = histogram(mixed, everything)
+    all_classes = all_classes / max(1, all_classes.sum())
+    classes, shares = np.zeros((len(languages), len(CLASSES))), np.zeros((len(languages), len(keys) + 1))
+    for k, lang in enumerate(languages):
+        seen, share = histogram([r for r in own if r.lang == lang], totals[lang])
+        seen = seen + PRIOR * PRIOR_CHARACTERS * all_classes
+        classes[k] = seen / max(1, seen.sum())
+        shares[k] = (totals[lang] * share + PRIOR * all_shares) / (totals[lang] + PRIOR)
+    return References(languages, classes, keys, shares)
 
 
 def distance(rows: np.ndarray, bins: np.ndarray, p: np.ndarray, q: np.ndarray, n_rows: int) -> np.ndarray:
@@ -234,6 +254,13 @@ def distances(part: Slice, hashes: np.ndarray, refs: References) -> tuple[np.nda
     return by_class, by_word
 
 
+def limits(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Limits of characters and of words for texts of these lengths."""
+    short = np.minimum(np.maximum(n_words, 1), FULL_LENGTH)
+    wider = 1 / np.sqrt(short) - 1 / np.sqrt(FULL_LENGTH)
+    return CHARACTER_LIMIT + CHARACTER_GUARD * wider, WORD_LIMIT + WORD_GUARD * wider
+
+
 def judge(docs: DataFrame, refs: References | None) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     class_distance and word_distance (from the nearest language; null where not judged).
@@ -255,9 +282,8 @@ def judge(docs: DataFrame, refs: References | None) -> DataFrame:
                 near = [np.full(part.rows, np.nan), np.full(part.rows, np.nan)]
                 if refs is not None:
                     by_class, by_word = distances(part, hashes, refs)
-                    by_class[counts["n_words"] < CHARACTER_GUARD] = 0
-                    by_word[counts["n_words"] < WORD_GUARD] = 0
-                    like = (by_class <= CHARACTER_LIMIT) & (by_word <= WORD_LIMIT)
+                    most_class, most_word = limits(counts["n_words"])
+                    like = (by_class <= most_class[:, None]) & (by_word <= most_word[:, None])
                     kept &= like.any(axis=1)
                     near = [by_class.min(axis=1), by_word.min(axis=1)]
                 columns = [batch.column(0).slice(part.first, part.rows), *[pa.array(c.astype(np.int64)) for c in counts.values()]]

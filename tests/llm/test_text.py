@@ -226,6 +226,41 @@ def test_divergence_drops_unlike_texts_and_keeps_clean_ones(documents):
     assert got[3000].base_failed and not got[3000].kept and not got[3001].kept
 
 
+def test_the_guard_decides_for_short_texts(documents):
+    """Texts equally far from every language: the short one stays, the long one goes."""
+    words = [f"w{i}" for i in range(500)]
+    refs = divergence.References(["xx"], np.zeros((1, len(divergence.CLASSES))), np.zeros(0, np.uint64), np.ones((1, 1)))
+    texts = {n: " ".join(words[:n]) for n in (52, 120, 500)}
+    [part] = slices(pa.array(list(texts.values())))
+    refs.classes = (divergence.class_counts(part) / divergence.class_counts(part).sum(axis=1, keepdims=True)).mean(axis=0, keepdims=True)
+    short, middle, long = divergence.limits(np.array([52, 120, 500]))[1]
+    assert long == divergence.WORD_LIMIT < middle < short
+    # one common word that no text has, with the share that puts all texts between the limits
+    refs.words = np.array([1], np.uint64)
+    between = (short + divergence.WORD_LIMIT) / 2
+    low, high = 0.0, 1.0
+    for _ in range(50):
+        share = (low + high) / 2
+        refs.shares = np.array([[share, 1 - share]])
+        far = divergence.distances(part, part.hashes(), refs)[1][0, 0]
+        low, high = (share, high) if far < between else (low, share)
+    got = {r.doc_id: r for r in divergence.judge(documents(list(texts.items())), refs).collect()}
+    assert len({round(r.word_distance, 9) for r in got.values()}) == 1
+    assert got[52].kept and not got[500].kept
+
+
+def test_every_language_is_a_reference(documents):
+    """A dozen texts of a third language are judged by it; with a single one it leans on what all share."""
+    rows, junk, _ = quality_corpus()
+    rng = random.Random(5)
+    few = [(6000 + i, prose(rng, ["il", "che", "non", "per", "una"], 90), "it") for i in range(12)]
+    refs = divergence.fit_references(documents([*rows, *few, (7000, prose(rng, ["az", "egy"], 60), "hu")]))
+    assert refs.languages == ["en", "fr", "hu", "it"]
+    assert np.allclose(refs.shares.sum(axis=1), 1) and np.allclose(refs.classes.sum(axis=1), 1)
+    got = {r.doc_id: r for r in divergence.judge(documents([*rows, *few, *[(*r, None) for r in junk]]), refs).collect()}
+    assert all(got[r[0]].kept for r in [*rows, *few]) and not any(got[r[0]].kept for r in junk)
+
+
 def test_distance_equals_the_definition():
     rng = np.random.default_rng(0)
     p, q = rng.dirichlet(np.ones(6), 3), rng.dirichlet(np.ones(6), 2)
