@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from plumbline.catalog.flow import _SECONDS, _SIZE, _asked, _queue, _reports
 from plumbline.catalog.inputs import prop, same_spec, wire
+from plumbline.operators.batching import assign_batches
 from plumbline.operators.dedup import seen_by_codegen
 from plumbline.operators.envelope import App, encode_batches, write_bodies
 from plumbline.operators.lookup import branch_epochs, spec_asof
 from plumbline.operators.queue import Queue, replay_queue
-from plumbline.plans.inspect import inspect_events, outgoing_requests, production_profile
+from plumbline.plans.inspect import inspect_events, inspect_schemas, outgoing_requests, production_profile
 from plumbline.sources.specs import load_specs
 from plumbline.streaming.gate import LiveSpecs, finish, gate, is_late, read_part, stream_kept
 from plumbline.streaming.lookup import ANSWER_MS, branch_epochs_stream, seen_by_codegen_stream, spec_asof_stream, spec_requests_stream
@@ -122,10 +123,6 @@ def through_gate(spark, folder, rows, fields, ready, name, whole=True, rate=1.0)
 FIELDS = "uid string, client_id string, event_name string, source string, props string, ts timestamp, event_id string, event_hash string"
 
 
-def flushed(requests, size=_SIZE):
-    return requests
-
-
 def test_requests_of_an_inspection(spark, folder):
     rows = _reports(spark, SF).filter("n < 300")
     specs, app = _specs(rows), App()
@@ -149,13 +146,9 @@ def test_requests_of_the_production_profile(spark, folder):
 
 
 def test_requests_of_ready_made_schemas(spark, folder):
-    from plumbline.operators.envelope import encode_batches as encode
-    from plumbline.operators.batching import assign_batches
-    from plumbline.plans.inspect import inspect_schemas
-
     reports, asked, app = _reports(spark, SF).filter("n < 300"), _asked(spark, SF).filter("uid < '0000000300'"), App()
     kept = inspect_schemas(asked, reports, app)
-    table = Counter(r.request for r in encode(assign_batches(kept.select("uid", "client_id", "ts", "body"), _SIZE, _SECONDS)).collect())
+    table = Counter(r.request for r in encode_batches(assign_batches(kept.select("uid", "client_id", "ts", "body"), _SIZE, _SECONDS)).collect())
     mixed = reports.withColumn("schema_json", F.lit(None).cast("string")).unionByName(
         asked.withColumns({"source": F.lit("schema"), "props": F.lit(None).cast("string")}), allowMissingColumns=True
     )
