@@ -108,7 +108,7 @@ def _specs(rows):
 def through_gate(spark, folder, rows, fields, ready, name, whole=True, rate=1.0):
     """Feed rows in parts; after each the gate and the requests run. Gives the written requests."""
     path, at, out, gate_cp, cp = (folder(x) for x in ("in", "gate", "out", "cp", "cp"))
-    fed = parts(rows.select(*[c.split()[0] for c in fields.split(", ")]), 3)
+    fed = parts(rows.select(*[c.split()[0] for c in fields.split(", ")]), 2)
     fed.append(closed(fed[-1], uid="last", client_id="nobody"))
     for part in fed:
         feed(spark, part, fields, path)
