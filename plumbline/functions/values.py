@@ -19,8 +19,8 @@ MEMBERS = "array<struct<name:string,type:string,v:variant,raw:string>>"
 # fixed values: an object key that JavaScript treats as an array index and lists first
 _INDEX_KEY = "r'^(0|[1-9][0-9]{0,9})$'"
 _INDEX_LIMIT = 4294967295
-# such a name, or one that may be written with escapes, in the text of an object
-_INDEX_NAME = r"""r'"([0-9]{1,10}|[^"]*\\u[^"]*)"\s*:'"""
+# such a name in the text of an object
+_INDEX_NAME = r"""r'"[0-9]{1,10}"\s*:'"""
 
 _names = count()
 
@@ -140,7 +140,8 @@ def _js_order(entries: str, raw: str) -> str:
         ordered = f"""array_sort({keep(e, lambda x, _: index_like(x))},
             ({a}, {b}) -> CASE WHEN {pa} < {pb} THEN -1 WHEN {pa} > {pb} THEN 1 ELSE 0 END)"""
         rest = keep(e, lambda x, _: f"NOT {index_like(x)}")
-        return f"CASE WHEN {raw} RLIKE {_INDEX_NAME} AND {some(e, index_like)} THEN concat({ordered}, {rest}) ELSE {e} END"
+        maybe = rf"({raw} RLIKE {_INDEX_NAME} OR contains({raw}, r'\u'))"  # an escape may hide one
+        return f"CASE WHEN {maybe} AND {some(e, index_like)} THEN concat({ordered}, {rest}) ELSE {e} END"
 
     return let(let(entries, unique), indexed_first)
 
