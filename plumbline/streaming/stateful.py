@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import sys
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -33,62 +34,119 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WATERMARK = "10 minutes"
 
-_MINUTE = T.StructType([T.StructField("minute", T.LongType())])
+_PLACE = T.StructType([T.StructField("minute", T.LongType()), T.StructField("part", T.LongType())])
 _MINUTE_MS = 60_000
 _ROWS = T.StructType([T.StructField("json", T.StringType())])
 _MEMORY = T.StructType([T.StructField("json", T.StringType())])
+#: rows that are held as one value where they fill more than a minute, and rows that are replayed at once
+_TOGETHER, _PORTION = 500, 5_000
+#: a longer value is not appended to
+_LONG = 1 << 20
 
 
 class _InOrder(StatefulProcessor):
     """Holds rows until the watermark passes them, then hands them to ``replay`` in order.
 
-    Rows wait in a map by minute of event time, so a timer reads the minutes that are due, rewrites
-    the one that has only begun to be, and leaves the others alone.
+    Rows wait in chunks under the minute of their first one: a chunk ends at the first full minute
+    that leaves it with ``_TOGETHER`` rows, so sparse rows of many minutes are one value and a dense
+    minute is one or several.  A key has a single timer, for the first row it holds.  When that is due,
+    chunks are read in order and replayed in portions; a chunk that has only begun to be due is held
+    anew, and the others are left alone.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", _MINUTE, _ROWS)
+        self.waiting = handle.getMapState("waiting", _PLACE, _ROWS)
         self.memory = handle.getValueState("memory", _MEMORY)
 
-    def _held(self, minute: int) -> list:
-        found = self.waiting.getValue((minute,))
-        return json.loads(found[0]) if found is not None else []
+    def _append(self, minute: int, rows: list) -> None:
+        part = 0
+        while self.waiting.containsKey((minute, part + 1)):
+            part += 1
+        found = self.waiting.getValue((minute, part))
+        text = json.dumps(rows)
+        if found is not None and len(found[0]) < _LONG:
+            text = f"{found[0][:-1]},{text[1:]}"
+        elif found is not None:
+            part += 1
+        self.waiting.updateValue((minute, part), (text,))
+
+    def _hold(self, rows: list) -> None:
+        """Add rows, which are in order of time, to what waits."""
+        chunk: list = []
+        for row in rows:
+            if len(chunk) >= _TOGETHER and row[0] // _MINUTE_MS != chunk[-1][0] // _MINUTE_MS:
+                self._append(chunk[0][0] // _MINUTE_MS, chunk)
+                chunk = []
+            chunk.append(row)
+        if chunk:
+            self._append(chunk[0][0] // _MINUTE_MS, chunk)
+
+    def _wake(self, ms: int, fired: int | None = None) -> None:
+        """Have a timer at ``ms`` or before, and none after it; those up to ``fired`` are about to go."""
+        timers = [t for t in self.handle.listTimers() if fired is None or t > fired]
+        if min(timers, default=ms + 1) > ms:
+            self.handle.registerTimer(ms)
+            for later in timers:
+                self.handle.deleteTimer(later)
 
     def handleInputRows(self, key, rows, timerValues):
-        new: dict[int, list] = {}
+        first = None
         for pdf in rows:
-            for m, u, d in zip(pdf["ms"], pdf["uid"], pdf["data"]):
-                new.setdefault(int(m) // _MINUTE_MS, []).append((int(m), u, d))
-        for minute, of in new.items():
-            self.waiting.updateValue((minute,), (json.dumps(self._held(minute) + of),))
-            self.handle.registerTimer(min(m for m, _, _ in of) + 1)
+            new = sorted(((int(m), u, d) for m, u, d in zip(pdf["ms"], pdf["uid"], pdf["data"])), key=lambda r: r[0])
+            if new:
+                self._hold(new)
+                first = new[0][0] if first is None else min(first, new[0][0])
+        if first is not None:
+            self._wake(first + 1)
         yield pd.DataFrame([], columns=self.columns, dtype=object)
 
+    def _due(self, passed: int):
+        """Rows before ``passed`` in order, in portions; what else was read is held anew.
+
+        No later chunk has a row before its minute, so rows before the next minute are complete.
+        """
+        places = sorted(tuple(k) for k in self.waiting.keys())
+        begun = [p for p in places if p[0] * _MINUTE_MS < passed]
+        held: list = []
+        rest: list = []
+        for i, place in enumerate(begun):
+            for row in json.loads(self.waiting.getValue(place)[0]):
+                (held if row[0] < passed else rest).append(tuple(row))
+            self.waiting.removeKey(place)
+            until = begun[i + 1][0] * _MINUTE_MS if i + 1 < len(begun) else passed
+            if len(held) >= _PORTION or i + 1 == len(begun):
+                held.sort(key=lambda r: (r[0], r[1] or ""))
+                ready = bisect_left(held, until, key=lambda r: r[0])
+                if ready:
+                    yield held[:ready]
+                    held = held[ready:]
+        rest.sort(key=lambda r: r[0])
+        self._hold(rest)
+        starts = [r[0] for r in rest[:1]] + [p[0] * _MINUTE_MS for p in places[len(begun) :][:1]]
+        self.next_ms = min(starts, default=None)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs()
-        due = []
-        for minute in sorted(int(k[0]) for k in self.waiting.keys()):
-            if minute * _MINUTE_MS >= passed:
-                break
-            held = self._held(minute)
-            rest = [r for r in held if r[0] >= passed]
-            due += [r for r in held if r[0] < passed]
-            if not rest:
-                self.waiting.removeKey((minute,))
-            elif len(rest) < len(held):
-                self.waiting.updateValue((minute,), (json.dumps(rest),))
-                self.handle.registerTimer(min(r[0] for r in rest) + 1)
         memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
-        out, memory = self.replay(key, sorted(map(tuple, due), key=lambda r: (r[0], r[1] or "")), memory)
-        end = self.end_of(memory)
-        if end is not None and end < passed:
-            self.memory.clear()
-        else:
-            self.memory.update((json.dumps(memory),))
-            if end is not None:
-                self.handle.registerTimer(end + 1)
-        yield pd.DataFrame(out, columns=self.columns, dtype=object)
+        replayed = False
+        for rows in self._due(passed):
+            out, memory = self.replay(key, rows, memory)
+            replayed = True
+            if out:
+                yield pd.DataFrame(out, columns=self.columns, dtype=object)
+        wake = [] if self.next_ms is None else [self.next_ms + 1]
+        if memory is not None:
+            end = self.end_of(memory)
+            if end is not None and end < passed:
+                self.memory.clear()
+            else:
+                if replayed:
+                    self.memory.update((json.dumps(memory),))
+                if end is not None:
+                    wake.append(end + 1)
+        if wake:
+            self._wake(min(wake), passed)
 
     def end_of(self, memory) -> int | None:
         """Event time from which ``memory`` changes nothing any more; None if it always counts."""
