@@ -11,14 +11,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.session import configure
+from plumbline.sources.commit import stored_bytes
+
+
+#: bytes of a stored table that one task reads: some 100,000 events
+_TASK_BYTES, _MOST_TASKS = 2 << 20, 10_000
+
+
+def tasks_for(spark: SparkSession, path: str, each: int = _TASK_BYTES) -> int:
+    """How many tasks share the work on a stored table: one for each core, and more as it grows."""
+    return max(spark.sparkContext.defaultParallelism, min(_MOST_TASKS, -(-stored_bytes(spark, path) // each)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; one that is stored in fewer pieces than there are cores is spread over them."""
+    """A test table, spread over the cores and over more tasks as it grows.
+
+    Splits of a file are no measure: a row group goes to one of them whole, so some are empty
+    and others hold a million rows, and their number stays that of the cores while the table grows.
+    """
     configure(spark)
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.parquet(path).repartition(tasks_for(spark, path))
 
 
 def joined(ids: str):
@@ -138,8 +151,11 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag"),
         F.lit('"}'),
     )
+    # a number that stays: by their bytes, tasks would be put together to hardly more than there are cores
+    tasks = tasks_for(spark, f"{sf_dir}/lineitem.parquet", 4 * _TASK_BYTES)
     lines = (
         table(spark, sf_dir, "lineitem")
+        .repartition(tasks, "l_orderkey")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.array_sort(F.collect_list(F.struct(*_ITEM_ORDER, item.alias("item")))).alias("lines"))
     )

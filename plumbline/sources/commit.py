@@ -22,6 +22,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Length of a file, or of all files of a folder."""
+    files, place = _hadoop(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
 def name_staged(spark: SparkSession, staged: str, target: str) -> None:
     """Give a staged folder its name; one that was named before stays as it is."""
     files, source = _hadoop(spark, staged)

@@ -115,7 +115,7 @@ class _InOrder(StatefulProcessor):
                 (held if row[0] < passed else rest).append(tuple(row))
             self.waiting.removeKey(place)
             until = begun[i + 1][0] * _MINUTE_MS if i + 1 < len(begun) else passed
-            if len(held) >= _PORTION or i + 1 == len(begun):
+            if len(held) >= _PORTION and until > place[0] * _MINUTE_MS or i + 1 == len(begun):
                 held.sort(key=lambda r: (r[0], r[1] or ""))
                 ready = bisect_left(held, until, key=lambda r: r[0])
                 if ready:
