@@ -42,6 +42,8 @@ _MEMORY = T.StructType([T.StructField("json", T.StringType())])
 _TOGETHER, _PORTION = 500, 5_000
 #: a longer value is not appended to
 _LONG = 1 << 20
+#: characters of arriving rows that are put in order together, and what a row adds to those of its text
+_SORTED, _ROW = 1 << 25, 200
 
 
 class _InOrder(StatefulProcessor):
@@ -49,9 +51,11 @@ class _InOrder(StatefulProcessor):
 
     Rows wait in chunks under the minute of their first one: a chunk ends at the first full minute
     that leaves it with ``_TOGETHER`` rows, so sparse rows of many minutes are one value and a dense
-    minute is one or several.  A key has a single timer, for the first row it holds.  When that is due,
-    chunks are read in order and replayed in portions; a chunk that has only begun to be due is held
-    anew, and the others are left alone.
+    minute is one or several.  Arriving rows come in any order, so many of them are sorted together:
+    the time that a chunk takes up, and with it how many are open at once, would grow with the input
+    otherwise.  A key has a single timer, for the first row it holds.  When that is due, chunks are
+    read in order and replayed in portions; a chunk that has only begun to be due is held anew, and
+    the others are left alone.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -90,13 +94,26 @@ class _InOrder(StatefulProcessor):
             for later in timers:
                 self.handle.deleteTimer(later)
 
+    def _sorted(self, rows):
+        """Arriving rows in lists, each in order of time; a list has rows of many batches."""
+        new, size = [], 0
+        for pdf in rows:
+            for m, u, d in zip(pdf["ms"], pdf["uid"], pdf["data"]):
+                new.append((int(m), u, d))
+                size += len(d or "") + _ROW
+                if size >= _SORTED:
+                    new.sort(key=lambda r: r[0])
+                    yield new
+                    new, size = [], 0
+        if new:
+            new.sort(key=lambda r: r[0])
+            yield new
+
     def handleInputRows(self, key, rows, timerValues):
         first = None
-        for pdf in rows:
-            new = sorted(((int(m), u, d) for m, u, d in zip(pdf["ms"], pdf["uid"], pdf["data"])), key=lambda r: r[0])
-            if new:
-                self._hold(new)
-                first = new[0][0] if first is None else min(first, new[0][0])
+        for new in self._sorted(rows):
+            self._hold(new)
+            first = new[0][0] if first is None else min(first, new[0][0])
         if first is not None:
             self._wake(first + 1)
         yield pd.DataFrame([], columns=self.columns, dtype=object)
@@ -110,17 +127,19 @@ class _InOrder(StatefulProcessor):
         begun = [p for p in places if p[0] * _MINUTE_MS < passed]
         held: list = []
         rest: list = []
+        left = 0  # rows held that were sorted before: as many others come first, so that no row is sorted often
         for i, place in enumerate(begun):
             for row in json.loads(self.waiting.getValue(place)[0]):
                 (held if row[0] < passed else rest).append(tuple(row))
             self.waiting.removeKey(place)
             until = begun[i + 1][0] * _MINUTE_MS if i + 1 < len(begun) else passed
-            if len(held) >= _PORTION and until > place[0] * _MINUTE_MS or i + 1 == len(begun):
+            if len(held) >= max(_PORTION, 2 * left) and until > place[0] * _MINUTE_MS or i + 1 == len(begun):
                 held.sort(key=lambda r: (r[0], r[1] or ""))
                 ready = bisect_left(held, until, key=lambda r: r[0])
                 if ready:
                     yield held[:ready]
                     held = held[ready:]
+                left = len(held)
         rest.sort(key=lambda r: r[0])
         self._hold(rest)
         starts = [r[0] for r in rest[:1]] + [p[0] * _MINUTE_MS for p in places[len(begun) :][:1]]

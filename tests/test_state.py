@@ -1,5 +1,6 @@
 """Rows that wait in a state: every one comes out once, in order, when the watermark passes it, for few accesses and timers."""
 
+import json
 import random
 
 import pandas as pd
@@ -138,3 +139,34 @@ def test_a_batch_lasts_over_portions():
     micro_batch(of, handle, rows, 0)
     got = micro_batch(of, handle, [], 1 << 50)
     assert [g for _, _, g in got] == [i % 7 == 6 for i in range(20_000)]
+
+
+def test_rows_of_many_batches_are_put_in_order_together():
+    """Each Arrow batch had chunks over all of the time, and what was open at once was sorted for every minute."""
+
+    class Counted(Echo):
+        lists = 0
+
+        def replay(self, key, rows, memory):
+            self.lists += 1
+            return super().replay(key, rows, memory)
+
+    handle, of = Handle(), Counted()
+    of.init(handle)
+    rows = [(i * 1_000, f"{i:06d}", "d") for i in range(60_000)]
+    mixed = random.Random(5).sample(rows, len(rows))
+    assert micro_batch(of, handle, mixed, 0, cut=500) == []
+    assert len(handle.map) >= 100
+    spans = [(json.loads(v[0])[-1][0] - json.loads(v[0])[0][0]) for v in handle.map.values()]
+    assert max(spans) <= 1_000 * 1_000  # of 60,000,000 ms
+    assert micro_batch(of, handle, [], 1 << 50) == rows
+    assert of.lists <= 2 * 60_000 // 5_000
+
+
+def test_rows_are_sorted_in_portions(monkeypatch):
+    monkeypatch.setattr("plumbline.streaming.stateful._SORTED", 100_000)
+    handle, of = Handle(), Echo()
+    of.init(handle)
+    rows = [(i * 100, f"{i:06d}", "d") for i in range(30_000)]
+    assert micro_batch(of, handle, random.Random(6).sample(rows, len(rows)), 0) == []
+    assert micro_batch(of, handle, [], 1 << 50) == rows
