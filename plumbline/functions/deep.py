@@ -1,4 +1,4 @@
-"""Arrow helpers for the rare JSON values the column expressions do not finish.
+"""Arrow helpers for the JSON values the column expressions do not finish: those below the opened levels.
 
 Each takes NULL for a row that needs no help and hands NULL back.
 """
@@ -8,8 +8,10 @@ from __future__ import annotations
 import json
 import re
 import sys
+from json.encoder import encode_basestring
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,7 +23,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 OPEN, CLOSE = "\u0001", "\u0002"
 # around a value that is still to be sealed
 VALUE, END = "\u0003", "\u0004"
-_INDEX_KEY = re.compile(r"^(0|[1-9][0-9]{0,9})$")
+_INDEX_KEY = re.compile(r"^(0|[1-9][0-9]{0,9})\Z")
+#: escapes of a JSON string: a backslash, or a control character
+_ESCAPE = re.compile(r"(\\\\)|\\u00([0-9a-f]{2})")
+_NAMES = {type(None): "null", bool: "boolean", str: "string", list: "list", dict: "object"}
 _FENCE = re.compile(f"{OPEN}(.*?){CLOSE}", re.S)
 
 DEEP_NODE = T.ArrayType(
@@ -55,8 +60,8 @@ def finish_documents(fenced: Column, marked: bool = False) -> Column:
 
 
 def nodes_in(fenced: Column) -> Column:
-    """Property nodes inside the text of a fenced value."""
-    return F.pandas_udf(_nodes, DEEP_NODE)(column_argument(fenced))
+    """The fenced value itself, as a node without path and name, and the property nodes inside its text."""
+    return F.arrow_udf(_nodes, DEEP_NODE)(column_argument(fenced))
 
 
 def declared_below(parents: Column) -> Column:
@@ -89,17 +94,22 @@ def number_text(value: float) -> str:
 
 
 def type_name(value) -> str:
-    if value is None:
-        return "null"
-    if isinstance(value, bool):
-        return "boolean"
-    if isinstance(value, str):
-        return "string"
-    if isinstance(value, int):
-        return "int"
-    if isinstance(value, float):
-        return "float" if "." in number_text(value) else "int"
-    return "list" if isinstance(value, list) else "object"
+    kind = type(value)
+    if kind is int:
+        # an integer that prints with an exponent has a point where it has several digits
+        return "int" if abs(value) < 10**21 else type_name(_double(value))
+    if kind is float:
+        if 1e-6 <= abs(value) < 1e21:
+            return "int" if value.is_integer() else "float"
+        return "float" if "." in number_text(value) or value - value != 0 else "int"
+    return _NAMES[kind]
+
+
+def _double(value: int) -> float:
+    try:
+        return float(value)
+    except OverflowError:
+        return float("inf") if value > 0 else float("-inf")
 
 
 def _kept(values: list) -> list:
@@ -115,21 +125,35 @@ def _kept(values: list) -> list:
 
 def _members(value: dict) -> list:
     """Members with index-like names first, in numeric order."""
+    if not any("0" <= k[:1] <= "9" for k in value):
+        return list(value.items())
     index = lambda k: _INDEX_KEY.match(k) and int(k) < 4294967295
     first = sorted((k for k in value if index(k)), key=int)
     return [(k, value[k]) for k in first] + [(k, v) for k, v in value.items() if not index(k)]
 
 
+def _quoted(text: str) -> str:
+    """JSON string literal, the same as that of the column expressions."""
+    out = encode_basestring(text)
+    if "\\u00" in out:
+        out = _ESCAPE.sub(lambda m: m[1] or f"\\u00{m[2].upper()}", out)
+    return out
+
+
 def _children_text(value, marked: bool) -> str:
     if isinstance(value, dict):
-        return "[" + ",".join(_member_text(k, v, marked) for k, v in _members(value)) + "]"
+        return "[" + ",".join([_member_text(k, v, marked) for k, v in _members(value)]) + "]"
     if isinstance(value, list):
-        return "[" + ",".join(_children_text(v, marked) for v in _kept(value)) + "]"
+        return "[" + ",".join([_children_text(v, marked) for v in _kept(value)]) + "]"
     return "[]" if value is None else f'"{type_name(value)}"'
 
 
 def _scalar_text(value) -> str:
-    return number_text(value) if isinstance(value, float) else json.dumps(value, ensure_ascii=False)
+    if type(value) is int and not -(1 << 63) <= value < 1 << 63:
+        value = _double(value)
+    if isinstance(value, float):
+        return number_text(value)
+    return _quoted(value) if isinstance(value, str) else json.dumps(value)
 
 
 def _member_text(name: str, value, marked: bool) -> str:
@@ -137,7 +161,7 @@ def _member_text(name: str, value, marked: bool) -> str:
         more = f',"children":{_children_text(value, marked)}'
     else:
         more = f',"encryptedPropertyValue":"{VALUE}{_scalar_text(value)}{END}"' if marked else ""
-    return f'{{"propertyName":{json.dumps(name, ensure_ascii=False)},"propertyType":"{type_name(value)}"{more}}}'
+    return f'{{"propertyName":{_quoted(name)},"propertyType":"{type_name(value)}"{more}}}'
 
 
 def _finished(fenced: pd.Series, marked: bool) -> pd.Series:
@@ -196,25 +220,60 @@ def _declared(parents: pd.Series) -> pd.Series:
     return parents.map(_declared_in, na_action="ignore")
 
 
-def _scalar_types(value) -> list | None:
-    if not isinstance(value, list):
-        return None
-    names = (type_name(v) for v in _kept(value))
-    return [n for n in names if n not in ("null", "list", "object")]
-
-
-def _walk(value, path: list, out: list) -> list:
-    named = isinstance(value, dict)
-    steps = _members(value) if named else ((str(i), v) for i, v in enumerate(_kept(value)))
-    for i, (step, child) in enumerate(steps):
-        here = path + [step]
-        if named:
-            types = _scalar_types(child)
-            out.append({"path": here, "name": step, "type": type_name(child), "ord": i, "list_types": types})
-        if isinstance(child, (dict, list)):
-            _walk(child, here, out)
-    return out
+class _Nodes:
+    """Property nodes of many values, as columns; lists are cut by their ends."""
+
+    def __init__(self) -> None:
+        self.name: list = []
+        self.type: list = []
+        self.ord: list = []
+        self.path: list = []
+        self.path_ends = [0]
+        self.types: list = []
+        self.types_ends = [0]
+        self.no_types: list = []
+
+    def add(self, path: list, name: str | None, value, i: int) -> None:
+        kind = type_name(value)
+        self.name.append(name)
+        self.type.append(kind)
+        self.ord.append(i)
+        self.path += path
+        self.path_ends.append(len(self.path))
+        if kind == "list":
+            self.types += [n for n in map(type_name, _kept(value)) if n not in ("null", "list", "object")]
+        self.types_ends.append(len(self.types))
+        self.no_types.append(kind != "list")
+
+    def walk(self, value, path: list) -> None:
+        named = isinstance(value, dict)
+        steps = _members(value) if named else ((str(i), v) for i, v in enumerate(_kept(value)))
+        for i, (step, child) in enumerate(steps):
+            here = [*path, step]
+            if named:
+                self.add(here, step, child, i)
+            if isinstance(child, (dict, list)):
+                self.walk(child, here)
+
+    def arrays(self) -> list:
+        of = lambda ends, values, mask=None: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.string()), mask=mask)
+        return [
+            of(self.path_ends, self.path),
+            pa.array(self.name, pa.string()),
+            pa.array(self.type, pa.string()),
+            pa.array(self.ord, pa.int32()),
+            of(self.types_ends, self.types, pa.array(self.no_types, pa.bool_())),
+        ]
 
 
-def _nodes(fenced: pd.Series) -> pd.Series:
-    return fenced.map(lambda text: _walk(json.loads(text), [], []), na_action="ignore")
+def _nodes(fenced: pa.Array) -> pa.Array:
+    out, ends, missing = _Nodes(), [0], []
+    for text in fenced.to_pylist():
+        missing.append(text is None)
+        if text is not None:
+            value = json.loads(text)
+            out.add([], None, value, 0)
+            out.walk(value, [])
+        ends.append(len(out.name))
+    structs = pa.StructArray.from_arrays(out.arrays(), names=["path", "name", "type", "ord", "list_types"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs, mask=pa.array(missing, pa.bool_()))

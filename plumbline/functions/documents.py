@@ -32,7 +32,8 @@ from plumbline.functions.values import (
     some,
 )
 
-DEFAULT_DEPTH = 5
+#: members and their children, which validation results name; helpers finish what is below
+DEFAULT_DEPTH = 2
 #: column that holds the key of sealed values while a document is put together
 SEAL_KEY = "_seal_key"
 

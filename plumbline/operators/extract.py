@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.deep import nodes_in
 from plumbline.functions.documents import (
-    DEFAULT_DEPTH,
     SEAL_KEY,
     add_schema_document,
     drop_levels,
-    is_scalar,
     open_levels,
     schema_nodes,
 )
 
 from plumbline.functions.planning import unnest
-from plumbline.functions.values import each, items, keep, let
+from plumbline.functions.values import each
+
+#: levels opened by column expressions where nothing is validated; each further one costs more than the helper
+OPENED = 1
 
 
 def property_types(df: DataFrame, keys: list[str], raw: str = "props") -> DataFrame:
@@ -27,7 +28,7 @@ def property_types(df: DataFrame, keys: list[str], raw: str = "props") -> DataFr
     return rows.select(*keys, "ord", "m.name", "m.type")
 
 
-def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth: int = DEFAULT_DEPTH) -> DataFrame:
+def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth: int = OPENED) -> DataFrame:
     """All properties at every level as rows (B2), lists with their scalar types.
 
     Values deeper than ``max_depth`` levels are followed by an Arrow helper, so
@@ -36,12 +37,12 @@ def extract_schema(df: DataFrame, keys: list[str], raw: str = "props", max_depth
     nodes = unnest(open_levels(df, raw, max_depth=max_depth), keys, schema_nodes(max_depth=max_depth), "n")
     deep = nodes.withColumn("_deep", nodes_in(F.col("n.fenced")))
     below = each(
-        "_deep",
+        "slice(_deep, 2, size(_deep))",
         lambda d, _: f"named_struct('path', concat(n.path, {d}.path), 'name', {d}.name, 'type', {d}.type, "
         f"'ord', {d}.ord, 'list_types', {d}.list_types)",
     )
-    scalars = let(keep(items("n.fenced"), lambda k, _: is_scalar(k)), lambda s: f"array_distinct({s}.type)")
-    types = f"coalesce(n.list_types, CASE WHEN n.type = 'list' THEN {scalars} END)"
+    # the helper gives the value itself first
+    types = "coalesce(n.list_types, get(_deep, 0).list_types)"
     own = f"named_struct('path', n.path, 'name', n.name, 'type', n.type, 'ord', n.ord, 'list_types', {types})"
     rows = F.expr(f"CASE WHEN _deep IS NULL THEN array({own}) ELSE concat(array({own}), {below}) END")
     return (
@@ -55,8 +56,8 @@ def extract_document(
     df: DataFrame, raw: str = "props", out: str = "document", seal: Sealer | None = None
 ) -> DataFrame:
     """Nested schema document per event."""
-    opened = open_levels(df, raw)
-    return drop_levels(add_schema_document(opened, out, seal=seal))
+    opened = open_levels(df, raw, max_depth=OPENED)
+    return drop_levels(add_schema_document(opened, out, seal=seal, max_depth=OPENED))
 
 
 class Sealer:

@@ -155,3 +155,37 @@ def test_the_plan_does_not_show_the_key(spark):
     assert df.columns == ["props", "document"] and df.count() == 1
     shown = df._jdf.queryExecution().toString() + repr(df.schema)
     assert "aes_encrypt" in shown and key not in shown and key.encode().hex() not in shown.lower()
+
+
+ODD = [
+    '{"a":{"n":[123456789012345678901234,1000000000000000000000,9223372036854775808,-1e400,1e25,2.5e-7,1.0,0.1,-0.0]}}',
+    '{"a":{"10":1,"9":2,"x":3,"01":4,"4294967295":5},"b":[{"2":true,"1":null,"k":[[],{}]}]}',
+    '{"a":{"tab\\\\there":{"\\\\u001f\\\\u0001":"\\\\u001e\\\\\\\\u001f"},"q\\\\"":"\\\\u00e9\\\\ud83d\\\\ude00"}}'.replace("\\\\", "\\"),
+    '{"a":[1,"x",null,1.5,true,2,"y",null,[1,[2,{"z":[]}]],{"w":{}}],"b":[],"c":{}}',
+    '{"a":{"d":1,"e":2,"d":"again"},"n":{"i":12345678901234567890,"j":{"k":123456789012345678901234}}}',
+]
+
+
+def test_helper_and_opened_levels_agree(spark):
+    """The helper took every integer for one, also those that print with an exponent."""
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(ODD)], "id int, props string")
+    for seal in (None, lambda text: f"base64(encode({text}, 'UTF-8'))"):
+        texts = [
+            [r.document for r in add_schema_document(open_levels(df, "props", max_depth=d), "document", seal=seal, max_depth=d).orderBy("id").collect()]
+            for d in (1, 2, 6)
+        ]
+        assert texts[0] == texts[2]
+        assert texts[1] == texts[2]
+    rows = [extract_schema(df, ["id"], max_depth=d).collect() for d in (1, 2, 6)]
+    found = [sorted((r.id, tuple(r.path), r.depth, r.ord, r.name, r.type, tuple(r.list_types or ("-",))) for r in of) for of in rows]
+    assert found[0] == found[2]
+    assert found[1] == found[2]
+
+
+def test_extraction_opens_one_level(spark, capsys):
+    """Five levels of lambdas cost more than all else of an extraction."""
+    df = spark.createDataFrame([(1, '{"a":{"b":{"c":[{"d":1}]}}}')], "id int, props string")
+    for found in (extract_document(df), extract_schema(df, ["id"])):
+        found.explain()
+        assert capsys.readouterr().out.count("_level1") == 0
+    assert ["/".join(r.path) for r in extract_schema(df, ["id"]).collect()] == ["a", "a/b", "a/b/c", "a/b/c/0/d"]
