@@ -117,11 +117,13 @@ def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replays blocks of bursts: what each was entered with, what it leaves, and its duplicates.
 
     Without an ``entry`` the rows just before the block, replayed from nothing, stand in for it.
+    Blocks become Python objects one at a time: those of a batch would take many times its bytes.
     """
     entry_type = pa.list_(pa.struct([(f, pa.int64() if f == "ms" else pa.string()) for f in _FIELDS]))
     for batch in batches:
         out: dict[str, list] = {"first_ms": [], "entered": [], "left": [], "doubles": []}
-        for entry, rows in zip(batch.column("entry").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+        for entry, rows in zip(batch.column("entry"), batch.column("rows"), strict=True):
+            entry, rows = entry.as_py(), rows.as_py()
             own = [tuple(r[f] for f in _FIELDS) for r in rows if not r["_context"]]
             first_ms = own[0][0]
             if entry is None:
