@@ -14,13 +14,18 @@ from plumbline.session import configure
 from plumbline.sources.commit import stored_bytes
 
 
-#: bytes of a stored table that one task reads: some 100,000 events
-_TASK_BYTES, _MOST_TASKS = 2 << 20, 10_000
+#: bytes and rows of a stored table that one task reads, at most
+_TASK_BYTES, _TASK_ROWS, _MOST_TASKS = 2 << 20, 100_000, 10_000
 
 
-def tasks_for(spark: SparkSession, path: str, each: int = _TASK_BYTES) -> int:
-    """How many tasks share the work on a stored table: one for each core, and more as it grows."""
-    return max(spark.sparkContext.defaultParallelism, min(_MOST_TASKS, -(-stored_bytes(spark, path) // each)))
+def tasks_for(spark: SparkSession, path: str, each: int = _TASK_BYTES, rows: int = _TASK_ROWS) -> int:
+    """How many tasks share the work on a stored table: one for each core, and more as it grows.
+
+    Stored bytes alone are no measure: columns of few values shrink so much that a task's share of
+    the bytes holds several times the rows.  Rows are counted from the footers of the files.
+    """
+    wanted = max(-(-stored_bytes(spark, path) // each), -(-spark.read.parquet(path).count() // rows))
+    return max(spark.sparkContext.defaultParallelism, min(_MOST_TASKS, wanted))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -151,8 +156,9 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag"),
         F.lit('"}'),
     )
-    # a number that stays: by their bytes, tasks would be put together to hardly more than there are cores
-    tasks = tasks_for(spark, f"{sf_dir}/lineitem.parquet", 4 * _TASK_BYTES)
+    # a number that stays: by their bytes, tasks would be put together to hardly more than there are cores,
+    # and stored bytes, from which the planner guesses, would have it send the lines of all orders to every task
+    tasks = tasks_for(spark, f"{sf_dir}/lineitem.parquet", 4 * _TASK_BYTES, 2 * _TASK_ROWS)
     lines = (
         table(spark, sf_dir, "lineitem")
         .repartition(tasks, "l_orderkey")
@@ -174,7 +180,8 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "orders")
-        .join(lines, "o_orderkey", "left")
+        .repartition(tasks, "o_orderkey")
+        .join(lines.hint("merge"), "o_orderkey", "left")
         .select(
             F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("uid"),
             F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("client_id"),
