@@ -40,6 +40,14 @@ def let(value: str, body: Callable[[str], str]) -> str:
     return f"element_at(transform(array({value}), {x} -> {body(x)}), 1)"
 
 
+def when(*cases: str) -> str:
+    """``CASE`` of tests and values, and a last value, as nested ``if``; a ``CASE`` counts and searches its list of branches for each value."""
+    out = cases[-1]
+    for test, value in reversed(list(zip(cases[:-1:2], cases[1::2], strict=True))):
+        out = f"if({test}, {value}, {out})"
+    return out
+
+
 def each(array: str, body: Callable[[str, str], str]) -> str:
     """Map ``body(element, index)``."""
     x, i = fresh(), fresh("i")
@@ -69,9 +77,12 @@ def is_nested(node: str) -> str:
 
 def number_type(d: str) -> str:
     """``int`` when the printed JavaScript number has no decimal point, else ``float``."""
-    return f"""CASE WHEN {d} % 1 = 0 AND abs({d}) < 1e21 THEN 'int'
-        WHEN abs({d}) >= 1e-6 AND abs({d}) < 1e21 THEN 'float'
-        WHEN CAST({d} AS string) RLIKE r'^-?[0-9]\\.0E' THEN 'int' ELSE 'float' END"""
+    return when(
+        f"{d} % 1 = 0 AND abs({d}) < 1e21", "'int'",
+        f"abs({d}) >= 1e-6 AND abs({d}) < 1e21", "'float'",
+        rf"CAST({d} AS string) RLIKE r'^-?[0-9]\.0E'", "'int'",
+        "'float'",
+    )
 
 
 def number_text(d: str) -> str:
@@ -93,11 +104,16 @@ def property_type(v: str) -> str:
     """Observed type name of a variant value (B1)."""
     return let(
         f"schema_of_variant({v})",
-        lambda s: f"""CASE WHEN {s} = 'BIGINT' THEN 'int' WHEN {s} = 'STRING' THEN 'string'
-            WHEN {s} = 'BOOLEAN' THEN 'boolean' WHEN {s} = 'VOID' THEN 'null'
-            WHEN startswith({s}, 'ARRAY') THEN 'list' WHEN startswith({s}, 'OBJECT') THEN 'object'
-            WHEN startswith({s}, 'DECIMAL') OR {s} IN ('DOUBLE', 'FLOAT') THEN {let(_double(v), number_type)}
-            ELSE 'unknown' END""",
+        lambda s: when(
+            f"{s} = 'BIGINT'", "'int'",
+            f"{s} = 'STRING'", "'string'",
+            f"startswith({s}, 'DECIMAL') OR {s} IN ('DOUBLE', 'FLOAT')", let(_double(v), number_type),
+            f"{s} = 'BOOLEAN'", "'boolean'",
+            f"{s} = 'VOID'", "'null'",
+            f"startswith({s}, 'ARRAY')", "'list'",
+            f"startswith({s}, 'OBJECT')", "'object'",
+            "'unknown'",
+        ),
     )
 
 
@@ -107,7 +123,7 @@ def number_of(node: str) -> str:
     A variant cast to double also accepts numeric strings and booleans, so the
     observed type is tested first.
     """
-    return f"CASE WHEN {node}.type IN ('int', 'float') THEN {_double(node + '.v')} END"
+    return when(f"{node}.type IN ('int', 'float')", _double(node + ".v"), "NULL")
 
 
 def _has_nested(raw: str) -> str:
@@ -132,7 +148,7 @@ def _js_order(entries: str, raw: str) -> str:
     def unique(e: str) -> str:
         first = keep(e, lambda x, i: f"array_position({e}.name, {x}.name) = {i} + 1")
         last = each(first, lambda x, _: f"element_at({keep(e, lambda y, _: f'{y}.name = {x}.name')}, -1)")
-        return f"CASE WHEN size(array_distinct({e}.name)) < size({e}) THEN {last} ELSE {e} END"
+        return when(f"size(array_distinct({e}.name)) < size({e})", last, e)
 
     def indexed_first(e: str) -> str:
         a, b = fresh("a"), fresh("b")
@@ -141,7 +157,7 @@ def _js_order(entries: str, raw: str) -> str:
             ({a}, {b}) -> CASE WHEN {pa} < {pb} THEN -1 WHEN {pa} > {pb} THEN 1 ELSE 0 END)"""
         rest = keep(e, lambda x, _: f"NOT {index_like(x)}")
         maybe = rf"({raw} RLIKE {_INDEX_NAME} OR contains({raw}, r'\u'))"  # an escape may hide one
-        return f"CASE WHEN {maybe} AND {some(e, index_like)} THEN concat({ordered}, {rest}) ELSE {e} END"
+        return when(f"{maybe} AND {some(e, index_like)}", f"concat({ordered}, {rest})", e)
 
     return let(let(entries, unique), indexed_first)
 
@@ -171,11 +187,6 @@ def items(raw: str) -> str:
     )
 
 
-def flat_member(fields: str, name: str) -> str:
-    """Scalar member of an object that is a map of variants, as ``members`` gives it; NULL if it is missing."""
-    return let(f"try_element_at({fields}, {name})", lambda v: f"CASE WHEN {v} IS NOT NULL THEN {_member(name, v, 'CAST(NULL AS string)')} END")
-
-
 def flat_fields(v: str) -> str:
     """A variant object as a map of variants, without parsing its text again; NULL for anything else."""
     return f"try_variant_get({v}, '$', 'map<string,variant>')"
@@ -186,9 +197,18 @@ def has_nested_fields(raw: str) -> str:
     return f"(contains({raw}, ':{{') OR contains({raw}, ':['))"
 
 
-def scalar_text(node: str) -> str:
-    """``value_text`` of a value that isn't nested."""
-    return _scalar_text(node)
+def scalar_number(v: str, kind: str) -> str:
+    """``number_of`` of a variant that isn't nested, from its ``schema_of_variant``."""
+    return when(f"{kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith({kind}, 'DECIMAL')", _double(v), "NULL")
+
+
+def scalar_text(v: str, kind: str) -> str:
+    """``value_text`` of a variant that isn't nested, from its ``schema_of_variant``."""
+    return when(
+        f"{kind} IN ('STRING', 'BOOLEAN', 'BIGINT')", f"try_variant_get({v}, '$', 'string')",
+        f"{kind} = 'VOID'", "'null'",
+        let(_double(v), number_text),
+    )
 
 
 def children_of(node: str) -> str:
@@ -208,16 +228,17 @@ def quoted(text: str) -> str:
 
 
 def _scalar_text(node: str) -> str:
-    return f"""CASE WHEN {node}.type = 'null' THEN 'null'
-        WHEN {node}.type IN ('string', 'boolean') OR schema_of_variant({node}.v) = 'BIGINT'
-            THEN try_variant_get({node}.v, '$', 'string')
-        ELSE {let(_double(node + '.v'), number_text)} END"""
+    return when(
+        f"{node}.type = 'null'", "'null'",
+        f"{node}.type IN ('string', 'boolean') OR schema_of_variant({node}.v) = 'BIGINT'", f"try_variant_get({node}.v, '$', 'string')",
+        let(_double(node + ".v"), number_text),
+    )
 
 
 def value_text(node: str) -> str:
     """String form used in comparisons: scalars printed, nested values as compact JSON."""
     nested = f"CASE WHEN {node}.raw RLIKE r'[0-9](\\.0([^0-9]|$)|E)' THEN {_render(node + '.raw')} ELSE {node}.raw END"
-    return f"CASE WHEN {is_nested(node)} THEN {nested} ELSE {_scalar_text(node)} END"
+    return when(is_nested(node), nested, _scalar_text(node))
 
 
 def _render(raw: str) -> str:

@@ -190,15 +190,17 @@ def _bound(key: str, side: int, unbounded: str) -> str:
 
 
 def allowed_values(key: str) -> str:
-    """Strings in a JSON array; NULL when the text is not a JSON array (SQL).
+    """Strings in a JSON array, as keys of a map; NULL when the text is not a JSON array (SQL).
 
-    Numbers never equal a value's text, so only string entries are kept.
+    Numbers never equal a value's text, so only string entries are kept.  A map is searched without
+    the exception that ends a search in an array.
     """
 
     def strings(v: str) -> str:
         found = keep(f"try_variant_get({v}, '$', 'array<variant>')", lambda e, _: f"schema_of_variant({e}) = 'STRING'")
-        texts = each(found, lambda e, _: f"try_variant_get({e}, '$', 'string')")
-        return f"CASE WHEN startswith(schema_of_variant({v}), 'ARRAY') THEN {texts} END"
+        texts = f"array_distinct({each(found, lambda e, _: f"try_variant_get({e}, '$', 'string')")})"
+        keys = let(texts, lambda t: f"map_from_arrays({t}, {each(t, lambda x, _: 'true')})")
+        return f"CASE WHEN startswith(schema_of_variant({v}), 'ARRAY') THEN {keys} END"
 
     return let(f"try_parse_json({key})", strings)
 
@@ -240,7 +242,8 @@ def compile_specs(specs: DataFrame, keys: list[str], keep_is_list: bool = False)
 
     def rule(p: str, name: str) -> str:
         return f"""'name', {name}, 'is_list', {p}.is_list, 'required', {p}.required,
-            'has_children', {p}.has_children, 'checks', {each(p + '.checks', ready)}"""
+            'has_children', {p}.has_children, 'only_ranges', NOT {some(p + '.checks', lambda c: f"{c}.kind <> 'minmax'")},
+            'checks', {each(p + '.checks', ready)}"""
 
     def entry(p: str, _: str) -> str:
         kids = keep("merged", lambda k, _: f"(size({k}.path) = 2 AND get({k}.path, 0) = get({p}.path, 0))")

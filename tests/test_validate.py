@@ -112,6 +112,25 @@ def test_list_of_objects(spark):
     ]
 
 
+def test_items_that_break_the_same_checks(spark):
+    """Of equal outcomes one stands for all; the order of the ids is that of the first items."""
+    spec = {"l": prop(is_list=True, children={
+        "q": prop(minmax={"1,3": ["v2"], "0,9": ["v1"]}), "t": prop(v={'["a","a","b"]': ["e"], "[]": ["v1"]}), "o": prop(required=False, p={"x": ["e"]}),
+        "k": prop(p={"1.5": ["v1"]}, rx={"^1": ["e"]}), "m": prop(minmax={"0,1e3": ["v1"]}, p={"null": ["e"]})})}
+    items = [{"q": 2, "t": "a", "k": 1.5, "m": None}, {"q": 5, "t": "a", "o": None, "k": "1.5", "m": 1}] * 20 + [{"q": 50, "t": "b", "o": "x", "k": "1", "m": "0"}, 7]
+    assert check(spark, spec, {"l": items}, {"l": items[:2]}, ids=IDS + ["w", "x", "y"]) == [
+        {"l.q": ("failed", ["v2", "v1"]), "l.t": ("failed", ["v1", "e"]), "l.k": ("failed", ["e", "v1"]), "l.m": ("failed", ["v1", "e"])},
+        {"l.q": ("failed", ["v2"]), "l.t": ("failed", ["v1"]), "l.k": ("failed", ["e"]), "l.m": ("failed", ["v1", "e"])},
+    ]
+
+
+def test_ranges_cost_one_pass_over_items(spark):
+    """The checks of a rule were looked through for other kinds than ranges at every value."""
+    specs = spark.createDataFrame([("x", wire({"a": prop(minmax={"0,5": ["e"]}), "b": prop(p={"1": ["e"]}, minmax={"0,5": ["e"]})}))], "event_name string, spec_json string")
+    plan = load_specs(specs, ["event_name"]).df.first()["plan"]
+    assert plan["a"]["only_ranges"] and not plan["b"]["only_ranges"]
+
+
 def two_entries(second_required=False):
     entries = [
         {"b": "m", "id": "e1", "vids": [], "p": {"m": prop(p={"a": ["e1"]}), "l": prop(is_list=True, p={"x": ["e1"]})}},
