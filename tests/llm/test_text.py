@@ -154,6 +154,56 @@ def test_secret_sample_keeps_both_labels_of_skewed_copies(documents, monkeypatch
     assert secrets.fit(docs) is not None
 
 
+def labelled_windows(texts):
+    spans, values = zip(*map(secrets.marked_spans, texts), strict=True)
+    of = secrets.windows(texts, spans, values)
+    return of.codes(np.arange(len(of.owner))), of.secret[of.owner]
+
+
+def test_secret_steps_and_threshold_take_every_window(documents, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE", 8)
+    rows = short_and_long_rows() + [(1000, None), (1001, ""), (1002, "short")]
+    steps, sums_of = [], secrets._sums_of
+    monkeypatch.setattr(secrets, "_sums_of", lambda docs, network: steps.append(sums_of(docs, network)) or steps[-1])
+    scanner = secrets.fit(documents(rows + rows[:50]).repartition(3))
+    held = [zlib.crc32((t or "").encode()) % 10 < 3 for _, t in rows]
+    copies = [1 + (i < 50) for i in range(len(rows))]
+    texts = {k: [t for (_, t), h, n in zip(rows, held, copies, strict=True) if t and h == k for _ in range(n)] for k in (True, False)}
+    x, secret = labelled_windows(texts[False])
+    # each step has windows, and all steps have each window once, a secret in its three ways
+    assert len(steps) == secrets.STEPS and all(s[0, -1] for s in steps)
+    assert sum(s[:, -1] for s in steps).tolist() == [(~secret).sum(), 2 * secret.sum(), 3 * secret.sum()]
+    # figures of the threshold are those of all windows set apart
+    x, secret = labelled_windows(texts[True])
+    taken = scanner.score(x) >= scanner.threshold - 1e-9
+    assert taken[secret].mean() >= secrets.RECALL and scanner.recall == pytest.approx(taken[secret].mean())
+    assert scanner.precision == pytest.approx(secret[taken].mean())
+    assert (scanner.score(x[secret] * secrets.INSIDE) >= scanner.threshold - 1e-9).mean() >= secrets.RECALL
+
+
+def test_secret_gradients_are_those_of_the_loss_of_all_windows():
+    texts = [t for _, t in short_and_long_rows()[:12]]
+    x, secret = labelled_windows(texts)
+    made, label, _ = secrets.other_ways(texts, secrets._labelled(texts))
+    groups = [(x[~secret], -1), (made[label == 0], -1), (made[label == 1], 1)]
+    rng = np.random.default_rng(5)
+    network = secrets.train(*(np.concatenate(v) for v in ((x[secret], x[~secret][:50]), (np.ones(secret.sum(), int), np.zeros(50, int)))))
+    sums = secrets.gradient_sums(texts, network)
+    assert sums[:, -1].tolist() == [len(codes) for codes, _ in groups]
+    # the sums don't depend on how texts are dealt over tasks
+    assert np.allclose(sums, sum(secrets.gradient_sums([t], network) for t in texts))
+
+    def losses(params):
+        raw = [(secrets._forward(params, codes)[0], sign) for codes, sign in groups]
+        return np.array([np.maximum(0, secrets.MARGIN - sign * logits).sum() for logits, sign in raw])
+
+    for k, p in enumerate(network.params):
+        way = rng.normal(size=p.shape)
+        at = sum(q.size for q in network.params[:k])
+        ends = [losses([q + s * way if j == k else q for j, q in enumerate(network.params)]) for s in (1e-6, -1e-6)]
+        assert np.allclose(sums[:, at : at + p.size] @ way.ravel(), (ends[0] - ends[1]) / 2e-6, rtol=1e-3, atol=1e-3)
+
+
 def test_redaction_replaces_spans_once(documents):
     docs = documents([(1, f'a token = "{"0f" * 20}" z'), (2, None), (3, "clean")]).withColumn("codes", F.lit(1))
     got = {r.doc_id: r for r in secrets.redact(docs, None).collect()}
