@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from plumbline.llm import divergence, language_id, secrets
 from plumbline.llm.shared import slices
 
@@ -181,6 +182,29 @@ def test_secret_steps_and_threshold_take_every_window(documents, monkeypatch):
     assert (scanner.score(x[secret] * secrets.INSIDE) >= scanner.threshold - 1e-9).mean() >= secrets.RECALL
 
 
+def test_pipeline_redacts_by_a_network_of_all_findings(spark, documents, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE", 8)
+    rows, seen = short_and_long_rows()[:200], []
+    sums_of, counts_of = secrets._sums_of, secrets._counts_of
+
+    def sums(docs, network):
+        out = sums_of(docs, network)
+        seen.append(out[0, -1])
+        return out
+
+    def counts(docs, network):
+        out = counts_of(docs, network)
+        seen.append(sum(n for (label, *_), n in out.items() if not label))
+        return out
+
+    monkeypatch.setattr(secrets, "_sums_of", sums)
+    monkeypatch.setattr(secrets, "_counts_of", counts)
+    monkeypatch.setattr(secrets, "STEPS", 2)
+    got = corpus_pipeline.redact_secrets(spark, documents(rows), "").collect()
+    assert len(got) == len(rows) and all("[secret]" in r.text for r in got)
+    assert sum(seen) == (~labelled_windows([t for _, t in rows])[1]).sum()
+
+
 def test_secret_gradients_are_those_of_the_loss_of_all_windows():
     texts = [t for _, t in short_and_long_rows()[:12]]
     x, secret = labelled_windows(texts)
